@@ -7,22 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot: with fewer rows than shuffle tasks per key, the
-# others are small by definition.
-HOT_KEYS = 64
-# Counters of the sketch; a key with more than about 1/3,000 of the rows cannot be missed.
+# A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys.
+HOT_SHARE = 0.001
+# Counters per sketch: ten times as many as there can be hot keys, so that none is missed.
 TRACKED_KEYS = 10_000
 # Parts a hot key is split into.
 SPREAD = 256
+# Sketches of all map tasks are first merged in this many groups, then in one.
+SKETCH_GROUPS = 256
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys that hold a large share of ``df``: at most HOT_KEYS rows, from one mergeable sketch."""
-    top = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})")
+    """The keys that hold more than HOT_SHARE of ``df``, from frequent-item sketches in one pass."""
+    most = round(1 / HOT_SHARE)
     return (
         df.where(F.col(key).isNotNull())
-        .agg(top.alias("_top"))
-        .select(F.explode("_top.item").alias(key))
+        .groupBy(F.spark_partition_id() % F.lit(SKETCH_GROUPS))
+        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("_sketch"), F.count("*").alias("_rows"))
+        .agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"), F.sum("_rows").alias("_rows"))
+        .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {most})")).alias("_top"), "_rows")
+        .where(F.col("_top.count") > F.col("_rows") * F.lit(HOT_SHARE))
+        .select(F.col("_top.item").alias(key))
     )
 
 
@@ -43,7 +48,7 @@ def lookup(
     tables are broadcast where Spark's size check allows it.
     """
     hot = hot_keys(facts if counted is None else counted, key)
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))  # at most HOT_KEYS rows
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))  # at most 1 / HOT_SHARE rows
     part = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
     spread_facts = (
         facts.join(hot, F.col(key) == F.col("_hot"), "left")

@@ -1,8 +1,9 @@
 """The raw retail tables as views over the benchmark's star schema.
 
 Every view covers its whole tables. The cases the operators must handle come from the rows
-themselves: duplicate keys, honorifics, unknown states, products outside the catalogue (sales and
-competitor prices under a negative id), products without competitors, sales before registration.
+themselves: duplicate keys, honorifics, unknown states, sales outside the catalogue (which lists
+some parts under another id), competitor prices without a product id, products without competitors,
+sales before registration.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quitanda.sources.raw import required
+
 # The order that decides which of several rows with one key is kept.
 VENDAS_ORDER = [
     "data_venda", "id_cliente", "id_produto", "quantidade",
@@ -25,13 +28,26 @@ _STATES = "ACALAMAPBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 _OWN_PRICE = "cast(p_retailprice + (p_partkey % 3 - 1) * 450 as decimal(10,2))"
 
 
+# Primary keys of the star schema, without NULL.
+_KEYS = {
+    "part": ["p_partkey"],
+    "customer": ["c_custkey"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _keyed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return required(load(spark, sf_dir, table), *_KEYS[table])
+
+
 def produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "part").selectExpr(
-        "p_partkey as id_produto",
+    return _keyed(spark, sf_dir, "part").selectExpr(
+        "case when p_partkey % 97 = 0 then -1 - p_partkey else p_partkey end as id_produto",
         "'  ' || p_name || ' ' as nome_produto",
         "case when p_partkey % 11 = 0 then null else p_type end as categoria",
         "p_brand as marca",
@@ -41,7 +57,7 @@ def produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = load(spark, sf_dir, "customer")
+    customer = _keyed(spark, sf_dir, "customer")
     first = customer.selectExpr(
         "c_custkey as id_cliente",
         """case c_custkey % 9 when 0 then 'Sr. ' when 1 then 'Sra. ' when 2 then 'Dra ' when 3 then 'Dr.'
@@ -58,12 +74,12 @@ def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
+    lines, orders = (_keyed(spark, sf_dir, t) for t in ("lineitem", "orders"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "l_orderkey * 10 + l_linenumber as id_venda",
         "timestampadd(HOUR, cast(l_orderkey % 24 as int), o_orderdate) as data_venda",
         "o_custkey as id_cliente",
-        "case when l_partkey % 97 = 0 then -1 - l_partkey else l_partkey end as id_produto",
+        "l_partkey as id_produto",
         "cast(l_quantity as int) as quantidade",
         "cast(l_extendedprice as decimal(10,2)) as preco_unitario",
         """case when o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') then 'ecommerce'
@@ -79,7 +95,7 @@ def preco_competidores(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .selectExpr(
-            "case when l_partkey % 97 = 0 or l_partkey % 10 = 9 then -1 - l_partkey else l_partkey end as id_produto",
+            "case when l_partkey % 10 = 9 then null else l_partkey end as id_produto",
             "s_name as nome_concorrente",
             "cast(l_shipdate as string) as data_coleta",
             f"""cast({_OWN_PRICE} * cast(case l_partkey % 6 when 0 then 62 when 1 then 94 when 2 then 99 when 3 then 103
@@ -91,9 +107,7 @@ def preco_competidores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sold_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product ids as often as they are sold: where hot products show, for the price of one column."""
-    return load(spark, sf_dir, "lineitem").selectExpr(
-        "case when l_partkey % 97 = 0 then -1 - l_partkey else l_partkey end as id_produto"
-    )
+    return load(spark, sf_dir, "lineitem").selectExpr("l_partkey as id_produto")
 
 
 def buying_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

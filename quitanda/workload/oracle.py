@@ -61,7 +61,7 @@ _NAME = f"CASE WHEN p.id_produto IS NULL THEN 'Produto nao cadastrado' ELSE {_ti
 # name -> (tables it reads, text)
 _TABLES: dict[str, tuple[list[str], str]] = {
     "b_produtos": ([], f"""
-        SELECT p_partkey AS id_produto, '  ' || p_name || ' ' AS nome_produto,
+        SELECT CASE WHEN p_partkey % 97 = 0 THEN -1 - p_partkey ELSE p_partkey END AS id_produto, '  ' || p_name || ' ' AS nome_produto,
           CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_type END AS categoria, p_brand AS marca, {_OWN} AS preco_atual,
           timestamp '1995-01-01 00:00:00' + to_days(cast(p_partkey % 1000 as int)) AS data_criacao
         FROM part"""),
@@ -77,14 +77,14 @@ _TABLES: dict[str, tuple[list[str], str]] = {
     "b_vendas": ([], """
         SELECT l_orderkey * 10 + l_linenumber AS id_venda,
           o_orderdate + to_hours(cast(l_orderkey % 24 as int)) AS data_venda, o_custkey AS id_cliente,
-          CASE WHEN l_partkey % 97 = 0 THEN -1 - l_partkey ELSE l_partkey END AS id_produto,
+          l_partkey AS id_produto,
           cast(l_quantity as int) AS quantidade, cast(l_extendedprice as decimal(10,2)) AS preco_unitario,
           CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH','3-MEDIUM') THEN 'ecommerce' ELSE 'loja_fisica' END
             AS canal_venda,
           l_shipdate, l_suppkey
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     "b_precos": ([], f"""
-        SELECT CASE WHEN l_partkey % 97 = 0 OR l_partkey % 10 = 9 THEN -1 - l_partkey ELSE l_partkey END AS id_produto,
+        SELECT CASE WHEN l_partkey % 10 = 9 THEN NULL ELSE l_partkey END AS id_produto,
           s_name AS nome_concorrente, cast(l_shipdate as varchar) AS data_coleta,
           cast({_OWN} * cast(CASE l_partkey % 6 WHEN 0 THEN 62 WHEN 1 THEN 94 WHEN 2 THEN 99 WHEN 3 THEN 103
             WHEN 4 THEN 108 ELSE 140 END + l_suppkey % 17 - 8 as int) * cast(0.01 as decimal(3,2)) as decimal(10,2))
@@ -98,7 +98,8 @@ _TABLES: dict[str, tuple[list[str], str]] = {
     "d_clientes": (["b_clientes"], """
         SELECT id_cliente, nome_cliente, estado FROM (
           SELECT *, row_number() OVER (PARTITION BY id_cliente
-            ORDER BY nome_cliente NULLS FIRST, estado NULLS FIRST) AS n FROM b_clientes) WHERE n = 1"""),
+            ORDER BY nome_cliente NULLS FIRST, estado NULLS FIRST) AS n FROM b_clientes)
+        WHERE n = 1 OR id_cliente IS NULL"""),
     "s_clientes": (["d_clientes", "estados"], f"""
         SELECT id_cliente, {_title(_stripped('nome_cliente'))} AS nome_cliente, upper(trim(estado)) AS estado,
           nome_cliente AS nome_original, nome_estado, regiao
@@ -111,7 +112,7 @@ _TABLES: dict[str, tuple[list[str], str]] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY id_venda ORDER BY data_venda NULLS FIRST,
             id_cliente NULLS FIRST, id_produto NULLS FIRST, quantidade NULLS FIRST, preco_unitario NULLS FIRST,
             canal_venda NULLS FIRST, l_shipdate NULLS FIRST, l_suppkey NULLS FIRST) AS n FROM b_vendas)
-        WHERE n = 1"""),
+        WHERE n = 1 OR id_venda IS NULL"""),
     "s_vendas": (["t_vendas", "s_produtos"], """
         SELECT v.*, p.id_produto IS NOT NULL AS produto_cadastrado,
           coalesce(v.data_venda < p.data_criacao, false) AS venda_antes_do_cadastro,
@@ -120,7 +121,8 @@ _TABLES: dict[str, tuple[list[str], str]] = {
     "d_precos": (["b_precos"], """
         SELECT id_produto, nome_concorrente, data_coleta, preco_concorrente FROM (
           SELECT *, row_number() OVER (PARTITION BY id_produto, nome_concorrente
-            ORDER BY data_coleta NULLS FIRST, preco_concorrente NULLS FIRST) AS n FROM b_precos) WHERE n = 1"""),
+            ORDER BY data_coleta NULLS FIRST, preco_concorrente NULLS FIRST) AS n FROM b_precos)
+        WHERE n = 1 OR id_produto IS NULL OR nome_concorrente IS NULL"""),
     "s_precos": (["d_precos", "s_produtos"], """
         SELECT c.id_produto, c.nome_concorrente, try_cast(c.data_coleta as timestamp) AS data_coleta,
           c.preco_concorrente, p.preco_atual,
@@ -622,8 +624,8 @@ def all_oracles() -> dict[str, str]:
     sql["check_prices"] = _with(
         _checks(
             ("produtos_na_visao_de_precos", "posicao_precos", "count(*)", "=", "2000"),
-            ("mais_caros_que_todos", "posicao_precos", "count(*) FILTER (classificacao_preco = 'MAIS_CARO_QUE_TODOS')", "=", "331"),
-            ("produtos_com_preco_suspeito", "posicao_precos", "count(*) FILTER (possui_preco_suspeito)", "=", "1211"),
+            ("mais_caros_que_todos", "posicao_precos", "count(*) FILTER (classificacao_preco = 'MAIS_CARO_QUE_TODOS')", "=", "330"),
+            ("produtos_com_preco_suspeito", "posicao_precos", "count(*) FILTER (possui_preco_suspeito)", "=", "330"),
         ),
         "posicao_precos",
     )

@@ -24,6 +24,7 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
         df.where(F.col(key).isNotNull())
         .groupBy(F.spark_partition_id() % F.lit(SKETCH_GROUPS))
         .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("_sketch"), F.count("*").alias("_rows"))
+        .groupBy(F.lit("all"))  # unlike a global aggregate, this starts no sketch for a task without rows
         .agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"), F.sum("_rows").alias("_rows"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {most})")).alias("_top"), "_rows")
         .where(F.col("_top.count") > F.col("_rows") * F.lit(HOT_SHARE))

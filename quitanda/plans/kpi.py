@@ -95,7 +95,8 @@ def conversion_drops(conversion: DataFrame, limit: Decimal = Decimal("0.20")) ->
     has one row per calendar day.
     """
     before = Window.orderBy("data")
-    wide = {c: F.col(c).cast("decimal(18,0)") for c in ("compradores", "visitantes")}
+    # Twelve digits each: wider ones would cost their products the digits behind the point.
+    wide = {c: F.col(c).cast("decimal(12,0)") for c in ("compradores", "visitantes")}
     now = wide["compradores"] * F.lag(wide["visitantes"]).over(before)
     then = F.lag(wide["compradores"]).over(before) * wide["visitantes"]
     return (

@@ -15,10 +15,12 @@ TESTDATA = Path("/root/testdata")
 def spark(tmp_path_factory):
     from quitanda.session import local_session
 
-    warehouse = tmp_path_factory.mktemp("warehouse")
-    session = local_session(
-        8, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": str(warehouse)}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = local_session(8, "tests", **settings)
     yield session
     session.stop()
 

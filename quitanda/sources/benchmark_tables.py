@@ -52,7 +52,7 @@ def produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when p_partkey % 11 = 0 then null else p_type end as categoria",
         "p_brand as marca",
         f"{_OWN_PRICE} as preco_atual",
-        "timestampadd(DAY, cast(p_partkey % 1000 as int), timestamp_ntz'1995-01-01 00:00:00') as data_criacao",
+        "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(p_partkey % 1000 as int)) as data_criacao",
     )
 
 
@@ -77,11 +77,11 @@ def vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = (_keyed(spark, sf_dir, t) for t in ("lineitem", "orders"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "l_orderkey * 10 + l_linenumber as id_venda",
-        "timestampadd(HOUR, cast(l_orderkey % 24 as int), o_orderdate) as data_venda",
+        "o_orderdate + make_dt_interval(0, cast(l_orderkey % 24 as int)) as data_venda",
         "o_custkey as id_cliente",
         "l_partkey as id_produto",
         "cast(l_quantity as int) as quantidade",
-        "cast(l_extendedprice as decimal(10,2)) as preco_unitario",
+        "l_extendedprice as preco_unitario",
         """case when o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') then 'ecommerce'
            else 'loja_fisica' end as canal_venda""",
         "l_shipdate",

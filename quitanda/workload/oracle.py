@@ -78,7 +78,7 @@ _TABLES: dict[str, tuple[list[str], str]] = {
         SELECT l_orderkey * 10 + l_linenumber AS id_venda,
           o_orderdate + to_hours(cast(l_orderkey % 24 as int)) AS data_venda, o_custkey AS id_cliente,
           l_partkey AS id_produto,
-          cast(l_quantity as int) AS quantidade, cast(l_extendedprice as decimal(10,2)) AS preco_unitario,
+          cast(l_quantity as int) AS quantidade, l_extendedprice AS preco_unitario,
           CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH','3-MEDIUM') THEN 'ecommerce' ELSE 'loja_fisica' END
             AS canal_venda,
           l_shipdate, l_suppkey
@@ -105,7 +105,8 @@ _TABLES: dict[str, tuple[list[str], str]] = {
           nome_cliente AS nome_original, nome_estado, regiao
         FROM d_clientes LEFT JOIN estados ON upper(trim(estado)) = uf"""),
     "t_vendas": (["b_vendas"], f"""
-        SELECT * EXCLUDE (n), cast(quantidade * preco_unitario as decimal(18,2)) AS receita,
+        SELECT * EXCLUDE (n) REPLACE (cast(preco_unitario as decimal(10,2)) AS preco_unitario),
+          cast(quantidade * cast(preco_unitario as decimal(10,2)) as decimal(18,2)) AS receita,
           cast(data_venda as date) AS data, cast(hour(data_venda) as int) AS hora,
           cast(dayofweek(data_venda) + 1 as int) AS dia_semana_num,
           {_WEEKDAY}[dayofweek(data_venda) + 1] AS dia_semana
@@ -443,7 +444,8 @@ def all_oracles() -> dict[str, str]:
     sql["clean_price_cast"] = """SELECT p_partkey AS id_produto, cast(try_cast(CASE WHEN p_partkey % 13 = 0 THEN 'n/a'
         ELSE cast(p_retailprice as varchar) END as decimal(10,2)) as double) AS preco_atual FROM part"""
     sql["clean_line_revenue"] = _with(
-        "SELECT id_venda, cast(quantidade * preco_unitario as double) AS receita FROM b_vendas", "b_vendas"
+        "SELECT id_venda, cast(quantidade * cast(preco_unitario as decimal(10,2)) as double) AS receita FROM b_vendas",
+        "b_vendas",
     )
     sql["clean_price_band"] = _with(
         f"SELECT id_produto, cast(preco_atual as double) AS preco_atual, {_BAND.replace('preco_atual', 'b_produtos.preco_atual')} AS faixa_preco FROM b_produtos",
@@ -461,8 +463,7 @@ def all_oracles() -> dict[str, str]:
     sql["calendar_parse_timestamp"] = """SELECT l_orderkey, l_linenumber,
         CASE WHEN l_linenumber = 3 THEN NULL ELSE l_shipdate END AS data_coleta FROM lineitem"""
     sql["filter_period"] = _with(
-        f"""SELECT * REPLACE (cast(preco_unitario as double) AS preco_unitario) FROM b_vendas
-        WHERE cast(data_venda as date) {_PERIOD}""",
+        f"SELECT * FROM b_vendas WHERE cast(data_venda as date) {_PERIOD}",
         "b_vendas",
     )
     sql["filter_channel"] = _with(
@@ -665,6 +666,7 @@ def all_oracles() -> dict[str, str]:
     sql["profile_preco_competidores"] = _with(
         _profile("b_precos", ["id_produto", "nome_concorrente", "data_coleta", "preco_concorrente"]), "b_precos"
     )
+    sql["source_catalog_tables"] = _with(_rows(silver_rows), "s_clientes", "s_precos", "t_vendas")
     sql["sink_clustered_by_date"] = _with(
         f"""SELECT data, count(*) AS total_vendas, cast(sum(receita) as double) AS receita FROM t_vendas
         WHERE data {_PERIOD} GROUP BY data""",

@@ -21,6 +21,7 @@ from quitanda.plans.refresh import refresh
 from quitanda.session import new_location
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as raw
+from quitanda.sources.raw import list_tables, read_table
 from quitanda.sources.sinks import clustered, documented, write_files
 from quitanda.streaming.hourly_sales import hourly_sales, refresh_hourly_sales, sales_stream
 
@@ -305,7 +306,7 @@ def clean_price_cast(spark, sf_dir):
 @query
 def clean_line_revenue(spark, sf_dir):
     return raw.vendas(spark, sf_dir).select(
-        "id_venda", money.line_revenue(F.col("quantidade"), F.col("preco_unitario")).alias("receita")
+        "id_venda", money.line_revenue(F.col("quantidade"), money.price(F.col("preco_unitario"))).alias("receita")
     )
 
 
@@ -583,7 +584,7 @@ def check_row_counts(spark, sf_dir):
     )
 
 
-# Profiles, sinks, refresh, stream
+# Profiles, sources, sinks, refresh, stream
 
 
 @query
@@ -612,6 +613,22 @@ def profile_vendas_distinct(spark, sf_dir):
     return profile(raw.vendas(spark, sf_dir))
 
 
+@query
+def source_catalog_tables(spark, sf_dir):
+    """Rows of the tables a catalog lists, its internal ones left out, read by name."""
+    tables = {
+        "quitanda_clientes": silver_clientes(spark, sf_dir),
+        "quitanda_produtos": silver_produtos(spark, sf_dir),
+        "quitanda_vendas": _sales(spark, sf_dir),
+        "quitanda_preco_competidores": _prices(spark, sf_dir),
+        "__materialization_quitanda": _sales(spark, sf_dir),
+    }
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    listed = [name for name in list_tables(spark) if name in tables]
+    return checks.row_counts({name.removeprefix("quitanda_"): read_table(spark, name) for name in listed})
+
+
 @query
 def sink_clustered_by_date(spark, sf_dir):
     """Stores the detail mart clustered by day, and sums up what a day filter reads back."""

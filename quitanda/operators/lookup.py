@@ -4,22 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.001
-# Counters per sketch: ten times as many as there can be hot keys, so that none is missed.
+# Counters per sketch: any key above about 1 / 4,000 of the rows is sure to be counted.
 TRACKED_KEYS = 10_000
-# Parts a hot key is split into.
-SPREAD = 256
 # Sketches of all map tasks are first merged in this many groups, then in one.
 SKETCH_GROUPS = 256
+# A key is hot above the share of two average tasks, within these limits. So there are at most
+# 2,000 hot keys on any cluster.
+LEAST_HOT_SHARE, MOST_HOT_SHARE = 0.0005, 0.05
+# Parts per average task a hot key is cut into: small ones spread evenly.
+PARTS_PER_TASK = 4
+
+
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys that hold more than HOT_SHARE of ``df``, from frequent-item sketches in one pass."""
-    most = round(1 / HOT_SHARE)
+    """(key, parts) for every key of ``df`` too frequent for one task, from frequent-item sketches
+    in one pass. All parts together are a few per task, whatever the number of hot keys."""
+    tasks = _tasks(df.sparkSession)
+    share = min(max(2 / tasks, LEAST_HOT_SHARE), MOST_HOT_SHARE)
+    most = round(1 / share)
+    held = F.col("_top.count") / F.col("_rows")
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(F.spark_partition_id() % F.lit(SKETCH_GROUPS))
@@ -27,8 +36,8 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
         .groupBy(F.lit("all"))  # unlike a global aggregate, this starts no sketch for a task without rows
         .agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"), F.sum("_rows").alias("_rows"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {most})")).alias("_top"), "_rows")
-        .where(F.col("_top.count") > F.col("_rows") * F.lit(HOT_SHARE))
-        .select(F.col("_top.item").alias(key))
+        .where(held > share)
+        .select(F.col("_top.item").alias(key), F.ceil(held * PARTS_PER_TASK * tasks).cast("int").alias("parts"))
     )
 
 
@@ -43,25 +52,25 @@ def lookup(
 
     Hot keys are split: their facts carry a part number drawn from ``spread_by`` (columns that
     differ between rows), and only their few table rows are repeated once per part. Facts without
-    a key match nothing and are dealt out the same way. All other rows have part 0, so the table
+    a key match nothing and are dealt out over all tasks. All other rows have part 0, so the table
     as a whole is never copied. Which keys are hot is only a routing hint - the result is the same
     whatever the sketch says - so it may be counted on a cheaper DataFrame, ``counted``. Small
     tables are broadcast where Spark's size check allows it.
     """
     hot = hot_keys(facts if counted is None else counted, key)
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))  # at most 1 / HOT_SHARE rows
-    part = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
-    spread_facts = (
-        facts.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), part).otherwise(0))
-        .drop("_hot")
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("parts").alias("_parts")))  # at most 2,000 rows
+    drawn = F.xxhash64(*spread_by)
+    anywhere = F.lit(PARTS_PER_TASK * _tasks(facts.sparkSession))
+    part = F.when(F.col(key).isNull(), F.pmod(drawn, anywhere)).otherwise(
+        F.coalesce(F.pmod(drawn, F.col("_parts")), F.lit(0))
     )
-    every_part = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    spread_facts = facts.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_part", part.cast("int"))
+    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     spread_table = (
         table.where(F.col(key).isNotNull())
         .join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.explode(F.when(F.col("_hot").isNotNull(), every_part).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_part", F.explode(parts))
+        .drop("_hot", "_parts")
     )
     joined = spread_facts.join(spread_table, [key, "_part"], "left")
     return joined.select(*facts.columns, *[c for c in table.columns if c != key])

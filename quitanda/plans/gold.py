@@ -231,8 +231,8 @@ def _count_if(condition) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def vendas_totais(vendas: DataFrame) -> DataFrame:
-    return vendas.agg(
+def vendas_totais(vendas: DataFrame, period: Period | None = None) -> DataFrame:
+    return vendas.where(calendar.within(F.col("data"), period)).agg(
         F.count("*").alias("total_vendas"),
         F.sum("receita").alias("receita_total"),
         _count_if(~F.col("produto_cadastrado")).alias("vendas_produto_nao_cadastrado"),

@@ -3,56 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quitanda.operators import expectations
 from quitanda.operators.expectations import EXPECTATIONS
 from quitanda.plans import gold, silver
 from quitanda.plans.comments import GOLD_COMMENTS
 from quitanda.settings import DEFAULT_LIMITS, DEFAULT_PERIOD, Period, SegmentLimits
-from quitanda.sources.sinks import clustered, documented, write_files
+from quitanda.sources.sinks import Store, clustered, documented
+
+
+class Refreshed(NamedTuple):
+    """The stored tables by name, ``silver.*`` and ``gold.*``, and per clean table its violations."""
+
+    tables: dict[str, DataFrame]
+    violations: dict[str, dict[str, int]]
 
 
 def refresh(
     raw: Mapping[str, DataFrame],
-    location: str,
+    store: Store,
     period: Period | None = DEFAULT_PERIOD,
     limits: SegmentLimits = DEFAULT_LIMITS,
     orders: Mapping[str, Sequence[str]] | None = None,
     strict: bool = False,
-) -> dict[str, DataFrame]:
-    """Stores the four cleaned tables and the nine marts under ``location``.
+) -> Refreshed:
+    """Stores the four clean tables and the nine marts.
 
-    A violated expectation of severity ``fail`` stops the refresh before the table's marts.
-    Returns the stored tables by name: ``silver.*`` and ``gold.*``.
+    Expectations are counted while their table is written; a violation of severity ``fail`` stops
+    the refresh before any table that depends on it. ``orders`` decides which copy of a row is kept.
     """
     orders = orders or {}
-    tables: dict[str, DataFrame] = {}
-
-    def store(layer: str, name: str, df: DataFrame) -> DataFrame:
-        if layer == "silver":
-            df = expectations.guard(df, EXPECTATIONS[name], strict)
-        else:
-            df = documented(df, GOLD_COMMENTS[name])
-        tables[f"{layer}.{name}"] = write_files(df, f"{location}/{layer}/{name}")
-        return tables[f"{layer}.{name}"]
-
-    produtos = store("silver", "produtos", silver.silver_produtos(raw["produtos"], orders.get("produtos")))
-    clientes = store("silver", "clientes", silver.silver_clientes(raw["clientes"], orders.get("clientes")))
+    done = Refreshed({}, {})
+
+    def clean(name: str, df: DataFrame) -> DataFrame:
+        exps = EXPECTATIONS[name]
+        watched, watch = expectations.observe(expectations.guard(df, exps, strict), exps)
+        done.tables[f"silver.{name}"] = store("silver", name, watched)
+        done.violations[name] = expectations.observed(watch, exps)
+        return done.tables[f"silver.{name}"]
+
+    def mart(name: str, df: DataFrame) -> DataFrame:
+        done.tables[f"gold.{name}"] = store("gold", name, documented(df, GOLD_COMMENTS[name]))
+        return done.tables[f"gold.{name}"]
+
+    produtos = clean("produtos", silver.silver_produtos(raw["produtos"], orders.get("produtos")))
+    clientes = clean("clientes", silver.silver_clientes(raw["clientes"], orders.get("clientes")))
     vendas = silver.silver_vendas(raw["vendas"], produtos, orders.get("vendas"))
-    vendas = store("silver", "vendas", clustered(vendas, "data", "id_venda"))
+    vendas = clean("vendas", clustered(vendas, "data", "id_venda"))
     precos = silver.silver_preco_competidores(raw["preco_competidores"], produtos, orders.get("preco_competidores"))
-    precos = store("silver", "preco_competidores", precos)
-
-    segmentos = store("gold", "clientes_segmentacao", gold.clientes_segmentacao(clientes, vendas, period, limits))
-    store("gold", "vendas_temporais", gold.vendas_temporais(vendas, period))
-    store("gold", "vendas_produtos", gold.vendas_produtos(vendas, produtos))
-    store("gold", "vendas_detalhadas", clustered(gold.vendas_detalhadas(vendas, produtos, segmentos), "data", "id_venda"))
-    store("gold", "precos_competitividade", gold.precos_competitividade(produtos, precos, vendas, period))
-    store("gold", "vendas_totais", gold.vendas_totais(vendas))
-    store("gold", "clientes_por_regiao", gold.clientes_por_regiao(clientes))
-    store("gold", "produtos_por_faixa_preco", gold.produtos_por_faixa_preco(produtos))
-    store("gold", "preco_competitivo_resumo", gold.preco_competitivo_resumo(precos))
-    return tables
+    precos = clean("preco_competidores", precos)
+
+    segmentos = mart("clientes_segmentacao", gold.clientes_segmentacao(clientes, vendas, period, limits))
+    mart("vendas_temporais", gold.vendas_temporais(vendas, period))
+    mart("vendas_produtos", gold.vendas_produtos(vendas, produtos))
+    mart("vendas_detalhadas", clustered(gold.vendas_detalhadas(vendas, produtos, segmentos), "data", "id_venda"))
+    mart("precos_competitividade", gold.precos_competitividade(produtos, precos, vendas, period))
+    mart("vendas_totais", gold.vendas_totais(vendas))
+    mart("clientes_por_regiao", gold.clientes_por_regiao(clientes))
+    mart("produtos_por_faixa_preco", gold.produtos_por_faixa_preco(produtos))
+    mart("preco_competitivo_resumo", gold.preco_competitivo_resumo(precos))
+    return done

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,25 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+# Stores a DataFrame as (layer, name) and returns the stored table.
+Store = Callable[[str, str, DataFrame], DataFrame]
+
+
+def into_files(location: str, fmt: str = "parquet") -> Store:
+    """One folder per table: ``location/layer/name``."""
+    return lambda layer, name, df: write_files(df, f"{location}/{layer}/{name}", fmt)
+
+
+def into_catalog(catalog: str | None = None, silver: str = "silver", gold: str = "gold", fmt: str = "parquet") -> Store:
+    """Tables of two schemas, which must exist."""
+    schemas = {"silver": silver, "gold": gold}
+
+    def store(layer: str, name: str, df: DataFrame) -> DataFrame:
+        return write_table(df, ".".join(part for part in (catalog, schemas[layer], name) if part), fmt)
+
+    return store
+
+
 def clustered(df: DataFrame, by: str, then: str) -> DataFrame:
     """Rows grouped by ``by``, so that a filter on it skips files and row groups by their min/max.
 

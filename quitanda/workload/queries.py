@@ -22,7 +22,7 @@ from quitanda.session import new_location
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as raw
 from quitanda.sources.raw import list_tables, read_table
-from quitanda.sources.sinks import clustered, documented, write_files
+from quitanda.sources.sinks import clustered, documented, into_files, write_files
 from quitanda.streaming.hourly_sales import hourly_sales, refresh_hourly_sales, sales_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -650,26 +650,21 @@ def documented_columns(spark, sf_dir):
     return profile(mart, distinct=False).select("coluna", "linhas", "nulos", label.alias("comentario"))
 
 
+def _refreshed(spark, sf_dir):
+    tables = {
+        "produtos": raw.produtos(spark, sf_dir),
+        "clientes": raw.clientes(spark, sf_dir),
+        "vendas": raw.vendas(spark, sf_dir),
+        "preco_competidores": raw.preco_competidores(spark, sf_dir),
+    }
+    orders = {"clientes": raw.CLIENTES_ORDER, "vendas": raw.VENDAS_ORDER, "preco_competidores": raw.PRECOS_ORDER}
+    return refresh(tables, into_files(new_location(spark, "warehouse")), PERIOD, LIMITS, orders)
+
+
 @query
 def refresh_row_counts(spark, sf_dir):
-    """Stores all cleaned tables and marts, then counts their rows."""
-    tables = refresh(
-        {
-            "produtos": raw.produtos(spark, sf_dir),
-            "clientes": raw.clientes(spark, sf_dir),
-            "vendas": raw.vendas(spark, sf_dir),
-            "preco_competidores": raw.preco_competidores(spark, sf_dir),
-        },
-        new_location(spark, "warehouse"),
-        PERIOD,
-        LIMITS,
-        {
-            "clientes": raw.CLIENTES_ORDER,
-            "vendas": raw.VENDAS_ORDER,
-            "preco_competidores": raw.PRECOS_ORDER,
-        },
-    )
-    return checks.row_counts(tables)
+    """Stores all clean tables and marts, then counts their rows."""
+    return checks.row_counts(_refreshed(spark, sf_dir).tables)
 
 
 @query

@@ -18,7 +18,7 @@ from quitanda.session import new_location, shared_folder
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as bench
 from quitanda.sources import raw
-from quitanda.sources.sinks import clustered, documented, write_files, write_table
+from quitanda.sources.sinks import clustered, documented, into_catalog, into_files, write_files, write_table
 from quitanda.streaming.hourly_sales import hourly_sales, refresh_hourly_sales, sales_stream
 
 
@@ -171,22 +171,24 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_folder(cluster)
 
 
+PERIOD, LIMITS = Period.of("1997-01-01", "1997-01-30"), SegmentLimits(D("3000000"), D("1000000"))
+ORDERS = {"clientes": bench.CLIENTES_ORDER, "vendas": bench.VENDAS_ORDER, "preco_competidores": bench.PRECOS_ORDER}
+
+
+@pytest.fixture(scope="module")
+def raw_tables(spark, tiny):
+    views = (bench.produtos, bench.clientes, bench.vendas, bench.preco_competidores)
+    return {view.__name__: view(spark, tiny) for view in views}
+
+
 @pytest.fixture(scope="module")
-def warehouse(spark, tiny):
-    tables = {
-        "produtos": bench.produtos(spark, tiny),
-        "clientes": bench.clientes(spark, tiny),
-        "vendas": bench.vendas(spark, tiny),
-        "preco_competidores": bench.preco_competidores(spark, tiny),
-    }
-    orders = {"clientes": bench.CLIENTES_ORDER, "vendas": bench.VENDAS_ORDER, "preco_competidores": bench.PRECOS_ORDER}
-    period, limits = Period.of("1997-01-01", "1997-01-30"), SegmentLimits(D("3000000"), D("1000000"))
-    return refresh(tables, new_location(spark, "warehouse"), period, limits, orders)
+def warehouse(spark, raw_tables):
+    return refresh(raw_tables, into_files(new_location(spark, "warehouse")), PERIOD, LIMITS, ORDERS)
 
 
 def test_refresh_stores_every_table(warehouse):
-    assert len(warehouse) == 13
-    assert all("parquet" in df.inputFiles()[0] for df in warehouse.values())
+    assert len(warehouse.tables) == 13
+    assert all("parquet" in df.inputFiles()[0] for df in warehouse.tables.values())
 
 
 def test_refresh_equals_the_lazy_marts(spark, tiny, warehouse):
@@ -194,29 +196,44 @@ def test_refresh_equals_the_lazy_marts(spark, tiny, warehouse):
 
     for name in ("vendas_temporais", "vendas_detalhadas", "precos_competitividade", "clientes_segmentacao"):
         lazy = all_queries()[f"gold_{name}"](spark, tiny)
-        stored = warehouse[f"gold.{name}"]
+        stored = warehouse.tables[f"gold.{name}"]
         stored = stored.select(*[F.col(c).cast(t) for c, t in lazy.dtypes])
         assert stored.exceptAll(lazy).count() == lazy.exceptAll(stored).count() == 0, name
 
 
+def test_refresh_counts_violations_while_writing(warehouse):
+    for name, counts in warehouse.violations.items():
+        report = expectations.report(warehouse.tables[f"silver.{name}"], EXPECTATIONS[name]).collect()
+        assert counts == {r.expectativa: r.violacoes for r in report}
+    assert warehouse.violations["vendas"]["venda_depois_do_cadastro"] > 0
+    assert warehouse.violations["preco_competidores"]["id_produto_nao_preenchido"] > 0
+
+
 def test_every_mart_column_is_documented(warehouse):
-    marts = {n.removeprefix("gold."): df for n, df in warehouse.items() if n.startswith("gold.")}
+    marts = {n.removeprefix("gold."): df for n, df in warehouse.tables.items() if n.startswith("gold.")}
     assert set(marts) == set(GOLD_COMMENTS)
     assert checks.undocumented_columns(marts) == []
 
 
-def test_refresh_stops_at_a_failed_expectation(spark, tiny):
-    sales = bench.vendas(spark, tiny).withColumn("quantidade", F.lit(0))
+def test_refresh_stops_at_a_failed_expectation(spark, raw_tables):
+    broken = {**raw_tables, "vendas": raw_tables["vendas"].withColumn("quantidade", F.lit(0))}
     with pytest.raises(Exception, match="quantidade_invalida"):
-        refresh(
-            {
-                "produtos": bench.produtos(spark, tiny),
-                "clientes": bench.clientes(spark, tiny),
-                "vendas": sales,
-                "preco_competidores": bench.preco_competidores(spark, tiny),
-            },
-            new_location(spark, "broken"),
-        )
+        refresh(broken, into_files(new_location(spark, "broken")))
+
+
+def test_strict_refresh_stops_at_promised_severities(spark, raw_tables):
+    with pytest.raises(Exception, match="regiao_nao_preenchida"):
+        refresh(raw_tables, into_files(new_location(spark, "strict")), strict=True)
+
+
+def test_refresh_into_catalog_tables(spark, raw_tables, warehouse):
+    for schema in ("clean", "marts"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    done = refresh(raw_tables, into_catalog("spark_catalog", "clean", "marts"), PERIOD, LIMITS, ORDERS)
+    assert done.violations == warehouse.violations
+    assert len(raw.list_tables(spark, "clean")) == 4 and len(raw.list_tables(spark, "marts")) == 9
+    assert raw.read_table(spark, "vendas", "clean").count() == warehouse.tables["silver.vendas"].count()
+    assert all(c.description for c in spark.catalog.listColumns("marts.vendas_detalhadas"))
 
 
 def test_stream_adds_new_files_and_counts_each_sale_once(spark, tmp_path):

@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def sales_stream(spark: SparkSession, folder: str, schema: StructType, files: str = "*.parquet") -> DataFrame:
-    """New files of ``folder`` as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+def sales_stream(
+    spark: SparkSession, folder: str, schema: StructType, files: str = "*.parquet", files_per_batch: int = 1000
+) -> DataFrame:
+    """New files of ``folder`` as a stream, a bounded number of them per batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def hourly_sales(sales: DataFrame, late: str = "60 days") -> DataFrame:
     """Sales, items and revenue per hour and channel; each sale id counts once.
 
     ``sales`` streams (id_venda, data_venda, id_cliente, canal_venda, quantidade, receita), with
-    ``data_venda`` a zoned timestamp, which watermarks need. State stays bounded: ids and hours
-    older than ``late`` are forgotten. Distinct customers are approximate, as exact ones would
-    have to be remembered for ever.
+    ``data_venda`` a zoned timestamp, which watermarks need. Ids are remembered for ``late``, and
+    sales that arrive even later are left out, so the state holds the ids of that time and one row
+    per hour and channel. Distinct customers are approximate, as exact ones would have to be
+    remembered for ever.
     """
     return (
         sales.withWatermark("data_venda", late)

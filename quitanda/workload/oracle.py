@@ -2,17 +2,8 @@
 
 from __future__ import annotations
 
-_STATES = [
-    "('AC','Acre','Norte'),('AL','Alagoas','Nordeste'),('AM','Amazonas','Norte'),('AP','Amapá','Norte')",
-    "('BA','Bahia','Nordeste'),('CE','Ceará','Nordeste'),('DF','Distrito Federal','Centro-Oeste')",
-    "('ES','Espírito Santo','Sudeste'),('GO','Goiás','Centro-Oeste'),('MA','Maranhão','Nordeste')",
-    "('MT','Mato Grosso','Centro-Oeste'),('MS','Mato Grosso do Sul','Centro-Oeste')",
-    "('MG','Minas Gerais','Sudeste'),('PA','Pará','Norte'),('PB','Paraíba','Nordeste'),('PR','Paraná','Sul')",
-    "('PE','Pernambuco','Nordeste'),('PI','Piauí','Nordeste'),('RJ','Rio de Janeiro','Sudeste')",
-    "('RN','Rio Grande do Norte','Nordeste'),('RS','Rio Grande do Sul','Sul'),('RO','Rondônia','Norte')",
-    "('RR','Roraima','Norte'),('SC','Santa Catarina','Sul'),('SP','São Paulo','Sudeste')",
-    "('SE','Sergipe','Nordeste'),('TO','Tocantins','Norte')",
-]
+from quitanda.functions.states import STATES
+
 _CODES = "ACALAMAPBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 _OWN = "cast(p_retailprice + (p_partkey % 3 - 1) * 450 as decimal(10,2))"
 _HONORIFIC = r"(?i)^(srta|sra|sr|dra|dr)(\s*\.\s*|\s+)"
@@ -90,7 +81,7 @@ _TABLES: dict[str, tuple[list[str], str]] = {
             WHEN 4 THEN 108 ELSE 140 END + l_suppkey % 17 - 8 as int) * cast(0.01 as decimal(3,2)) as decimal(10,2))
             AS preco_concorrente
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey"""),
-    "estados": ([], f"SELECT * FROM (VALUES {','.join(_STATES)}) AS t(uf, nome_estado, regiao)"),
+    "estados": ([], f"SELECT * FROM (VALUES {', '.join(map(str, STATES))}) AS t(uf, nome_estado, regiao)"),
     "s_produtos": (["b_produtos"], f"""
         SELECT id_produto, trim(nome_produto) AS nome_produto, categoria, marca, preco_atual, data_criacao,
           {_BAND} AS faixa_preco

@@ -254,3 +254,17 @@ def test_stream_adds_new_files_and_counts_each_sale_once(spark, tmp_path):
     add((2, at(9, 59), 1, "web", 1, D("1.00")), (3, at(10), 2, "shop", 1, D("9.00")))
     assert run() == {(5, 9, "web"): (2, 3, D("6.00")), (5, 10, "shop"): (1, 1, D("9.00"))}
     assert len(run()) == 2
+
+
+def test_stream_in_several_batches_equals_one(spark, tmp_path):
+    schema = "id_venda bigint, data_venda timestamp, id_cliente bigint, canal_venda string, quantidade int, receita decimal(18,2)"
+    moment = "timestampadd(MINUTE, cast(id % 600 as int), timestamp'2026-01-05 00:00:00')"
+    sales = spark.range(2000).selectExpr(
+        "id % 1500 as id_venda", f"{moment.replace('id', '(id % 1500)')} as data_venda", "id % 1500 % 7 as id_cliente",
+        "'web' as canal_venda", "1 as quantidade", "cast(id % 1500 as decimal(18,2)) as receita",
+    )
+    sales.repartition(5).write.parquet(str(tmp_path / "in"))
+    stream = sales_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, files_per_batch=2)
+    table = refresh_hourly_sales(hourly_sales(stream), str(tmp_path / "table"), str(tmp_path / "state"))
+    once = sales.distinct().groupBy(F.hour("data_venda").alias("hora")).agg(F.count("*").alias("n"), F.sum("receita").alias("r"))
+    assert {(r.hora, r.total_vendas, r.receita) for r in table.collect()} == {tuple(r) for r in once.collect()}

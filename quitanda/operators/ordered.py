@@ -10,7 +10,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quitanda.session import shared_folder
+from quitanda.session import new_location
+from quitanda.sources.sinks import write_files
 
 SLICE = "_slice"
 
@@ -30,11 +31,11 @@ def ordered_totals(
     The rows are range-partitioned by ``order`` into slices of equal size. Ties and groups of any
     size are cut like everything else, since the order is total. Inside a slice an ordinary window
     counts; what lies in earlier slices is added from one small row per group and slice. Slices
-    are checkpointed first: Spark draws range bounds from a sample, and both passes must see the
-    same ones, also after an executor is lost.
+    are written to the shared folder first: Spark draws range bounds from a sample, and both passes
+    must see the same ones, also after an executor is lost. So this call runs a job.
     """
-    shared_folder(df.sparkSession)
-    sliced = df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id()).checkpoint()
+    sliced = df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id())
+    sliced = write_files(sliced, new_location(df.sparkSession, "slices"))
 
     wanted: dict[tuple[str, ...], list[tuple[str, Column | None]]] = defaultdict(list)
     for name, by in (ranks or {}).items():

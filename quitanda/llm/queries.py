@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import mixing, quality_rules, sharding
+from quitanda.llm import mixing, multiset_hash, quality_rules, secret_scan, sharding
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,18 @@ def op4_hash_threshold_mix(spark, sf_dir):
     )
 
 
+@query
+def op6_blob_ledger_secrets(spark, sf_dir):
+    """Spans of secrets in every document, each distinct text scanned once."""
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+@query
+def op9_multiset_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return multiset_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
 

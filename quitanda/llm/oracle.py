@@ -42,6 +42,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM ledger
 """
 
+ORACLES["op1_warc_revisits"] = r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), digested AS (
+  SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31)::BIGINT, 1)), '')
+      AS payload_digest
+  FROM hashed
+), counted AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < original THEN original END AS refers_to
+FROM counted
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import mixing, multiset_hash, quality_rules, secret_scan, sharding
+from quitanda.llm import mixing, multiset_hash, quality_rules, secret_scan, sharding, token_files, warc
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,19 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_warc_revisits(spark, sf_dir):
+    """All pages as archived records, repeated payloads as revisits, read back."""
+    records = warc.deduplicated(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op2_quality_rule_ledger(spark, sf_dir):
     """The ledger of all documents with the current policy's verdict."""
@@ -47,6 +60,12 @@ def op4_hash_threshold_mix(spark, sf_dir):
     )
 
 
+@query
+def op5_token_shards(spark, sf_dir):
+    """Ids of all documents in binary shards, read back through the index."""
+    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 @query
 def op6_blob_ledger_secrets(spark, sf_dir):
     """Spans of secrets in every document, each distinct text scanned once."""

@@ -23,17 +23,21 @@ END_ID = 2
 SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
 # Words a worker remembers the ids of, and characters it splits at a time.
-REMEMBERED, GROUP_CHARS = 400_000, 1_000_000
+REMEMBERED, GROUP_CHARS = 600_000, 1_000_000
 MAGIC = b"QIDS"
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer that splits before every blank that precedes a word.
 
-    Such a piece is encoded alike wherever it stands, so its ids are remembered. New pieces of many
-    texts are encoded in one call; the ids that begin with a blank tell them apart again.
+    Such a piece is encoded alike wherever it stands, so its ids are remembered. The tokenizer also
+    splits around a line feed between words and before a mark that ends a word, so a new piece is put
+    together from the ids of its words. New words of many texts are encoded in few calls; ids that
+    begin with a blank, or are a line feed, tell the words apart again.
     """
 
+    MARKS = ".,;:!?"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -43,54 +47,78 @@ class Encoder:
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.begins = np.zeros(size, bool)
         self.begins[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.irregular = re.compile("|".join([r"\s\s", r"\A\s", r"\s\Z", *map(re.escape, special)]))
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        self.feeds = np.arange(size) == vocabulary["Ċ"]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.doubled = re.compile(r"\s\s")
+        self.marks = {m: self.plain(m) for m in self.MARKS}
+        self.feed = self.plain("\n")
         self.after_blank: dict[str, bytes] = {}
         self.at_start: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 5_000):
-            some = pieces[at : at + 5_000]
-            ids = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids
-            ids = np.asarray(ids, self.dtype)
-            starts = np.flatnonzero(self.begins[ids])
-            if len(starts) == len(some) and starts[0] == 0:
-                data, width = ids.tobytes(), self.dtype.itemsize
+    def learn(self, words: list[str], known: dict[str, bytes], lead: str, begins: np.ndarray, skip: int) -> None:
+        """Ids of words, each after ``lead``, the first ``skip`` ids of each left out."""
+        width = self.dtype.itemsize
+        runs = [words[at : at + 200] for at in range(0, len(words), 200)]
+        encoded = self.tokenizer.encode_batch_fast([lead + lead.join(r) for r in runs], add_special_tokens=False)
+        for run, found in zip(runs, encoded, strict=True):
+            ids = np.asarray(found.ids, self.dtype)
+            starts = np.flatnonzero(begins[ids])
+            if len(starts) == len(run) and starts[0] == 0:
+                data = ids.tobytes()
                 cuts = [*(starts * width).tolist(), len(data)]
-                self.after_blank.update((p, data[a:b]) for p, a, b in zip(some, cuts, cuts[1:]))
+                known.update((w, data[a + skip * width : b]) for w, a, b in zip(run, cuts, cuts[1:]))
             else:
-                self.after_blank.update((p, self.plain(" " + p)) for p in some)
+                known.update((w, self.plain(lead + w)[skip * width :]) for w in run)
 
     def split(self, text: str) -> tuple[str, list[str]] | None:
         """First piece and the pieces after a blank, without it; None for text to encode as a whole."""
-        if self.irregular.search(text):
-            if self.special.search(text):
-                return None
+        if any(s in text for s in self.special):
+            return None
+        if text[:1].isspace() or text[-1:].isspace() or self.doubled.search(text):
             first, *rest = re.split(r"(?= \S)", text)
-            if first.startswith(" ") and first[1:2].strip():
-                return "", [first[1:], *[r[1:] for r in rest]]
             return first, [r[1:] for r in rest]
         first, *rest = text.split(" ")
         return first, rest
 
+    def stem(self, word: str) -> tuple[str, str]:
+        """The word without the mark that ends it, and the mark."""
+        return (word[:-1], word[-1]) if word[-1] in self.marks and word[-2:-1].isalpha() else (word, "")
+
+    def remember(self, new: set[str]) -> None:
+        """Learns pieces that follow a blank."""
+        whole, parts = [], {}
+        for piece in new:
+            lines = piece.split("\n")
+            if "".join(lines).split() != ["".join(lines)] or not all(lines) or piece[0].isspace():
+                whole.append(piece)  # other white space, or none between line feeds: nothing to rely on
+            else:
+                parts[piece] = [self.stem(line) for line in lines]
+        self.after_blank.update((p, self.plain(" " + p)) for p in whole)
+        stems = {p[0][0] for p in parts.values()}.difference(self.after_blank)
+        self.learn(list(stems), self.after_blank, " ", self.begins, 0)
+        others = {stem for p in parts.values() for stem, _ in p[1:]}.difference(self.at_start)
+        self.learn(list(others), self.at_start, "\n", self.feeds, 1)
+        marks = self.marks
+        for piece, ((stem, mark), *lines) in parts.items():
+            if lines or mark:
+                ids = self.after_blank[stem] + (marks[mark] if mark else b"")
+                for stem, mark in lines:
+                    ids += self.feed + self.at_start[stem] + (marks[mark] if mark else b"")
+                self.after_blank[piece] = ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.after_blank) + len(self.at_start) > REMEMBERED:
             self.after_blank, self.at_start = {}, {}
         parts = [self.split(t) for t in texts]
-        new = set().union(*[p[1] for p in parts if p]).difference(self.after_blank)
-        # A piece may hold other white space than blanks at its end, which would swallow the next blank.
-        odd = [p for p in new if p[-1:].isspace() or not p or " " in p]
-        self.after_blank.update((p, self.plain(" " + p)) for p in odd)
-        self.learn(sorted(new.difference(odd)))
-        for first in {p[0] for p in parts if p and p[0]}.difference(self.at_start):
+        self.remember(set().union(*[p[1] for p in parts if p]).difference(self.after_blank))
+        for first in {p[0] for p in parts if p}.difference(self.at_start):
             self.at_start[first] = self.plain(first)
         ids = self.after_blank.__getitem__
         return [
-            self.plain(t) if p is None else (self.at_start[p[0]] if p[0] else b"") + b"".join(map(ids, p[1]))
+            self.plain(t) if p is None else self.at_start[p[0]] + b"".join(map(ids, p[1]))
             for t, p in zip(texts, parts, strict=True)
         ]
 

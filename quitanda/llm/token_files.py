@@ -12,6 +12,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +23,29 @@ from quitanda.session import new_location
 END_ID = 2
 SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
-# Words a worker remembers the ids of, and characters it splits at a time.
-REMEMBERED, GROUP_CHARS = 600_000, 1_000_000
+# Pieces of text a worker remembers the ids of, and bytes it splits at a time.
+REMEMBERED, GROUP_BYTES = 1_000_000, 4_000_000
 MAGIC = b"QIDS"
 
 
+# White space that makes a text irregular: doubled, at an end, or anything but blanks and line feeds; and
+# the characters that mark pieces below.
+IRREGULAR = (
+    r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\x00\t\x0B-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer that splits before every blank that precedes a word.
+    """Ids of whole texts by a byte-level tokenizer that splits before a blank that precedes a word.
 
     Such a piece is encoded alike wherever it stands, so its ids are remembered. The tokenizer also
-    splits around a line feed between words and before a mark that ends a word, so a new piece is put
-    together from the ids of its words. New words of many texts are encoded in few calls; ids that
-    begin with a blank, or are a line feed, tell the words apart again.
+    splits around a line feed between words and before a mark that ends a word, so pieces are put
+    together from the ids of words. New words are encoded together; ids that begin with a blank, or
+    are a line feed, tell them apart again. Texts with other white space are encoded as a whole.
     """
 
-    MARKS = ".,;:!?"
+    MARKS = frozenset(".,;:!?")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,18 +57,18 @@ class Encoder:
         self.begins = np.zeros(size, bool)
         self.begins[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
         self.feeds = np.arange(size) == vocabulary["Ċ"]
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.doubled = re.compile(r"\s\s")
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.irregular = "|".join([IRREGULAR, *special])
         self.marks = {m: self.plain(m) for m in self.MARKS}
         self.feed = self.plain("\n")
-        self.after_blank: dict[str, bytes] = {}
-        self.at_start: dict[str, bytes] = {}
+        # By piece: "word" after a blank, "\0word" after nothing, "\nword" with the line feed before it.
+        self.known: dict[str, bytes] = {"\0": b""}
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def learn(self, words: list[str], known: dict[str, bytes], lead: str, begins: np.ndarray, skip: int) -> None:
-        """Ids of words, each after ``lead``, the first ``skip`` ids of each left out."""
+    def learn(self, words: list[str], lead: str, begins: np.ndarray, skip: int, prefix: str) -> None:
+        """Ids of words, each after ``lead``, without the first ``skip`` ids; known as prefix + word."""
         width = self.dtype.itemsize
         runs = [words[at : at + 200] for at in range(0, len(words), 200)]
         encoded = self.tokenizer.encode_batch_fast([lead + lead.join(r) for r in runs], add_special_tokens=False)
@@ -69,58 +78,64 @@ class Encoder:
             if len(starts) == len(run) and starts[0] == 0:
                 data = ids.tobytes()
                 cuts = [*(starts * width).tolist(), len(data)]
-                known.update((w, data[a + skip * width : b]) for w, a, b in zip(run, cuts, cuts[1:]))
+                self.known.update((prefix + w, data[a + skip * width : b]) for w, a, b in zip(run, cuts, cuts[1:]))
             else:
-                known.update((w, self.plain(lead + w)[skip * width :]) for w in run)
-
-    def split(self, text: str) -> tuple[str, list[str]] | None:
-        """First piece and the pieces after a blank, without it; None for text to encode as a whole."""
-        if any(s in text for s in self.special):
-            return None
-        if text[:1].isspace() or text[-1:].isspace() or self.doubled.search(text):
-            first, *rest = re.split(r"(?= \S)", text)
-            return first, [r[1:] for r in rest]
-        first, *rest = text.split(" ")
-        return first, rest
-
-    def stem(self, word: str) -> tuple[str, str]:
-        """The word without the mark that ends it, and the mark."""
-        return (word[:-1], word[-1]) if word[-1] in self.marks and word[-2:-1].isalpha() else (word, "")
-
-    def remember(self, new: set[str]) -> None:
-        """Learns pieces that follow a blank."""
-        whole, parts = [], {}
-        for piece in new:
-            lines = piece.split("\n")
-            if "".join(lines).split() != ["".join(lines)] or not all(lines) or piece[0].isspace():
-                whole.append(piece)  # other white space, or none between line feeds: nothing to rely on
+                self.known.update((prefix + w, self.plain(lead + w)[skip * width :]) for w in run)
+
+    def remember(self, pieces: list[str]) -> None:
+        known, marks = self.known, self.MARKS
+        new = [p for p in pieces if p not in known]
+        stems = [p[:-1] if p[-1] in marks and p[-2:-1].isalpha() else p for p in new]
+        blank = {s for s in stems if s[0] not in "\0\n"}
+        bare = {s[1:] for s in stems if s[0] in "\0\n"}
+        self.learn([w for w in blank if w not in known], " ", self.begins, 0, "")
+        self.learn([w for w in bare if "\0" + w not in known], "\n", self.feeds, 1, "\0")
+        for piece, stem in zip(new, stems, strict=True):
+            if stem[0] == "\n":
+                ids = self.feed + known["\0" + stem[1:]]
+            elif stem is piece:
+                continue
             else:
-                parts[piece] = [self.stem(line) for line in lines]
-        self.after_blank.update((p, self.plain(" " + p)) for p in whole)
-        stems = {p[0][0] for p in parts.values()}.difference(self.after_blank)
-        self.learn(list(stems), self.after_blank, " ", self.begins, 0)
-        others = {stem for p in parts.values() for stem, _ in p[1:]}.difference(self.at_start)
-        self.learn(list(others), self.at_start, "\n", self.feeds, 1)
-        marks = self.marks
-        for piece, ((stem, mark), *lines) in parts.items():
-            if lines or mark:
-                ids = self.after_blank[stem] + (marks[mark] if mark else b"")
-                for stem, mark in lines:
-                    ids += self.feed + self.at_start[stem] + (marks[mark] if mark else b"")
-                self.after_blank[piece] = ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.after_blank) + len(self.at_start) > REMEMBERED:
-            self.after_blank, self.at_start = {}, {}
-        parts = [self.split(t) for t in texts]
-        self.remember(set().union(*[p[1] for p in parts if p]).difference(self.after_blank))
-        for first in {p[0] for p in parts if p}.difference(self.at_start):
-            self.at_start[first] = self.plain(first)
-        ids = self.after_blank.__getitem__
-        return [
-            self.plain(t) if p is None else self.at_start[p[0]] + b"".join(map(ids, p[1]))
-            for t, p in zip(texts, parts, strict=True)
-        ]
+                ids = known[stem]
+            known[piece] = ids if len(stem) == len(piece) else ids + self.marks[piece[-1]]
+
+    def regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's ids begin and end."""
+        marked = pc.replace_substring(pc.binary_join_element_wise("\0", texts, ""), "\n", " \n")
+        split = pc.split_pattern(marked, " ")
+        pieces = split.flatten().dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.known = {"\0": b""}
+        self.remember(distinct)
+        found = list(map(self.known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        begin = np.cumsum(sizes) - sizes
+        at = pieces.indices.to_numpy()
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        source = np.repeat(begin[at] - ends + lengths, lengths) + np.arange(total)
+        ids = np.frombuffer(b"".join(found), self.dtype)[source]
+        edges = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return ids, edges
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of every text, as the bytes of little-endian numbers."""
+        texts = texts.cast(pa.string())
+        odd = pc.match_substring_regex(texts, self.irregular)
+        ids, edges = self.regular(texts.filter(pc.invert(odd)))
+        data, width = ids.tobytes(), self.dtype.itemsize
+        cuts = iter((edges * width).tolist())
+        at, result = next(cuts), []
+        for is_odd, text in zip(odd.to_pylist(), texts, strict=True):
+            if is_odd:
+                result.append(self.plain(text.as_py()))
+            else:
+                end = next(cuts)
+                result.append(data[at:end])
+                at = end
+        return pa.array(result, pa.binary())
 
 
 @cache
@@ -128,17 +143,15 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[pa.Array]:
+    """Runs of texts of about ``most`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 def footer(keys: list[int | None], sizes: list[int], width: int) -> bytes:
@@ -195,10 +208,10 @@ def write_shards(
         encode, keys, sizes = encoder(tokenizer).encode, [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            for run in groups(batch.column(1).to_pylist()):
+            for run in groups(batch.column(1)):
                 ids = encode(run)
-                sizes += [len(i) // dtype.itemsize + 1 for i in ids]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+                sizes += (pc.binary_length(ids).to_numpy().astype(np.int64) // dtype.itemsize + 1).tolist()
+                yield pa.RecordBatch.from_arrays([ids], ["ids"])
         if keys:
             tail = footer(keys, sizes, dtype.itemsize)
             yield pa.RecordBatch.from_arrays([pa.array([tail], pa.binary())], ["ids"])

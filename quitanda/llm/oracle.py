@@ -60,6 +60,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM counted
 """
 
+ORACLES["op8_hyperminhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) IN (1, 2)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), linked AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
+  WHERE 100 * both_have >= 85 * (m.n + n.n - both_have)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a
+)
+SELECT a AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, min(b) = a AS kept
+FROM reached LEFT JOIN sizes ON doc_id = a GROUP BY a
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import mixing, multiset_hash, quality_rules, secret_scan, sharding, token_files, warc
+from quitanda.llm import mixing, multiset_hash, near_dedup, quality_rules, secret_scan, sharding, token_files, warc
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,12 @@ def op6_blob_ledger_secrets(spark, sf_dir):
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+@query
+def op8_hyperminhash_dedup(spark, sf_dir):
+    """Components of near-duplicate documents, three words and 85%."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_multiset_fingerprints(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""

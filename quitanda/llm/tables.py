@@ -39,7 +39,7 @@ def with_key_values(
     values: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``facts`` left join ``per_key`` on the string column ``key``, whatever the skew.
+    """``facts`` left join ``per_key`` on ``key``, a string or bigint column, whatever the skew.
 
     ``per_key`` has one row per key, NULL excluded, and says in ``rows`` how many facts have it;
     its values are numbers or short texts. It is read several times and should be stored. If it is
@@ -49,7 +49,7 @@ def with_key_values(
     ``per_key`` in a plain shuffled join. Facts without a key get NULL values.
     """
     spark = facts.sparkSession
-    count, size, total = per_key.agg(F.count("*"), F.sum(F.octet_length(key)), F.sum(rows)).first()
+    count, size, total = per_key.agg(F.count("*"), F.sum(F.octet_length(F.col(key).cast("string"))), F.sum(rows)).first()
     if count <= broadcast_rows and (size or 0) <= BROADCAST_BYTES:
         all_keys = per_key.select(F.col(key).alias("_k"), *[F.col(v).alias(f"_v_{v}") for v in values])
         joined = facts.join(F.broadcast(all_keys), F.col(key) == F.col("_k"), "left")
@@ -60,13 +60,13 @@ def with_key_values(
         F.col("_k").alias("_hot"), *[F.col(f"_v_{v}").alias(f"_h_{v}") for v in values]
     )
     rest = renamed.where(F.col("_n") < hot_from).drop("_n")
-    anywhere = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
+    # A made-up key may equal a real one; what it finds there is not used.
+    anywhere = F.xxhash64(F.monotonically_increasing_id()).cast(facts.schema[key].dataType)
     routed = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
         "_route", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), anywhere).otherwise(F.col(key))
     )
     joined = routed.join(rest.hint("merge"), F.col("_route") == F.col("_k"), "left")
-    found = [
-        F.when(F.col("_hot").isNotNull(), F.col(f"_h_{v}")).otherwise(F.col(f"_v_{v}")).alias(v) for v in values
-    ]
+    is_hot, has_key = F.col("_hot").isNotNull(), F.col(key).isNotNull()
+    found = [F.when(is_hot, F.col(f"_h_{v}")).when(has_key, F.col(f"_v_{v}")).alias(v) for v in values]
     return joined.select(*facts.columns, *found)
 

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quitanda.llm.hashing import groups, mixed
 from quitanda.llm.tables import stored, tasks
 from quitanda.operators.ordered import ordered_totals
 from quitanda.session import new_location
@@ -23,8 +24,8 @@ from quitanda.session import new_location
 END_ID = 2
 SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
-# Pieces of text a worker remembers the ids of, and bytes it splits at a time.
-REMEMBERED, GROUP_BYTES = 1_000_000, 4_000_000
+# Pieces of text a worker remembers the ids of.
+REMEMBERED = 1_000_000
 MAGIC = b"QIDS"
 
 
@@ -143,17 +144,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[pa.Array]:
-    """Runs of texts of about ``most`` bytes."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        before = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
-        yield texts.slice(at, end - at)
-        at = end
-
-
 def footer(keys: list[int | None], sizes: list[int], width: int) -> bytes:
     """Keys, whether there is one, and numbers of ids, end id included; then their count and the id width."""
     n = len(keys)
@@ -262,15 +252,6 @@ def read_shards(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
 GAMMA = 2.0
 
 
-def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
-    """64 well-mixed bits of each key; different keys stay different."""
-    with np.errstate(over="ignore"):
-        x = keys.astype(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def fingerprint(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys, 1 << 20) >> np.uint64(32)).astype(np.uint32)
 

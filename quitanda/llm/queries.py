@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import mixing, multiset_hash, near_dedup, quality_rules, secret_scan, sharding, token_files, warc
+from quitanda.llm import line_quality, mixing, multiset_hash, near_dedup, quality_rules, secret_scan, sharding, token_files, warc
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,13 @@ def op2_quality_rule_ledger(spark, sf_dir):
     )
 
 
+@query
+def op3_line_crf_quality(spark, sf_dir):
+    """Quality of every document by a random field over lines, fitted on labelled rows."""
+    documents = table(spark, sf_dir, "documents")
+    return line_quality.scored(documents, line_quality.learned(documents, table(spark, sf_dir, "labels")))
+
+
 @query
 def op4_hash_threshold_mix(spark, sf_dir):
     """All documents mixed by weights 1, 2, 3; no document more than three times."""

@@ -25,7 +25,7 @@ END_ID = 2
 SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
 # Pieces of text a worker remembers the ids of.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 MAGIC = b"QIDS"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import line_quality, mixing, multiset_hash, near_dedup, quality_rules, secret_scan, sharding, token_files, warc
+from quitanda.llm import line_quality, mixing, multiset_hash, near_dedup, quality_rules, secret_scan, segment_sampling, sharding, token_files, warc
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ def op6_blob_ledger_secrets(spark, sf_dir):
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+@query
+def op7_sampled_segmentations(spark, sf_dir):
+    """Two segmentations of every document, drawn without replacement."""
+    return segment_sampling.segmentations(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op8_hyperminhash_dedup(spark, sf_dir):
     """Components of near-duplicate documents, three words and 85%."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quitanda.llm.tables import WORD, stored, with_key_values
@@ -15,7 +15,7 @@ BITS, LEVELS = 12, 5
 PLACES = 1 << (BITS * LEVELS)
 
 
-def word_count(text: str = "text"):
+def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
@@ -105,14 +105,21 @@ def thresholds(placed: DataFrame, budgets: DataFrame) -> DataFrame:
     return found.select("source_key", "budget", "threshold")
 
 
+def placed_column(key: str, text: str) -> Column:
+    """60 bits of the hash of the key, of the text where there is none."""
+    hashed = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col(text), F.lit("")))
+    return hashed.bitwiseAND(F.lit(PLACES - 1))
+
+
+def source_key(source: str) -> Column:
+    """Orders as the source does, NULL last, and is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("source_key")
+
+
 def placed_sizes(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(key, source_key, place, size) of every row: what mixing needs to know, without the texts."""
-    place = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col(text), F.lit("")))
     return df.select(
-        F.col(key),
-        F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("source_key"),
-        place.bitwiseAND(F.lit(PLACES - 1)).alias("place"),
-        word_count(text).alias("size"),
+        F.col(key), source_key(source), placed_column(key, text).alias("place"), word_count(text).alias("size")
     )
 
 
@@ -142,7 +149,8 @@ def mix(
     most: int = 3,
     total: float | None = None,
 ) -> DataFrame:
-    """Adds ``source_size``, ``target`` and ``taken_copies`` to ``df``, which has source_key, place and size.
+    """Adds ``source_size``, ``target`` and ``taken_copies`` to ``df``, which has source_key and place;
+    ``placed`` has (source_key, place, size) of the same rows and should be stored.
 
     Sources in code-point order, NULL last, weigh ``weights``, repeating, and share ``total`` words
     (by default all); see `targets`. A source's documents are taken floor(target / size) times, and
@@ -158,3 +166,18 @@ def mix(
     extra = (F.col("place") < F.col("threshold")).cast("bigint")
     taken = F.least(F.col("copies") + extra, F.lit(most).cast("bigint"))
     return joined.withColumn("taken_copies", taken).drop("copies", "threshold")
+
+
+def mixed_rows(
+    df: DataFrame,
+    weights: Sequence[float] = (1, 2, 3),
+    most: int = 3,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The rows of ``df`` as often as `mix` takes them, with all their columns and no others."""
+    placed = stored(placed_sizes(df, key, text, source).drop(key), "placed")
+    whole = df.select(F.struct("*").alias("_row"), placed_column(key, text).alias("place"), source_key(source))
+    taken = mix(whole, placed, weights, most).where("taken_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("taken_copies").cast("int")))).select("_row.*")

@@ -335,26 +335,15 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
         )
 
 
-def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85
-) -> DataFrame:
-    """Per row: key, n_shingles, component_id and kept, for links of ``percent`` similar sets of
-    ``words``-word shingles, A-Z in lower case.
+def with_ids(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with ``_id``: the key, or from 2**62 on a number made from the text."""
+    made_up = F.lit(SURROGATE) + F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(SURROGATE >> 1))
+    return df.withColumn("_id", F.coalesce(F.col(key).cast("bigint"), made_up))
 
-    Rows with equal sets are one class, whatever their number; representatives of classes are
-    linked as in `links`, and links confirmed on whole sets of 64-bit hashes. component_id is the
-    smallest key connected to the row, itself included; kept says that it is the row's own. Keys lie below 2**62.
 
-    A pair at the threshold shares no band once in a million, one well above it never. Rows without
-    words or text (NULL) have an empty set, are linked with nothing and kept. Rows without a key are
-    linked like others and never give the component its id; they are kept only if nothing they are
-    connected to has a key. Rows with equal keys are taken for one document and share a component. Extra
-    columns are ignored; an empty table gives no rows.
-    """
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, n_shingles, component) of every row of (id, text), see `near_duplicates`."""
     rows = band_rows(percent)
-    filled = F.coalesce(F.col(text), F.lit(""))
-    surrogate = F.lit(SURROGATE) + F.pmod(F.xxhash64(filled), F.lit(SURROGATE >> 1))
-    docs = df.select(F.coalesce(F.col(key).cast("bigint"), surrogate).alias("id"), filled.alias("text"))
     sketched = stored(sketches(docs, words, BANDS * rows), "sketches")
     classes = stored(
         sketched.where("set_key IS NOT NULL")
@@ -371,10 +360,49 @@ def near_duplicates(
         "resolved",
     )
     joined = with_key_values(sketched.drop("registers"), resolved, "set_key", "rows", ["component"])
-    component = F.coalesce("component", "id")
-    return joined.select(
-        F.when(F.col("id") < SURROGATE, F.col("id")).alias(key),
+    return joined.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85
+) -> DataFrame:
+    """Per row: key, n_shingles, component_id and kept, for links of ``percent`` similar sets of
+    ``words``-word shingles, A-Z in lower case.
+
+    Rows with equal sets are one class, whatever their number; representatives of classes are
+    linked as in `links`, and links confirmed on whole sets of 64-bit hashes. component_id is the
+    smallest key connected to the row, itself included; kept says that it is the row's own. Keys
+    lie below 2**62.
+
+    A pair at the threshold shares no band once in a million, one well above it never. Rows without
+    words or text (NULL) have an empty set, are linked with nothing and kept. Rows without a key are
+    linked like others under a made-up one, which is greater than any key: component_id is NULL
+    and one of them is kept if nothing they are connected to has a key, else none of them is. Rows
+    with equal keys are taken for one document and share its fate. Extra columns are ignored; an
+    empty table gives no rows.
+    """
+    docs = with_ids(df, key, text).select(F.col("_id").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    is_key = lambda c: F.when(F.col(c) < SURROGATE, F.col(c))
+    return grouped(docs, words, percent).select(
+        is_key("id").alias(key),
         "n_shingles",
-        F.when(component < SURROGATE, component).alias("component_id"),
-        F.when(component < SURROGATE, component == F.col("id")).otherwise(F.lit(True)).alias("kept"),
+        is_key("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
     )
+
+
+def one_of_each(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``df`` that `near_duplicates` keeps, with all their columns.
+
+    Only rows whose id may be among those dropped, by a sieve of bounded size, are shuffled to find out.
+    """
+    ids = with_ids(df, key, text)
+    docs = ids.select(F.col("_id").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    dropped = stored(grouped(docs, words, percent).where("id <> component").select("id").distinct(), "dropped")
+    sieve = F.broadcast(dropped.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct())
+    hashed = ids.withColumn("_s", F.pmod(F.xxhash64("_id"), F.lit(SIEVE)))
+    clear = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_anti")
+    doubtful = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_semi")
+    return clear.unionByName(doubtful.join(dropped, F.col("_id") == F.col("id"), "left_anti")).select(*df.columns)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm import line_quality, mixing, multiset_hash, near_dedup, quality_rules, secret_scan, segment_sampling, sharding, token_files, warc
+from quitanda.llm import (
+    line_quality,
+    mixing,
+    multiset_hash,
+    near_dedup,
+    quality_rules,
+    secret_scan,
+    segment_sampling,
+    sharding,
+    token_files,
+    warc,
+)
 from quitanda.llm.tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm.hashing import groups, mixed, word_hashes
@@ -335,10 +335,10 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
         )
 
 
-def with_ids(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with ``_id``: the key, or from 2**62 on a number made from the text."""
+def id_of(key: str, text: str) -> Column:
+    """The key, or from 2**62 on a number made from the text."""
     made_up = F.lit(SURROGATE) + F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(SURROGATE >> 1))
-    return df.withColumn("_id", F.coalesce(F.col(key).cast("bigint"), made_up))
+    return F.coalesce(F.col(key).cast("bigint"), made_up).alias("id")
 
 
 def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -381,7 +381,7 @@ def near_duplicates(
     with equal keys are taken for one document and share its fate. Extra columns are ignored; an
     empty table gives no rows.
     """
-    docs = with_ids(df, key, text).select(F.col("_id").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = df.select(id_of(key, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
     is_key = lambda c: F.when(F.col(c) < SURROGATE, F.col(c))
     return grouped(docs, words, percent).select(
         is_key("id").alias(key),
@@ -398,11 +398,11 @@ def one_of_each(
 
     Only rows whose id may be among those dropped, by a sieve of bounded size, are shuffled to find out.
     """
-    ids = with_ids(df, key, text)
-    docs = ids.select(F.col("_id").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = df.select(id_of(key, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
     dropped = stored(grouped(docs, words, percent).where("id <> component").select("id").distinct(), "dropped")
     sieve = F.broadcast(dropped.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct())
-    hashed = ids.withColumn("_s", F.pmod(F.xxhash64("_id"), F.lit(SIEVE)))
+    whole = df.select(F.struct("*").alias("_row"), id_of(key, text))
+    hashed = whole.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(SIEVE)))
     clear = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_anti")
-    doubtful = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_semi")
-    return clear.unionByName(doubtful.join(dropped, F.col("_id") == F.col("id"), "left_anti")).select(*df.columns)
+    doubtful = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_semi").join(dropped, "id", "left_anti")
+    return clear.unionByName(doubtful).select("_row.*")

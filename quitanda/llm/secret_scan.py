@@ -214,16 +214,15 @@ def redacted(df: DataFrame, ledger: Ledger, text: str = "text", rules: Sequence[
 
     Overlapping spans become one mark. Texts without findings, NULL ones included, are unchanged.
     """
-    hidden = df.withColumn("_blob", blob_of(text))
-    per = per_blob(ledger, rules).withColumnsRenamed({"blob": "_blob", "cuts": "_cuts", "tail": "_tail"})
-    joined = with_key_values(hidden, per, "_blob", "paths", ["_cuts", "_tail"])
+    whole = df.select(F.struct("*").alias("_row"), F.col(text).alias("_text"), blob_of(text).alias("blob"))
+    joined = with_key_values(whole, per_blob(ledger, rules), "blob", "paths", ["cuts", "tail"])
 
     def piece(cut: Column) -> Column:
         ends = F.split(cut, ":")
         begin = ends[0].cast("int")
-        return F.substring(F.col(text), begin + 1, ends[1].cast("int") - begin)
+        return F.substring("_text", begin + 1, ends[1].cast("int") - begin)
 
-    kept = F.array_join(F.transform(F.split("_cuts", ","), piece), MARK)
-    rest = F.substring(F.col(text), F.col("_tail").cast("int") + 1, F.char_length(text))
-    clean = F.when(F.col("_cuts").isNotNull(), F.concat(kept, F.lit(MARK), rest)).otherwise(F.col(text))
-    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in df.columns])
+    kept = F.array_join(F.transform(F.split("cuts", ","), piece), MARK)
+    rest = F.substring("_text", F.col("tail").cast("int") + 1, F.char_length("_text"))
+    clean = F.when(F.col("cuts").isNotNull(), F.concat(kept, F.lit(MARK), rest)).otherwise(F.col("_text"))
+    return joined.select(*[clean.alias(c) if c == text else F.col(f"_row.`{c}`") for c in df.columns])

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 ALL = (1 << 64) - 1
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 500_000
 
 
 def mixed(keys: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -21,7 +21,7 @@ EMPTY = 0xFFFF
 PROBES = 64
 # Documents without an id get one from here on, by their text's hash. Texts to verify are first sieved by this many hash values.
 SURROGATE, SIEVE = 1 << 62, 1 << 20
-LEADERS = 4
+LEADERS = 16
 
 
 def band_rows(percent: int, bands: int = BANDS) -> int:
@@ -286,7 +286,7 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
 
     Documents that share a band are candidates. A band's members are not paired with each other but
     with leaders: first one per band, then, where members of a band are still in different
-    components, four times as many in each further round. A leader that met all other members of
+    components, 16 times as many in each further round. A leader that met all other members of
     its band has done its work there. It ends when every band's members are in one component or have all
     been leaders, so no candidate pair is left untested, and large bands of like documents need one
     round.
@@ -328,8 +328,9 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = linker.linked(pairs)
-        found = new if found is None else found.unionByName(new)
-        labels = components(found)
+        if labels is None or new.take(1):
+            found = new if found is None else found.unionByName(new)
+            labels = components(found)
         members = stored(
             labelled.join(leaders.select("band", "id"), ["band", "id"], "left_anti").select("band", "id", "n"), "members"
         )

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from quitanda.llm.hashing import ALL, groups, mixed
 
 BLANK = "▁"
-GROUP_BYTES = 3_000_000
+GROUP_BYTES = 1_000_000
 # Characters below this code, and the blank mark, have a place in the table of adjacent pairs.
 SMALL = 0x250
+TABLE_BITS = 19
 
 
 class Lattice:
@@ -44,11 +45,19 @@ class Lattice:
         scores = scores / temperature
         self.spelled = scores.min() - 1.0
         self.longest = max(map(len, pieces))
-        # Pieces by a hash of their characters; the hash of a substring is a difference of prefix hashes.
-        self.powers = mixed(np.array([5], np.uint64), 5)[0] | np.uint64(1)
-        keys = np.array([self.hash_of(p) for p in pieces], np.uint64)
+        # Beginnings of pieces by a hash of their characters, which grows character by character. A table of
+        # the hash's first bits leads to one of them, a sorted list to the others with the same bits.
+        self.power = int(mixed(np.array([5], np.uint64), 5)[0]) | 1
+        self.ids, self.scores = np.array(usual), scores
+        begins = dict.fromkeys((p[:n] for p in pieces for n in range(1, len(p))), -1)
+        begins.update((p, i) for i, p in enumerate(pieces))
+        keys = np.array([self.hash_of(p) for p in begins], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.ids, self.scores = keys[order], np.array(usual)[order], scores[order]
+        self.keys, self.piece = keys[order], np.array(list(begins.values()))[order]
+        slot = self.keys >> np.uint64(64 - TABLE_BITS)
+        self.table = np.full(1 << TABLE_BITS, len(self.keys) - 1, np.int32)
+        self.table[slot[::-1]] = np.arange(len(self.keys), dtype=np.int32)[::-1]
+        self.crowded = np.bincount(slot.astype(np.int64), minlength=1 << TABLE_BITS) > 1
         self.allowed = np.zeros((SMALL + 2, SMALL + 2), bool)
         self.allowed[SMALL + 1, :] = self.allowed[:, SMALL + 1] = True
         for piece in pieces:
@@ -62,9 +71,18 @@ class Lattice:
     def hash_of(self, piece: str) -> int:
         value = 0
         for c in mixed(np.frombuffer(piece.encode("utf-32-le"), np.uint32), 9).tolist():
-            value = (value * int(self.powers) + c) & ALL
+            value = (value * self.power + c) & ALL
         return value
 
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are those of a piece's beginning, and their pieces, -1 for a mere beginning."""
+        slot = hashes >> np.uint64(64 - TABLE_BITS)
+        at = self.table[slot]
+        missed = np.flatnonzero(self.crowded[slot] & (self.keys[at] != hashes))
+        at[missed] = np.minimum(np.searchsorted(self.keys, hashes[missed]), len(self.keys) - 1)
+        found = np.flatnonzero(self.keys[at] == hashes)
+        return found, self.piece[at[found]]
+
     @staticmethod
     def small(codes: np.ndarray) -> np.ndarray:
         return np.where(codes < SMALL, codes, np.where(codes == ord(BLANK), SMALL, SMALL + 1)).astype(np.int64)
@@ -106,16 +124,17 @@ def units_of(texts: list[str], lattice: Lattice) -> Units:
     cell = np.concatenate([[0], np.cumsum(width)])
     edge, score = np.zeros(cell[-1], np.int32), np.full(cell[-1], -np.inf)
     hashed = mixed(codes, 9)
-    fits, run = np.arange(n), np.zeros(n, np.uint64)
+    fits, run, power = np.arange(n), np.zeros(n, np.uint64), np.uint64(lattice.power)
     with np.errstate(over="ignore"):
         for slot in range(int(width.max()) if n else 0):
             more = width[fits] > slot
             fits, run = fits[more], run[more]
-            run = run * lattice.powers + hashed[fits + slot]
-            at = np.minimum(np.searchsorted(lattice.keys, run), len(lattice.keys) - 1)
-            hit = np.flatnonzero(lattice.keys[at] == run)
-            cells = cell[fits[hit]] + slot
-            edge[cells], score[cells] = lattice.ids[at[hit]], lattice.scores[at[hit]]
+            run = run * power + hashed[fits + slot]
+            found, piece = lattice.find(run)
+            fits, run = fits[found], run[found]  # others begin no piece
+            whole = np.flatnonzero(piece >= 0)
+            cells = cell[fits[whole]] + slot
+            edge[cells], score[cells] = lattice.ids[piece[whole]], lattice.scores[piece[whole]]
     bare = np.flatnonzero(np.isneginf(score[cell[:-1]]))
     edge[cell[bare]], score[cell[bare]] = -1 - codes[bare].astype(np.int64), lattice.spelled
     # Backward sums, all units at once, from their ends.

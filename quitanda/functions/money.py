@@ -30,7 +30,8 @@ def price(value: Column) -> Column:
 
 
 def line_revenue(quantity: Column, unit_price: Column) -> Column:
-    return (quantity * unit_price).cast(REVENUE)
+    """Exact; NULL where the product does not fit, which an expectation marks."""
+    return (quantity * unit_price).try_cast(REVENUE)
 
 
 def bucketize(value: Column, steps: Sequence[tuple], default: str, strict: bool = True) -> Column:

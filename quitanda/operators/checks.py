@@ -97,9 +97,10 @@ def customer_checks(clientes: DataFrame, honorifics: int) -> DataFrame:
 
 
 def segment_checks(
-    segmentos: DataFrame, limits: SegmentLimits = DEFAULT_LIMITS, counts: Mapping[str, int] | None = None
+    segmentos: DataFrame, limits: SegmentLimits = DEFAULT_LIMITS, counts: Mapping[str, int | Column] | None = None
 ) -> DataFrame:
-    """Known segments only, no VIP below the limit, and, if given, the expected size of each."""
+    """Known segments only, no VIP below the limit, and, if given, the expected size of each: numbers,
+    or those that `expected_segments` finds in the clean tables."""
     name, revenue = F.col("segmento_cliente"), F.col("receita")
     checks = [
         Check("segmento_desconhecido", F.count_if(~F.coalesce(name.isin(*money.SEGMENTS), F.lit(False))), "=", 0),
@@ -111,8 +112,40 @@ def segment_checks(
     return run_checks(segmentos, checks)
 
 
-def detail_checks(detalhe: DataFrame, rows: int | None = None, ecommerce: int | None = None) -> DataFrame:
-    """Every sale has segment and region; optionally the expected row counts."""
+def expected_segments(
+    vendas: DataFrame,
+    clientes: DataFrame,
+    period: Period | None = DEFAULT_PERIOD,
+    limits: SegmentLimits = DEFAULT_LIMITS,
+) -> dict[str, Column]:
+    """Customers per segment, straight from the clean tables; the rest of them are regular."""
+    spent = vendas.where(calendar.within(F.col("data"), period)).groupBy("id_cliente").agg(F.sum("receita").alias("gasto"))
+    known = spent.join(clientes.where(F.col("id_cliente").isNotNull()), "id_cliente", "left_semi")
+    vip = known.where(F.col("gasto") >= F.lit(limits.vip)).agg(F.count("*")).scalar()
+    upper = known.where(F.col("gasto") >= F.lit(limits.top_tier)).agg(F.count("*")).scalar()
+    return {"VIP": vip, "TOP_TIER": upper - vip, "REGULAR": clientes.agg(F.count("*")).scalar() - upper}
+
+
+def expected_prices(produtos: DataFrame, precos: DataFrame) -> dict[str, Column]:
+    """What `price_checks` should find, straight from the clean tables, prices with their flag."""
+    dearest = precos.groupBy("id_produto").agg(F.max("preco_concorrente").alias("maximo"))
+    dearer = produtos.join(dearest, "id_produto").where(F.col("preco_atual") > F.col("maximo"))
+    flagged = precos.where("preco_suspeito").agg(F.count_distinct("id_produto"))
+    return {
+        "products": produtos.agg(F.count("*")).scalar(),
+        "dearest": dearer.agg(F.count("*")).scalar(),
+        "with_suspicious": flagged.scalar(),
+    }
+
+
+def detail_checks(
+    detalhe: DataFrame, rows: int | Column | None = None, ecommerce: int | Column | None = None, vendas: DataFrame | None = None
+) -> DataFrame:
+    """Every sale has segment and region; optionally the expected row counts, as numbers or, with
+    ``vendas``, those of the sales themselves."""
+    if vendas is not None:
+        rows = vendas.agg(F.count("*")).scalar()
+        ecommerce = vendas.agg(F.count_if(F.col("canal_venda") == "ecommerce")).scalar()
     incomplete = F.col("segmento_cliente").isNull() | F.col("regiao").isNull()
     checks = [Check("vendas_sem_segmento_ou_regiao", F.count_if(incomplete), "=", 0)]
     if rows is not None:
@@ -122,7 +155,9 @@ def detail_checks(detalhe: DataFrame, rows: int | None = None, ecommerce: int |
     return run_checks(detalhe, checks)
 
 
-def price_checks(precos: DataFrame, products: int, dearest: int, with_suspicious: int) -> DataFrame:
+def price_checks(
+    precos: DataFrame, products: int | Column, dearest: int | Column, with_suspicious: int | Column
+) -> DataFrame:
     dearer = F.col("classificacao_preco") == "MAIS_CARO_QUE_TODOS"
     return run_checks(
         precos,
@@ -170,6 +205,22 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return all_of([df.agg(F.lit(n).alias("tabela"), F.count("*").alias("linhas")) for n, df in tables.items()])
 
 
+def documentation(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table: columns without a comment, of which there should be none, and that it can be read."""
+    return all_of(
+        [
+            run_checks(
+                df,
+                [
+                    Check(f"colunas_sem_comentario_{name}", F.lit(len(undocumented_columns({name: df}))), "=", 0),
+                    Check(f"tabela_com_linhas_{name}", F.least(F.count("*"), F.lit(1)), "=", 1),
+                ],
+            )
+            for name, df in tables.items()
+        ]
+    )
+
+
 def undocumented_columns(tables: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
     """(table, column) of every column without a comment; reads schemas only."""
     return [(name, f.name) for name, df in tables.items() for f in df.schema if not f.metadata.get("comment")]

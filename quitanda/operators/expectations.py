@@ -52,6 +52,7 @@ EXPECTATIONS = {
         Expectation("canal_venda_invalido", "canal_venda IN ('ecommerce', 'loja_fisica')"),
         Expectation("produto_nao_cadastrado", "produto_cadastrado = true", WARN, WARN),
         Expectation("venda_depois_do_cadastro", "venda_depois_do_cadastro", WARN, WARN),
+        Expectation("receita_nao_calculada", "receita IS NOT NULL", WARN, WARN),
     ],
     "preco_competidores": [
         Expectation("id_produto_nao_preenchido", "id_produto IS NOT NULL"),

@@ -7,13 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Counters per sketch: any key above about 1 / 4,000 of the rows is sure to be counted.
-TRACKED_KEYS = 10_000
-# Sketches of all map tasks are first merged in this many groups, then in one.
-SKETCH_GROUPS = 256
-# A key is hot above the share of two average tasks, within these limits. So there are at most
-# 2,000 hot keys on any cluster.
-LEAST_HOT_SHARE, MOST_HOT_SHARE = 0.0005, 0.05
+# Rows looked at per task when hot keys are sought: a key at the limit shows about half as often.
+SEEN_PER_TASK = 200
 # Parts per average task a hot key is cut into: small ones spread evenly.
 PARTS_PER_TASK = 4
 
@@ -23,21 +18,22 @@ def _tasks(spark: SparkSession) -> int:
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """(key, parts) for every key of ``df`` too frequent for one task, from frequent-item sketches
-    in one pass. All parts together are a few per task, whatever the number of hot keys."""
-    tasks = _tasks(df.sparkSession)
-    share = min(max(2 / tasks, LEAST_HOT_SHARE), MOST_HOT_SHARE)
-    most = round(1 / share)
-    held = F.col("_top.count") / F.col("_rows")
+    """(key, parts) for every key of ``df`` that holds more than half of an average task's rows.
+
+    A routing hint for `lookup`, counted on a drawn share of one column: a fixed number of rows per
+    shuffle task, so it grows with the cluster and not with the table. There are at most two hot
+    keys per task. Costs a count and a scan of the column: store the result where several joins use it.
+    """
+    tasks, known = _tasks(df.sparkSession), df.where(F.col(key).isNotNull()).select(key)
+    total = max(known.count(), 1)
+    share = min(1.0, SEEN_PER_TASK * tasks / total)
+    seen = known if share == 1 else known.sample(share, seed=1)
+    held = F.col("_rows") / F.lit(share * total)
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.spark_partition_id() % F.lit(SKETCH_GROUPS))
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("_sketch"), F.count("*").alias("_rows"))
-        .groupBy(F.lit("all"))  # unlike a global aggregate, this starts no sketch for a task without rows
-        .agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED_KEYS})").alias("_sketch"), F.sum("_rows").alias("_rows"))
-        .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {most})")).alias("_top"), "_rows")
-        .where(held > share)
-        .select(F.col("_top.item").alias(key), F.ceil(held * PARTS_PER_TASK * tasks).cast("int").alias("parts"))
+        seen.groupBy(key)
+        .agg(F.count("*").alias("_rows"))
+        .where((held > 1 / (2 * tasks)) & (F.col("_rows") > 1))
+        .select(key, F.ceil(held * PARTS_PER_TASK * tasks).cast("int").alias("parts"))
     )
 
 
@@ -46,31 +42,37 @@ def lookup(
     table: DataFrame,
     key: str,
     spread_by: Sequence[str | Column],
-    counted: DataFrame | None = None,
+    hot: DataFrame | None = None,
+    suffix: str = "_tabela",
 ) -> DataFrame:
     """``facts`` left join ``table`` on ``key``; ``table`` has one row per key.
 
-    Hot keys are split: their facts carry a part number drawn from ``spread_by`` (columns that
-    differ between rows), and only their few table rows are repeated once per part. Facts without
-    a key match nothing and are dealt out over all tasks. All other rows have part 0, so the table
-    as a whole is never copied. Which keys are hot is only a routing hint - the result is the same
-    whatever the sketch says - so it may be counted on a cheaper DataFrame, ``counted``. Small
-    tables are broadcast where Spark's size check allows it.
+    Facts without a key match nothing and are dealt out over all tasks by ``spread_by`` (columns
+    that differ between rows). Otherwise this is Spark's left join: a small table is broadcast where
+    its size check allows it, else AQE may split large partitions. ``hot``, from `hot_keys`, also
+    splits the hot keys by plan: their facts carry a part number, and only their few table rows are
+    repeated once per part. Which keys are hot is only a routing hint; the result does not depend
+    on it. Columns of ``table`` that ``facts`` has as well get ``suffix``.
     """
-    hot = hot_keys(facts if counted is None else counted, key)
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("parts").alias("_parts")))  # at most 2,000 rows
-    drawn = F.xxhash64(*spread_by)
-    anywhere = F.lit(PARTS_PER_TASK * _tasks(facts.sparkSession))
-    part = F.when(F.col(key).isNull(), F.pmod(drawn, anywhere)).otherwise(
-        F.coalesce(F.pmod(drawn, F.col("_parts")), F.lit(0))
+    renamed = {c: c + suffix if c in facts.columns else c for c in table.columns if c != key}
+    clash = sorted(set(renamed.values()) & set(facts.columns))
+    if clash:
+        raise ValueError(f"both sides have {', '.join(clash)}")
+    table = table.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_t_{i}") for i, c in enumerate(renamed)]
     )
-    spread_facts = facts.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_part", part.cast("int"))
-    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    spread_table = (
-        table.where(F.col(key).isNotNull())
-        .join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_part", F.explode(parts))
-        .drop("_hot", "_parts")
-    )
-    joined = spread_facts.join(spread_table, [key, "_part"], "left")
-    return joined.select(*facts.columns, *[c for c in table.columns if c != key])
+    found = [F.col(f"_t_{i}").alias(new) for i, new in enumerate(renamed.values())]
+    drawn = F.xxhash64(*spread_by)
+    anywhere = F.pmod(drawn, F.lit(PARTS_PER_TASK * _tasks(facts.sparkSession)))
+    if hot is None:
+        spread = facts.withColumn("_part", F.when(F.col(key).isNull(), anywhere).otherwise(0).cast("int"))
+        parts = table.withColumn("_at", F.lit(0))
+    else:
+        hot = F.broadcast(hot.select(F.col(key).alias("_hot"), F.col("parts").alias("_parts")))  # two per task at most
+        part = F.when(F.col(key).isNull(), anywhere).otherwise(F.coalesce(F.pmod(drawn, F.col("_parts")), F.lit(0)))
+        spread = facts.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_part", part.cast("int"))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+        parts = table.join(hot, F.col("_key") == F.col("_hot"), "left").withColumn("_at", F.explode(copies))
+        parts = parts.drop("_hot", "_parts")
+    joined = spread.join(parts, (F.col(key) == F.col("_key")) & (F.col("_part") == F.col("_at")), "left")
+    return joined.select(*facts.columns, *found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -22,6 +23,7 @@ def ordered_totals(
     ranks: Mapping[str, Sequence[str]] | None = None,
     sums: Mapping[str, tuple[str, Sequence[str]]] | None = None,
     totals: Mapping[str, str] | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Adds row numbers, running sums and grand totals along ``order``, which must be total.
 
@@ -32,10 +34,13 @@ def ordered_totals(
     size are cut like everything else, since the order is total. Inside a slice an ordinary window
     counts; what lies in earlier slices is added from one small row per group and slice. Slices
     are written to the shared folder first: Spark draws range bounds from a sample, and both passes
-    must see the same ones, also after an executor is lost. So this call runs a job.
+    must see the same ones, also after an executor is lost. So this call runs a job. The slices lie
+    in ``folder``, which its owner may remove when the result is stored (see `session.scratch`), by
+    default in a new one.
     """
     sliced = df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id())
-    sliced = write_files(sliced, new_location(df.sparkSession, "slices"))
+    place = new_location(df.sparkSession, "slices") if folder is None else f"{folder}/slices-{uuid.uuid4().hex}"
+    sliced = write_files(sliced, place)
 
     wanted: dict[tuple[str, ...], list[tuple[str, Column | None]]] = defaultdict(list)
     for name, by in (ranks or {}).items():

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
-    """Per column: rows, NULLs, approximate distinct values, least and greatest value as text.
+def profile(df: DataFrame, distinct: str | None = "approximate") -> DataFrame:
+    """Per column: rows, NULLs, distinct values, least and greatest value as text.
 
-    One aggregate with constant-size state per column.
+    ``distinct`` is "approximate" (5% standard error), "exact" or None. All but "exact" is one aggregate
+    with constant-size state per column; "exact" repeats every row once per column and shuffles
+    what is distinct in each map task.
     """
     values = [F.count("*").alias("linhas")]
     for i, c in enumerate(df.columns):
@@ -19,13 +21,13 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
             F.max(c).cast("string").alias(f"z{i}"),
         ]
         if distinct:
-            values.append(F.approx_count_distinct(c).alias(f"d{i}"))
+            values.append((F.count_distinct if distinct == "exact" else F.approx_count_distinct)(c).alias(f"d{i}"))
     lines = [
         F.struct(
             F.lit(c).alias("coluna"),
             F.col("linhas"),
             F.col(f"n{i}").alias("nulos"),
-            *([F.col(f"d{i}").alias("distintos_aprox")] if distinct else []),
+            *([F.col(f"d{i}").alias("distintos" if distinct == "exact" else "distintos_aprox")] if distinct else []),
             F.col(f"a{i}").alias("minimo"),
             F.col(f"z{i}").alias("maximo"),
         )

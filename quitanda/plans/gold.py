@@ -74,12 +74,14 @@ def clientes_segmentacao(
     vendas: DataFrame,
     period: Period | None = DEFAULT_PERIOD,
     limits: SegmentLimits = DEFAULT_LIMITS,
+    folder: str | None = None,
 ) -> DataFrame:
-    """``customer_segments`` ranked by revenue; equal revenue by id."""
+    """``customer_segments`` ranked by revenue; equal revenue by id. ``folder``: see `ordered_totals`."""
     return ordered_totals(
         customer_segments(clientes, vendas, period, limits),
         [F.col("receita").desc(), F.col("id_cliente").asc(), F.col("nome_cliente").asc(), F.col("estado").asc()],
         ranks={"ranking_receita": []},
+        folder=folder,
     )
 
 
@@ -89,7 +91,7 @@ def _described(key: str = "_produto") -> dict:
     return {
         "nome_produto": text.label_or(found, text.product_name(F.col("nome_produto")), text.UNREGISTERED_PRODUCT),
         **{
-            c: text.label_or(found, F.col(c), text.UNREGISTERED, text.UNREGISTERED)
+            c: F.coalesce(F.col(c), F.lit(text.UNREGISTERED))  # NULL as well where there is no match
             for c in ("categoria", "marca", "faixa_preco")
         },
         "produto_cadastrado": found.isNotNull(),
@@ -116,8 +118,11 @@ def product_sales(vendas: DataFrame, produtos: DataFrame, period: Period | None
     return sold.join(_catalogue(produtos), "id_produto", "left").withColumns(_described()).drop("_produto")
 
 
-def vendas_produtos(vendas: DataFrame, produtos: DataFrame, period: Period | None = None) -> DataFrame:
+def vendas_produtos(
+    vendas: DataFrame, produtos: DataFrame, period: Period | None = None, folder: str | None = None
+) -> DataFrame:
     """``product_sales`` ranked by revenue, overall and inside the category; equal revenue by id.
+    ``folder``: see `ordered_totals`.
 
     Unknown products keep the id they were sold under: one row each.
     """
@@ -125,6 +130,7 @@ def vendas_produtos(vendas: DataFrame, produtos: DataFrame, period: Period | Non
         product_sales(vendas, produtos, period),
         [F.col("receita").desc(), F.col("id_produto").asc()],
         ranks={"ranking_receita": [], "ranking_na_categoria": ["categoria"]},
+        folder=folder,
     ).select(
         "id_produto", "nome_produto", "categoria", "marca", "faixa_preco", "produto_cadastrado", "total_vendas",
         "itens_vendidos", "receita", "ticket_medio", "ranking_receita", "ranking_na_categoria",
@@ -136,8 +142,8 @@ def vendas_detalhadas(
     produtos: DataFrame,
     segmentos: DataFrame,
     period: Period | None = None,
-    counted_products: DataFrame | None = None,
-    counted_customers: DataFrame | None = None,
+    hot_products: DataFrame | None = None,
+    hot_customers: DataFrame | None = None,
 ) -> DataFrame:
     """One wide row per sale: the sale, its product, its customer with segment and region."""
     sales = vendas.where(calendar.within(F.col("data"), period)).select(
@@ -146,14 +152,14 @@ def vendas_detalhadas(
     )
     spread_by = ["id_venda", "id_produto", "id_cliente", "data_venda"]
     people = segmentos.select("id_cliente", "nome_cliente", "estado", "nome_estado", "regiao", "segmento_cliente")
-    with_product = lookup(sales, _catalogue(produtos, "data_criacao"), "id_produto", spread_by, counted_products)
+    with_product = lookup(sales, _catalogue(produtos, "data_criacao"), "id_produto", spread_by, hot_products)
     labelled = with_product.withColumns(
         {
             **_described(),
             "venda_antes_do_cadastro": F.coalesce(F.col("data_venda") < F.col("data_criacao"), F.lit(False)),
         }
     )
-    return lookup(labelled, people, "id_cliente", spread_by, counted_customers).select(
+    return lookup(labelled, people, "id_cliente", spread_by, hot_customers).select(
         "id_venda", "data_venda", "data", "dia_semana_num", "dia_semana", "hora", "canal_venda", "id_produto",
         "nome_produto", "categoria", "marca", "faixa_preco", "id_cliente", "nome_cliente", "estado", "nome_estado",
         "regiao", "segmento_cliente", "quantidade", "preco_unitario", "receita", "produto_cadastrado",

@@ -17,11 +17,15 @@ ABC_LIMITS = (Decimal("0.80"), Decimal("0.95"))
 
 
 def lifetime_value(vendas: DataFrame) -> DataFrame:
-    """Per customer: revenue to date, months from first to last purchase, mean revenue per month."""
+    """Per known customer: revenue to date, months from first to last purchase, mean revenue per month.
+
+    Like churn and conversion it leaves out sales without a customer: nobody's value over time.
+    """
     first, last = F.col("primeira_compra"), F.col("ultima_compra")
     months = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first) + 1
     return (
-        vendas.groupBy("id_cliente")
+        vendas.where(F.col("id_cliente").isNotNull())
+        .groupBy("id_cliente")
         .agg(
             F.count("*").alias("total_compras"),
             F.sum("receita").alias("ltv"),
@@ -95,15 +99,16 @@ def conversion_drops(conversion: DataFrame, limit: Decimal = Decimal("0.20")) ->
     has one row per calendar day.
     """
     before = Window.orderBy("data")
-    # Twelve digits each: wider ones would cost their products the digits behind the point.
-    wide = {c: F.col(c).cast("decimal(12,0)") for c in ("compradores", "visitantes")}
+    # 17 digits each, far beyond any count, so that no digit of their products is lost below.
+    wide = {c: F.col(c).cast("decimal(17,0)") for c in ("compradores", "visitantes")}
+    part, whole = limit.as_integer_ratio()
     now = wide["compradores"] * F.lag(wide["visitantes"]).over(before)
     then = F.lag(wide["compradores"]).over(before) * wide["visitantes"]
     return (
         conversion.withColumns({"_agora": now, "_antes": then})
         .withColumn("queda_relativa", F.round(F.try_divide(F.col("_antes") - F.col("_agora"), F.col("_antes")), 4))
         .withColumn(
-            "alerta", F.coalesce(F.col("_antes") - F.col("_agora") > F.col("_antes") * F.lit(limit), F.lit(False))
+            "alerta", F.coalesce((F.col("_antes") - F.col("_agora")) * F.lit(whole) > F.col("_antes") * F.lit(part), F.lit(False))
         )
         .drop("_agora", "_antes")
     )
@@ -152,8 +157,8 @@ def revenue_by_category_and_channel(vendas: DataFrame, produtos: DataFrame) -> D
     sold = vendas.groupBy("id_produto", "canal_venda").agg(
         F.count("*").alias("_vendas"), F.sum("receita").alias("_receita")
     )
-    named = sold.join(produtos.select("id_produto", "categoria", F.lit(True).alias("_existe")), "id_produto", "left")
-    label = text.label_or(F.col("_existe"), F.col("categoria"), text.UNREGISTERED, text.UNREGISTERED)
+    named = sold.join(produtos.select("id_produto", "categoria"), "id_produto", "left")
+    label = F.coalesce(F.col("categoria"), F.lit(text.UNREGISTERED))
     return (
         named.withColumn("categoria", label)
         .cube("categoria", "canal_venda")
@@ -165,15 +170,19 @@ def revenue_by_category_and_channel(vendas: DataFrame, produtos: DataFrame) -> D
     )
 
 
-def abc_curve(revenue: DataFrame, key: str = "id_produto", value: str = "receita") -> DataFrame:
+def abc_curve(
+    revenue: DataFrame, key: str = "id_produto", value: str = "receita", folder: str | None = None
+) -> DataFrame:
     """Classes by cumulative share of revenue: a row belongs to A while less than 80% lies before
-    it, to B while less than 95% does, else to C. ``revenue`` has one row per ``key``."""
+    it, to B while less than 95% does, else to C. ``revenue`` has one row per ``key``. ``folder``:
+    see `ordered_totals`."""
     ordered = ordered_totals(
         revenue.select(key, F.coalesce(F.col(value), F.lit(0)).cast("decimal(28,2)").alias(value)),
         [F.col(value).desc(), F.col(key).asc()],
         ranks={"posicao": []},
         sums={"receita_acumulada": (value, [])},
         totals={"_total": value},
+        folder=folder,
     )
     start = (F.col("receita_acumulada") - F.col(value)).cast("decimal(30,2)")
     end_a, end_b = (F.col("_total").cast("decimal(30,2)") * F.lit(limit) for limit in ABC_LIMITS)

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 from quitanda.operators import expectations
 from quitanda.operators.expectations import EXPECTATIONS
+from quitanda.operators.lookup import hot_keys
 from quitanda.plans import gold, silver
 from quitanda.plans.comments import GOLD_COMMENTS
 from quitanda.settings import DEFAULT_LIMITS, DEFAULT_PERIOD, Period, SegmentLimits
-from quitanda.sources.sinks import Store, clustered, documented
+from quitanda.session import scratch
+from quitanda.sources.sinks import Store, clustered, documented, write_files
 
 
 class Refreshed(NamedTuple):
@@ -30,18 +32,34 @@ def refresh(
     orders: Mapping[str, Sequence[str]] | None = None,
     strict: bool = False,
 ) -> Refreshed:
-    """Stores the four clean tables and the nine marts.
+    """Stores the four clean tables and the nine marts, and publishes them together at the end.
 
-    Expectations are counted while their table is written; a violation of severity ``fail`` stops
-    the refresh before any table that depends on it. ``orders`` decides which copy of a row is kept.
+    Violations are counted in all rows, before any is left out, while the table is written; one of
+    severity ``fail`` stops the refresh, and the tables published before stay as they were.
+    ``orders`` decides which copy of a row is kept. Which products and customers are hot is counted
+    once; that and the slices of ranked marts lie in a folder that is removed at the end.
     """
-    orders = orders or {}
+    with scratch(raw["vendas"].sparkSession) as folder:
+        done = _stored(raw, store, period, limits, orders or {}, strict, folder)
+    store.publish()
+    return done
+
+
+def _stored(
+    raw: Mapping[str, DataFrame],
+    store: Store,
+    period: Period | None,
+    limits: SegmentLimits,
+    orders: Mapping[str, Sequence[str]],
+    strict: bool,
+    folder: str,
+) -> Refreshed:
     done = Refreshed({}, {})
 
     def clean(name: str, df: DataFrame) -> DataFrame:
         exps = EXPECTATIONS[name]
-        watched, watch = expectations.observe(expectations.guard(df, exps, strict), exps)
-        done.tables[f"silver.{name}"] = store("silver", name, watched)
+        watched, watch = expectations.observe(df, exps)
+        done.tables[f"silver.{name}"] = store("silver", name, expectations.guard(watched, exps, strict))
         done.violations[name] = expectations.observed(watch, exps)
         return done.tables[f"silver.{name}"]
 
@@ -49,17 +67,19 @@ def refresh(
         done.tables[f"gold.{name}"] = store("gold", name, documented(df, GOLD_COMMENTS[name]))
         return done.tables[f"gold.{name}"]
 
+    hot = {c: write_files(hot_keys(raw["vendas"], c), f"{folder}/hot_{c}") for c in ("id_produto", "id_cliente")}
     produtos = clean("produtos", silver.silver_produtos(raw["produtos"], orders.get("produtos")))
     clientes = clean("clientes", silver.silver_clientes(raw["clientes"], orders.get("clientes")))
-    vendas = silver.silver_vendas(raw["vendas"], produtos, orders.get("vendas"))
+    vendas = silver.silver_vendas(raw["vendas"], produtos, orders.get("vendas"), hot["id_produto"])
     vendas = clean("vendas", clustered(vendas, "data", "id_venda"))
     precos = silver.silver_preco_competidores(raw["preco_competidores"], produtos, orders.get("preco_competidores"))
     precos = clean("preco_competidores", precos)
 
-    segmentos = mart("clientes_segmentacao", gold.clientes_segmentacao(clientes, vendas, period, limits))
+    segmentos = mart("clientes_segmentacao", gold.clientes_segmentacao(clientes, vendas, period, limits, folder))
     mart("vendas_temporais", gold.vendas_temporais(vendas, period))
-    mart("vendas_produtos", gold.vendas_produtos(vendas, produtos))
-    mart("vendas_detalhadas", clustered(gold.vendas_detalhadas(vendas, produtos, segmentos), "data", "id_venda"))
+    mart("vendas_produtos", gold.vendas_produtos(vendas, produtos, folder=folder))
+    detail = gold.vendas_detalhadas(vendas, produtos, segmentos, None, hot["id_produto"], hot["id_cliente"])
+    mart("vendas_detalhadas", clustered(detail, "data", "id_venda"))
     mart("precos_competitividade", gold.precos_competitividade(produtos, precos, vendas, period))
     mart("vendas_totais", gold.vendas_totais(vendas))
     mart("clientes_por_regiao", gold.clientes_por_regiao(clientes))

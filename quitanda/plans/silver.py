@@ -60,10 +60,10 @@ def typed_sales(vendas: DataFrame, order: Sequence[str] | None = None) -> DataFr
     )
 
 
-def flag_sales(sales: DataFrame, produtos: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def flag_sales(sales: DataFrame, produtos: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Marks sales of products outside the catalogue and sales older than their product's entry."""
     known = produtos.select("id_produto", F.col("data_criacao").alias("_criado"), F.lit(True).alias("_existe"))
-    found = lookup(sales, known, "id_produto", ["id_venda", "id_cliente", "data_venda"], counted)
+    found = lookup(sales, known, "id_produto", ["id_venda", "id_cliente", "data_venda"], hot)
     early = F.coalesce(F.col("data_venda") < F.col("_criado"), F.lit(False))
     return found.withColumns(
         {
@@ -75,9 +75,10 @@ def flag_sales(sales: DataFrame, produtos: DataFrame, counted: DataFrame | None
 
 
 def silver_vendas(
-    vendas: DataFrame, produtos: DataFrame, order: Sequence[str] | None = None, counted: DataFrame | None = None
+    vendas: DataFrame, produtos: DataFrame, order: Sequence[str] | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
-    return flag_sales(typed_sales(vendas, order), produtos, vendas if counted is None else counted)
+    """``hot``: hot products, see `lookup`."""
+    return flag_sales(typed_sales(vendas, order), produtos, hot)
 
 
 def typed_competitor_prices(precos: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
@@ -90,16 +91,15 @@ def typed_competitor_prices(precos: DataFrame, order: Sequence[str] | None = Non
     )
 
 
-def flag_competitor_prices(precos: DataFrame, produtos: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def flag_competitor_prices(precos: DataFrame, produtos: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Adds our own price and marks competitor prices far below it."""
     own = produtos.select("id_produto", "preco_atual")
-    found = lookup(precos, own, "id_produto", ["nome_concorrente", "data_coleta", "preco_concorrente"], counted)
+    found = lookup(precos, own, "id_produto", ["nome_concorrente", "data_coleta", "preco_concorrente"], hot)
     return found.withColumn("preco_suspeito", money.suspicious(F.col("preco_concorrente"), F.col("preco_atual")))
 
 
 def silver_preco_competidores(
-    precos: DataFrame, produtos: DataFrame, order: Sequence[str] | None = None, counted: DataFrame | None = None
+    precos: DataFrame, produtos: DataFrame, order: Sequence[str] | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
-    return flag_competitor_prices(
-        typed_competitor_prices(precos, order), produtos, precos if counted is None else counted
-    )
+    """``hot``: products with very many prices, see `lookup`."""
+    return flag_competitor_prices(typed_competitor_prices(precos, order), produtos, hot)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not context.getCheckpointDir():
@@ -48,3 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
 def new_location(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/quitanda-{uuid.uuid4().hex}/{name}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``, in any file system Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """An unused folder in the shared folder, removed with all it holds when the block ends.
+
+    Whatever was read from it lazily must be stored elsewhere by then.
+    """
+    folder = new_location(spark, "scratch")
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder.rpartition("/")[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

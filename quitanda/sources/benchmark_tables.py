@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.sources.raw import required
+from quitanda.functions.states import STATES
 
 # The order that decides which of several rows with one key is kept.
 VENDAS_ORDER = [
@@ -24,7 +24,7 @@ CLIENTES_ORDER = ["nome_cliente", "estado"]
 PRECOS_ORDER = ["data_coleta", "preco_concorrente"]
 
 # Two-letter states by nation key, then the price of a part spread over all bands.
-_STATES = "ACALAMAPBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
+_STATES = "".join(code for code, _, _ in STATES)
 _OWN_PRICE = "cast(p_retailprice + (p_partkey % 3 - 1) * 450 as decimal(10,2))"
 
 
@@ -40,25 +40,14 @@ _SCHEMAS = {
     ),
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
-# Primary keys of the star schema, without NULL.
-_KEYS = {
-    "part": ["p_partkey"],
-    "customer": ["c_custkey"],
-    "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"],
-}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _keyed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return required(load(spark, sf_dir, table), *_KEYS[table])
-
-
 def produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir, "part").selectExpr(
+    return load(spark, sf_dir, "part").selectExpr(
         "case when p_partkey % 97 = 0 then -1 - p_partkey else p_partkey end as id_produto",
         "'  ' || p_name || ' ' as nome_produto",
         "case when p_partkey % 11 = 0 then null else p_type end as categoria",
@@ -69,7 +58,7 @@ def produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _keyed(spark, sf_dir, "customer")
+    customer = load(spark, sf_dir, "customer")
     first = customer.selectExpr(
         "c_custkey as id_cliente",
         """case c_custkey % 9 when 0 then 'Sr. ' when 1 then 'Sra. ' when 2 then 'Dra ' when 3 then 'Dr.'
@@ -86,7 +75,7 @@ def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = (_keyed(spark, sf_dir, t) for t in ("lineitem", "orders"))
+    lines, orders = (load(spark, sf_dir, t) for t in ("lineitem", "orders"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "l_orderkey * 10 + l_linenumber as id_venda",
         "o_orderdate + make_dt_interval(0, cast(l_orderkey % 24 as int)) as data_venda",
@@ -117,6 +106,12 @@ def preco_competidores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vendas_sem_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales, every tenth of them without an id, so that no two of those are copies."""
+    nameless = F.when(F.col("quantidade") % 10 != 0, F.col("id_venda"))
+    return vendas(spark, sf_dir).withColumn("id_venda", nameless)
+
+
 def sold_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product ids as often as they are sold: where hot products show, for the price of one column."""
     return load(spark, sf_dir, "lineitem").selectExpr("l_partkey as id_produto")

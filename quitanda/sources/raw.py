@@ -53,17 +53,6 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def required(df: DataFrame, *columns: str) -> DataFrame:
-    """Declares columns NOT NULL, as a table format would: reading a NULL fails the job. Operators
-    then need no branch for rows without a key."""
-    declared = {}
-    for c in columns:
-        alarm = F.raise_error(F.lit(f"{c} is NULL")).cast(df.schema[c].dataType)
-        # The last value is never reached; it tells Catalyst that the column has no NULL.
-        declared[c] = F.coalesce(F.col(c), alarm, F.lit(0).cast(df.schema[c].dataType))
-    return df.withColumns(declared)
-
-
 def read_table(spark: SparkSession, table: str, schema: str | None = None, catalog: str | None = None) -> DataFrame:
     """A table by its one- to three-part name."""
     return spark.table(".".join(f"`{part}`" for part in (catalog, schema, table) if part))

@@ -1,42 +1,124 @@
-"""Writing tables, and the comments of their columns."""
+"""Writing tables, publishing many of them together, and the comments of their columns."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from quitanda.session import path_exists
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Replaces the files at ``path`` and reads them back."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Writes to ``path``, which must not exist yet, and reads the files back."""
+    df.write.mode("error").format(fmt).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Replaces a catalog table; column comments go with it."""
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
-    return df.sparkSession.table(name)
+class FileStore:
+    """Tables as files below ``location``, in versions.
+
+    ``store(layer, name, df)`` writes a table into this store's own version, which nobody sees before
+    `publish` adds one small file that names it. Whatever fails before that leaves the published
+    version as it was; old versions stay until the owner of the location removes them.
+    """
+
+    def __init__(self, location: str, fmt: str = "parquet"):
+        self.location, self.fmt, self.version = location.rstrip("/"), fmt, uuid.uuid4().hex
+        self.stored: dict[str, DataFrame] = {}
+
+    def __call__(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        self.stored[f"{layer}.{name}"] = write_files(df, f"{self.location}/{self.version}/{layer}/{name}", self.fmt)
+        return self.stored[f"{layer}.{name}"]
+
+    def publish(self) -> None:
+        spark = next(iter(self.stored.values())).sparkSession
+        latest = _published(spark, self.location)
+        schemas = json.dumps({n: df.schema.jsonValue() for n, df in self.stored.items()})
+        row = (0 if latest is None else latest.number + 1, self.version, self.fmt, schemas)
+        note = spark.createDataFrame([row], "number bigint, version string, fmt string, schemas string")
+        note.coalesce(1).write.mode("append").parquet(f"{self.location}/_published")
+
+
+def _published(spark: SparkSession, location: str):
+    path = f"{location}/_published"
+    if not path_exists(spark, path):
+        return None
+    notes = spark.read.schema("number bigint, version string, fmt string, schemas string").parquet(path)
+    return notes.orderBy(F.desc("number"), F.desc("version")).first()
+
+
+def read_published(spark: SparkSession, location: str) -> dict[str, DataFrame]:
+    """The tables of the version published last, all of one refresh; none if there is none."""
+    note = _published(spark, location.rstrip("/"))
+    if note is None:
+        return {}
+    return {
+        name: spark.read.format(note.fmt)
+        .schema(StructType.fromJson(schema))
+        .load(f"{location.rstrip('/')}/{note.version}/{name.replace('.', '/')}")
+        for name, schema in json.loads(note.schemas).items()
+    }
+
+
+class CatalogStore:
+    """Tables of two schemas, which must exist, over files in versions below ``location``.
+
+    `publish` points every table to its new files, when all are written: a change of metadata each.
+    """
+
+    def __init__(self, catalog: str | None, silver: str, gold: str, location: str | None, fmt: str):
+        self.catalog, self.schemas, self.fmt = catalog, {"silver": silver, "gold": gold}, fmt
+        self.location, self.version = location, uuid.uuid4().hex
+        self.stored: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+    def name(self, layer: str, name: str) -> str:
+        return ".".join(f"`{p}`" for p in (self.catalog, self.schemas[layer], name) if p)
+
+    def __call__(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        location = self.location or df.sparkSession.conf.get("spark.sql.warehouse.dir")
+        path = f"{location.rstrip('/')}/quitanda-{self.version}/{layer}/{name}"
+        stored = write_files(df, path, self.fmt)
+        self.stored[layer, name] = (path, stored)
+        return stored
+
+    def publish(self) -> None:
+        for (layer, name), (path, df) in self.stored.items():
+            _point(df.sparkSession, self.name(layer, name), df, path, self.fmt)
 
 
-# Stores a DataFrame as (layer, name) and returns the stored table.
-Store = Callable[[str, str, DataFrame], DataFrame]
+def _point(spark: SparkSession, name: str, df: DataFrame, path: str, fmt: str) -> None:
+    """Points the table to the files, creating it anew where its columns are others."""
+    columns = [(f.name, f.dataType, f.metadata.get("comment")) for f in df.schema]
+    exists = spark.catalog.tableExists(name.replace("`", ""))
+    if exists:
+        now = [(f.name, f.dataType, f.metadata.get("comment")) for f in spark.table(name).schema]
+        if now == columns:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name.replace("`", ""))
+            return
+        spark.sql(f"DROP TABLE {name}")
+    quoted = lambda text: text.replace("\\", "\\\\").replace("'", "\\'")
+    listed = ", ".join(f"`{c}` {t.simpleString()}" + (f" COMMENT '{quoted(n)}'" if n else "") for c, t, n in columns)
+    spark.sql(f"CREATE TABLE {name} ({listed}) USING {fmt} LOCATION '{path}'")
 
 
-def into_files(location: str, fmt: str = "parquet") -> Store:
-    """One folder per table: ``location/layer/name``."""
-    return lambda layer, name, df: write_files(df, f"{location}/{layer}/{name}", fmt)
+# Stores a table as (layer, name), to be seen by others after publish().
+Store = FileStore | CatalogStore
 
 
-def into_catalog(catalog: str | None = None, silver: str = "silver", gold: str = "gold", fmt: str = "parquet") -> Store:
-    """Tables of two schemas, which must exist."""
-    schemas = {"silver": silver, "gold": gold}
+def into_files(location: str, fmt: str = "parquet") -> FileStore:
+    return FileStore(location, fmt)
 
-    def store(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, ".".join(part for part in (catalog, schemas[layer], name) if part), fmt)
 
-    return store
+def into_catalog(
+    catalog: str | None = None, silver: str = "silver", gold: str = "gold", location: str | None = None, fmt: str = "parquet"
+) -> CatalogStore:
+    return CatalogStore(catalog, silver, gold, location, fmt)
 
 
 def clustered(df: DataFrame, by: str, then: str) -> DataFrame:

@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quitanda.operators.dedupe import keep_first
+from quitanda.session import path_exists
+
+TABLE_SCHEMA = (
+    "data date, hora int, canal_venda string, total_vendas bigint, itens_vendidos bigint, receita decimal(28,2), "
+    "clientes_unicos bigint"
+)
+
 
 def sales_stream(
     spark: SparkSession, folder: str, schema: StructType, files: str = "*.parquet", files_per_batch: int = 1000
@@ -15,53 +23,80 @@ def sales_stream(
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def hourly_sales(sales: DataFrame, late: str = "60 days") -> DataFrame:
-    """Sales, items and revenue per hour and channel; each sale id counts once.
+def hourly_sales(sales: DataFrame) -> DataFrame:
+    """Sales, items, revenue and distinct customers per hour and channel; each sale id counts once.
 
-    ``sales`` streams (id_venda, data_venda, id_cliente, canal_venda, quantidade, receita), with
-    ``data_venda`` a zoned timestamp, which watermarks need. Ids are remembered for ``late``, and
-    sales that arrive even later are left out, so the state holds the ids of that time and one row
-    per hour and channel. Distinct customers are approximate, as exact ones would have to be
-    remembered for ever.
+    ``sales`` has (id_venda, data_venda, id_cliente, canal_venda, quantidade, receita); of several
+    rows with an id the first by moment counts, rows without an id count each.
     """
+    once = keep_first(
+        sales.select("id_venda", "data_venda", "id_cliente", "canal_venda", "quantidade", "receita"), ["id_venda"], ["data_venda"]
+    )
     return (
-        sales.withWatermark("data_venda", late)
-        .dropDuplicatesWithinWatermark(["id_venda"])
-        .groupBy(F.window("data_venda", "1 hour").alias("_janela"), "canal_venda")
+        once.groupBy(F.to_date("data_venda").alias("data"), F.hour("data_venda").alias("hora"), "canal_venda")
         .agg(
             F.count("*").alias("total_vendas"),
-            F.sum("quantidade").alias("itens_vendidos"),
-            F.sum("receita").alias("receita"),
-            F.approx_count_distinct("id_cliente").alias("clientes_unicos_aprox"),
-        )
-        .select(
-            F.to_date("_janela.start").alias("data"),
-            F.hour("_janela.start").alias("hora"),
-            "canal_venda",
-            "total_vendas",
-            "itens_vendidos",
-            "receita",
-            "clientes_unicos_aprox",
+            F.sum("quantidade").cast("bigint").alias("itens_vendidos"),
+            F.sum("receita").cast("decimal(28,2)").alias("receita"),
+            F.count_distinct("id_cliente").alias("clientes_unicos"),
         )
     )
 
 
-def refresh_hourly_sales(stream: DataFrame, table: str, state: str) -> DataFrame:
-    """Processes all files that arrived since the last call and rewrites the table of hours.
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What is stored at ``path``, nothing if nobody has stored anything yet."""
+    if path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def refresh_hourly_sales(sales: DataFrame, home: str) -> DataFrame:
+    """Takes in all files that arrived since the last call and returns the table of hours.
 
-    ``table`` and ``state`` are folders all executors share; ``state`` remembers progress, so a
-    restarted job goes on where the lost one stopped. The table has one row per hour and channel.
+    ``sales`` streams the columns of `hourly_sales`; ``home`` is a folder all executors share. Every
+    batch of the stream is landed as it is, by day and under its number, so a batch that is tried
+    again replaces itself. Then the days that got sales are computed anew from all their landed
+    rows and stored as a new version, which one small note makes valid: a reader sees the old or the
+    new table. So nothing depends on the size of batches or the order of files, no sale comes too
+    late, and old days cost nothing. Rows with one sale id are copies of a sale and have its moment;
+    sales without a moment land under a day of their own.
     """
+    spark = sales.sparkSession
+    landed, table, notes = f"{home}/landed", f"{home}/table", f"{home}/notes"
+    note_schema, landed_schema = "version bigint, batch bigint", f"{_ddl(sales.schema)}, lote bigint, dia date"
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
+    def land(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("dia", F.to_date("data_venda"))
+        rows.write.mode("overwrite").partitionBy("dia").parquet(f"{landed}/lote={number}")
 
-    query = (
-        stream.writeStream.outputMode("complete")
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .foreachBatch(store)
-        .start()
+    stream = sales.writeStream.option("checkpointLocation", f"{home}/state").trigger(availableNow=True).foreachBatch(land)
+    stream.start().awaitTermination()
+
+    known = _stored(spark, notes, note_schema).agg(F.max("version"), F.max("batch")).first()
+    version, upto = (-1, -1) if known[0] is None else known
+    rows = _stored(spark, landed, landed_schema)
+    newest = rows.where(F.col("lote") > upto).agg(F.max("lote")).first()[0]
+    if newest is not None:
+        days = rows.where(F.col("lote") > upto).select(F.col("dia").alias("_dia")).distinct()
+        touched = rows.join(days, F.col("dia").eqNullSafe(F.col("_dia")), "left_semi")
+        new = hourly_sales(touched).select([f.split()[0] for f in TABLE_SCHEMA.split(", ")])
+        version += 1
+        new.write.mode("overwrite").parquet(f"{table}/versao={version}")
+        note = spark.createDataFrame([(version, newest)], note_schema)
+        note.coalesce(1).write.mode("append").parquet(notes)
+    return read_hourly_sales(spark, home)
+
+
+def read_hourly_sales(spark: SparkSession, home: str) -> DataFrame:
+    """The table of hours: every day from the last valid version that holds it."""
+    valid = _stored(spark, f"{home}/notes", "version bigint, batch bigint").agg(F.max("version")).first()[0]
+    rows = _stored(spark, f"{home}/table", f"{TABLE_SCHEMA}, versao bigint").where(
+        F.col("versao") <= (-1 if valid is None else valid)
     )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(table)
+    last = rows.groupBy(F.col("data").alias("_data")).agg(F.max("versao").alias("_versao"))  # a row per day
+    same = F.col("data").eqNullSafe(F.col("_data")) & (F.col("versao") == F.col("_versao"))
+    return rows.join(last, same, "left_semi").drop("versao")
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quitanda.functions.states import STATES
 
-_CODES = "ACALAMAPBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
+_CODES = "".join(code for code, _, _ in STATES)
 _OWN = "cast(p_retailprice + (p_partkey % 3 - 1) * 450 as decimal(10,2))"
 _HONORIFIC = r"(?i)^(srta|sra|sr|dra|dr)(\s*\.\s*|\s+)"
 _PERIOD = "BETWEEN DATE '1997-01-01' AND DATE '1997-01-30'"
@@ -47,6 +47,11 @@ def _label(c: str) -> str:
     return f"CASE WHEN p.id_produto IS NULL THEN 'Não cadastrado' ELSE coalesce(p.{c}, 'Não cadastrado') END"
 
 
+def _known(c: str) -> str:
+    """After a left join: a product without a match has no values either."""
+    return f"coalesce(p.{c}, 'Não cadastrado')"
+
+
 _NAME = f"CASE WHEN p.id_produto IS NULL THEN 'Produto nao cadastrado' ELSE {_title('trim(p.nome_produto)')} END"
 
 # name -> (tables it reads, text)
@@ -131,16 +136,16 @@ _TABLES: dict[str, tuple[list[str], str]] = {
             {_avg('receita', 2)} AS ticket_medio, min(data_venda) AS primeira_compra, max(data_venda) AS ultima_compra
           FROM t_vendas WHERE data {_PERIOD} GROUP BY id_cliente) a ON c.id_cliente = a.id_cliente"""),
     "produto_vendas": (["t_vendas", "s_produtos"], f"""
-        SELECT v.id_produto, {_NAME} AS nome_produto, {_label('categoria')} AS categoria, {_label('marca')} AS marca,
-          {_label('faixa_preco')} AS faixa_preco, p.id_produto IS NOT NULL AS produto_cadastrado,
+        SELECT v.id_produto, {_NAME} AS nome_produto, {_known('categoria')} AS categoria, {_known('marca')} AS marca,
+          {_known('faixa_preco')} AS faixa_preco, p.id_produto IS NOT NULL AS produto_cadastrado,
           count(*) AS total_vendas, cast(sum(quantidade) as bigint) AS itens_vendidos, sum(receita) AS receita,
           {_avg('receita', 2)} AS ticket_medio
         FROM t_vendas v LEFT JOIN s_produtos p ON v.id_produto = p.id_produto
         GROUP BY v.id_produto, p.id_produto, p.nome_produto, p.categoria, p.marca, p.faixa_preco"""),
     "detalhe": (["t_vendas", "s_produtos", "segmentos"], f"""
         SELECT v.id_venda, v.data_venda, v.data, v.dia_semana_num, v.dia_semana, v.hora, v.canal_venda, v.id_produto,
-          {_NAME} AS nome_produto, {_label('categoria')} AS categoria, {_label('marca')} AS marca,
-          {_label('faixa_preco')} AS faixa_preco, v.id_cliente, c.nome_cliente, c.estado, c.nome_estado, c.regiao,
+          {_NAME} AS nome_produto, {_known('categoria')} AS categoria, {_known('marca')} AS marca,
+          {_known('faixa_preco')} AS faixa_preco, v.id_cliente, c.nome_cliente, c.estado, c.nome_estado, c.regiao,
           c.segmento_cliente, v.quantidade, v.preco_unitario, v.receita, p.id_produto IS NOT NULL AS produto_cadastrado,
           CASE WHEN v.data_venda < p.data_criacao THEN true ELSE false END AS venda_antes_do_cadastro
         FROM t_vendas v LEFT JOIN s_produtos p ON v.id_produto = p.id_produto
@@ -229,6 +234,7 @@ _VENDAS_RULES = [
     ("canal_venda_invalido", "warn", "fail", "canal_venda IN ('ecommerce', 'loja_fisica')"),
     ("produto_nao_cadastrado", "warn", "warn", "produto_cadastrado"),
     ("venda_depois_do_cadastro", "warn", "warn", "venda_depois_do_cadastro"),
+    ("receita_nao_calculada", "warn", "warn", "receita IS NOT NULL"),
 ]
 
 
@@ -413,6 +419,13 @@ def all_oracles() -> dict[str, str]:
 
     # Single operators
     sql["clean_dedupe_first"] = _with("SELECT * FROM d_clientes", "d_clientes")
+    sql["clean_dedupe_null_ids"] = _with(
+        """SELECT * REPLACE (CASE WHEN quantidade % 10 <> 0 THEN id_venda END AS id_venda) FROM b_vendas WHERE quantidade % 10 = 0
+        UNION ALL SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY id_venda ORDER BY data_venda, id_cliente,
+          id_produto, quantidade, preco_unitario, canal_venda, l_shipdate, l_suppkey) AS n
+          FROM b_vendas WHERE quantidade % 10 <> 0) WHERE n = 1""",
+        "b_vendas",
+    )
     sql["clean_dedupe_two_keys"] = _with(
         "SELECT * REPLACE (cast(preco_concorrente as double) AS preco_concorrente) FROM d_precos", "d_precos"
     )
@@ -594,32 +607,39 @@ def all_oracles() -> dict[str, str]:
         "s_clientes",
     )
     seg = "count(*) FILTER (segmento_cliente = '{}')"
+    people_count = "(SELECT count(*) FROM s_clientes)"
+    rich = f"""(SELECT count(*) FROM (SELECT id_cliente, sum(receita) AS gasto FROM t_vendas WHERE data {_PERIOD} GROUP BY 1)
+      WHERE {{}} AND id_cliente IN (SELECT id_cliente FROM s_clientes))"""
     sql["check_segments"] = _with(
         _checks(
             ("segmento_desconhecido", "segmentos", "count(*) FILTER (segmento_cliente NOT IN ('VIP','TOP_TIER','REGULAR'))", "=", "0"),
             ("vip_abaixo_do_limite", "segmentos", "count(*) FILTER (segmento_cliente = 'VIP' AND receita < 3000000)", "=", "0"),
-            ("total_de_clientes", "segmentos", "count(*)", "=", "1500"),
-            ("clientes_VIP", "segmentos", seg.format("VIP"), "=", "103"),
-            ("clientes_TOP_TIER", "segmentos", seg.format("TOP_TIER"), "=", "42"),
-            ("clientes_REGULAR", "segmentos", seg.format("REGULAR"), "=", "1355"),
+            ("total_de_clientes", "segmentos", "count(*)", "=", people_count),
+            ("clientes_VIP", "segmentos", seg.format("VIP"), "=", rich.format("gasto >= 3000000")),
+            ("clientes_TOP_TIER", "segmentos", seg.format("TOP_TIER"), "=", rich.format("gasto >= 1000000 AND gasto < 3000000")),
+            ("clientes_REGULAR", "segmentos", seg.format("REGULAR"), "=", people_count + " - " + rich.format("gasto >= 1000000")),
         ),
-        "segmentos",
+        "segmentos", "s_clientes", "t_vendas",
     )
     sql["check_detail"] = _with(
         _checks(
             ("vendas_sem_segmento_ou_regiao", "detalhe", "count(*) FILTER (segmento_cliente IS NULL OR regiao IS NULL)", "=", "0"),
-            ("linhas_vendas_detalhadas", "detalhe", "count(*)", "=", "45832"),
-            ("vendas_ecommerce", "detalhe", "count(*) FILTER (canal_venda = 'ecommerce')", "=", "27486"),
+            ("linhas_vendas_detalhadas", "detalhe", "count(*)", "=", "(SELECT count(*) FROM t_vendas)"),
+            ("vendas_ecommerce", "detalhe", "count(*) FILTER (canal_venda = 'ecommerce')", "=",
+             "(SELECT count(*) FROM t_vendas WHERE canal_venda = 'ecommerce')"),
         ),
-        "detalhe",
+        "detalhe", "t_vendas",
     )
     sql["check_prices"] = _with(
         _checks(
-            ("produtos_na_visao_de_precos", "posicao_precos", "count(*)", "=", "2000"),
-            ("mais_caros_que_todos", "posicao_precos", "count(*) FILTER (classificacao_preco = 'MAIS_CARO_QUE_TODOS')", "=", "330"),
-            ("produtos_com_preco_suspeito", "posicao_precos", "count(*) FILTER (possui_preco_suspeito)", "=", "330"),
+            ("produtos_na_visao_de_precos", "posicao_precos", "count(*)", "=", "(SELECT count(*) FROM s_produtos)"),
+            ("mais_caros_que_todos", "posicao_precos", "count(*) FILTER (classificacao_preco = 'MAIS_CARO_QUE_TODOS')", "=",
+             """(SELECT count(*) FROM s_produtos JOIN (SELECT id_produto, max(preco_concorrente) AS maximo FROM s_precos GROUP BY 1)
+               USING (id_produto) WHERE preco_atual > maximo)"""),
+            ("produtos_com_preco_suspeito", "posicao_precos", "count(*) FILTER (possui_preco_suspeito)", "=",
+             "(SELECT count(DISTINCT id_produto) FROM s_precos WHERE preco_suspeito)"),
         ),
-        "posicao_precos",
+        "posicao_precos", "s_precos",
     )
     total = "(SELECT sum(receita) FROM t_vendas)"
     sql["check_same_revenue"] = _with(
@@ -657,6 +677,17 @@ def all_oracles() -> dict[str, str]:
     sql["profile_preco_competidores"] = _with(
         _profile("b_precos", ["id_produto", "nome_concorrente", "data_coleta", "preco_concorrente"]), "b_precos"
     )
+    exact = ["id_venda", "data_venda", "id_cliente", "id_produto", "quantidade", "preco_unitario", "canal_venda", "l_shipdate", "l_suppkey"]
+    sql["profile_vendas_distinct"] = _with(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS coluna, count(*) AS linhas, count(*) - count({c}) AS nulos, count(DISTINCT {c}) AS distintos,
+              cast(min({c}) as varchar) AS minimo, cast(max({c}) as varchar) AS maximo FROM b_vendas"""
+            for c in exact
+        ),
+        "b_vendas",
+    )
+    sql["source_three_part_name"] = """SELECT l_linenumber, count(*) AS linhas, cast(sum(cast(l_quantity as bigint)) as bigint) AS itens
+      FROM lineitem GROUP BY 1"""
     sql["source_catalog_tables"] = _with(_rows(silver_rows), "s_clientes", "s_precos", "t_vendas")
     sql["sink_clustered_by_date"] = _with(
         f"""SELECT data, count(*) AS total_vendas, cast(sum(receita) as double) AS receita FROM t_vendas
@@ -697,8 +728,22 @@ def all_oracles() -> dict[str, str]:
     }
     counted = {f"silver.{n}": t for n, t in silver_rows.items()} | {f"gold.{n}": t for n, t in marts.items()}
     sql["refresh_row_counts"] = _with(_rows(counted), "produto_vendas", "detalhe", "posicao_precos")
+    sql["published_revenue"] = _with(
+        "SELECT canal_venda, count(*) AS total_vendas, cast(sum(receita) as double) AS receita FROM t_vendas GROUP BY 1", "t_vendas"
+    )
+    sql["check_documentation"] = " UNION ALL ".join(
+        f"SELECT '{v}_{n}' AS verificacao, true AS aprovada, {seen}::DOUBLE AS observado, {seen}::DOUBLE AS esperado"
+        for n in marts
+        for v, seen in (("colunas_sem_comentario", 0), ("tabela_com_linhas", 1))
+    )
+    sql["expectations_dropped_prices"] = _with(
+        """SELECT nome_concorrente, count(*) AS precos, cast(sum(preco_concorrente) as double) AS soma FROM s_precos
+        WHERE id_produto IS NOT NULL AND NOT preco_suspeito GROUP BY 1""",
+        "s_precos",
+    )
     sql["stream_hourly_sales"] = """SELECT cast(ts as date) AS data, cast(hour(ts) as int) AS hora,
         CASE WHEN user_id % 2 = 0 THEN 'ecommerce' ELSE 'loja_fisica' END AS canal_venda, count(*) AS total_vendas,
-        count(*) AS itens_vendidos, cast(sum(cast(value as decimal(18,2))) as double) AS receita
+        count(*) AS itens_vendidos, cast(sum(cast(value as decimal(18,2))) as double) AS receita,
+        count(DISTINCT user_id) AS clientes_unicos
       FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3"""
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -12,7 +13,8 @@ from quitanda.functions import calendar, money, text
 from quitanda.operators import checks, expectations
 from quitanda.operators.dedupe import keep_first
 from quitanda.operators.expectations import EXPECTATIONS
-from quitanda.operators.lookup import lookup
+from quitanda.operators.expectations import DROP, Expectation
+from quitanda.operators.lookup import hot_keys, lookup
 from quitanda.operators.ordered import ordered_totals
 from quitanda.operators.profile import profile
 from quitanda.plans import gold, kpi, silver
@@ -22,8 +24,8 @@ from quitanda.session import new_location
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as raw
 from quitanda.sources.raw import list_tables, read_table
-from quitanda.sources.sinks import clustered, documented, into_files, write_files
-from quitanda.streaming.hourly_sales import hourly_sales, refresh_hourly_sales, sales_stream
+from quitanda.sources.sinks import clustered, documented, into_files, read_published, write_files
+from quitanda.streaming.hourly_sales import refresh_hourly_sales, sales_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,15 +34,6 @@ PERIOD_BEFORE = Period.of("1996-12-02", "1996-12-31")
 LIMITS = SegmentLimits(Decimal("3000000"), Decimal("1000000"))
 EVENT_DAYS_BEFORE = Period.of("2024-01-01", "2024-01-03")
 EVENT_DAYS = Period.of("2024-01-04", "2024-01-04")
-# Row counts at scale factor 0.01, as the checks expect them.
-GOLDEN = {
-    "segments": {"VIP": 103, "TOP_TIER": 42, "REGULAR": 1355},
-    "sales": 45832,
-    "ecommerce": 27486,
-    "products": 2000,
-    "dearest": 330,
-    "suspicious": 330,
-}
 
 _QUERIES: dict[str, Query] = {}
 
@@ -80,9 +73,7 @@ def _sales(spark, sf_dir):
 
 @query
 def silver_vendas(spark, sf_dir):
-    return silver.silver_vendas(
-        raw.vendas(spark, sf_dir), silver_produtos(spark, sf_dir), raw.VENDAS_ORDER, raw.sold_keys(spark, sf_dir)
-    )
+    return silver.silver_vendas(raw.vendas(spark, sf_dir), silver_produtos(spark, sf_dir), raw.VENDAS_ORDER)
 
 
 def _prices(spark, sf_dir):
@@ -92,10 +83,7 @@ def _prices(spark, sf_dir):
 @query
 def silver_preco_competidores(spark, sf_dir):
     return silver.silver_preco_competidores(
-        raw.preco_competidores(spark, sf_dir),
-        silver_produtos(spark, sf_dir),
-        raw.PRECOS_ORDER,
-        raw.sold_keys(spark, sf_dir),
+        raw.preco_competidores(spark, sf_dir), silver_produtos(spark, sf_dir), raw.PRECOS_ORDER
     )
 
 
@@ -123,14 +111,7 @@ def gold_vendas_produtos(spark, sf_dir):
 
 @query
 def gold_vendas_detalhadas(spark, sf_dir):
-    return gold.vendas_detalhadas(
-        _sales(spark, sf_dir),
-        silver_produtos(spark, sf_dir),
-        _segments(spark, sf_dir),
-        None,
-        raw.sold_keys(spark, sf_dir),
-        raw.buying_keys(spark, sf_dir),
-    )
+    return gold.vendas_detalhadas(_sales(spark, sf_dir), silver_produtos(spark, sf_dir), _segments(spark, sf_dir))
 
 
 @query
@@ -256,6 +237,12 @@ def clean_dedupe_first(spark, sf_dir):
     return keep_first(raw.clientes(spark, sf_dir), ["id_cliente"], raw.CLIENTES_ORDER)
 
 
+@query
+def clean_dedupe_null_ids(spark, sf_dir):
+    """Sales some of which have no id: those are all kept."""
+    return keep_first(raw.vendas_sem_id(spark, sf_dir), ["id_venda"], raw.VENDAS_ORDER)
+
+
 @query
 def clean_dedupe_two_keys(spark, sf_dir):
     return keep_first(
@@ -373,7 +360,8 @@ def join_hot_key_lookup(spark, sf_dir):
     """Sales with their product's brand, joined so that best sellers and missing keys are split."""
     brands = raw.produtos(spark, sf_dir).select("id_produto", "marca")
     sales = raw.vendas(spark, sf_dir).select("id_venda", "id_produto", "data_venda")
-    return lookup(sales, brands, "id_produto", ["id_venda", "data_venda"], raw.sold_keys(spark, sf_dir))
+    hot = hot_keys(raw.sold_keys(spark, sf_dir), "id_produto")
+    return lookup(sales, brands, "id_produto", ["id_venda", "data_venda"], hot)
 
 
 @query
@@ -538,31 +526,37 @@ def check_honorifics(spark, sf_dir):
 
 @query
 def check_segments(spark, sf_dir):
-    return checks.segment_checks(_segments(spark, sf_dir), LIMITS, GOLDEN["segments"])
+    """Segments against counts taken straight from the clean tables, at any scale."""
+    wanted = checks.expected_segments(_sales(spark, sf_dir), silver_clientes(spark, sf_dir), PERIOD, LIMITS)
+    return checks.segment_checks(_segments(spark, sf_dir), LIMITS, wanted)
 
 
 @query
 def check_detail(spark, sf_dir):
-    return checks.detail_checks(gold_vendas_detalhadas(spark, sf_dir), GOLDEN["sales"], GOLDEN["ecommerce"])
+    return checks.detail_checks(gold_vendas_detalhadas(spark, sf_dir), vendas=_sales(spark, sf_dir))
 
 
 @query
 def check_prices(spark, sf_dir):
-    return checks.price_checks(
-        gold_precos_competitividade(spark, sf_dir), GOLDEN["products"], GOLDEN["dearest"], GOLDEN["suspicious"]
-    )
+    wanted = checks.expected_prices(silver_produtos(spark, sf_dir), silver_preco_competidores(spark, sf_dir))
+    return checks.price_checks(gold_precos_competitividade(spark, sf_dir), **wanted)
 
 
 @query
 def check_same_revenue(spark, sf_dir):
-    sales = _sales(spark, sf_dir)
+    """All sums from clean tables that are stored once."""
+    home = new_location(spark, "clean")
+    sales = write_files(_sales(spark, sf_dir), f"{home}/vendas")
+    products = write_files(silver_produtos(spark, sf_dir), f"{home}/produtos")
+    segments = gold.customer_segments(silver_clientes(spark, sf_dir), sales, PERIOD, LIMITS)
+    segments = write_files(segments, f"{home}/segmentos")
     return checks.same_revenue(
         sales,
         {
             "vendas_temporais": gold.vendas_temporais(sales, None),
-            "vendas_produtos": gold.product_sales(sales, silver_produtos(spark, sf_dir)),
-            "vendas_detalhadas": gold_vendas_detalhadas(spark, sf_dir),
-            "clientes_segmentacao": _segments(spark, sf_dir),
+            "vendas_produtos": gold.product_sales(sales, products),
+            "vendas_detalhadas": gold.vendas_detalhadas(sales, products, segments),
+            "clientes_segmentacao": segments,
         },
     )
 
@@ -589,28 +583,28 @@ def check_row_counts(spark, sf_dir):
 
 @query
 def profile_vendas(spark, sf_dir):
-    return profile(raw.vendas(spark, sf_dir), distinct=False)
+    return profile(raw.vendas(spark, sf_dir), distinct=None)
 
 
 @query
 def profile_produtos(spark, sf_dir):
-    return profile(raw.produtos(spark, sf_dir), distinct=False)
+    return profile(raw.produtos(spark, sf_dir), distinct=None)
 
 
 @query
 def profile_clientes(spark, sf_dir):
-    return profile(raw.clientes(spark, sf_dir), distinct=False)
+    return profile(raw.clientes(spark, sf_dir), distinct=None)
 
 
 @query
 def profile_preco_competidores(spark, sf_dir):
-    return profile(raw.preco_competidores(spark, sf_dir), distinct=False)
+    return profile(raw.preco_competidores(spark, sf_dir), distinct=None)
 
 
 @query
 def profile_vendas_distinct(spark, sf_dir):
-    """With approximate distinct counts, which no exact SQL reproduces."""
-    return profile(raw.vendas(spark, sf_dir))
+    """With exact distinct counts."""
+    return profile(raw.vendas(spark, sf_dir), "exact")
 
 
 @query
@@ -626,7 +620,21 @@ def source_catalog_tables(spark, sf_dir):
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     listed = [name for name in list_tables(spark) if name in tables]
-    return checks.row_counts({name.removeprefix("quitanda_"): read_table(spark, name) for name in listed})
+    counts = checks.row_counts({name.removeprefix("quitanda_"): read_table(spark, name) for name in listed})
+    for name in tables:  # the counts know their views by now
+        spark.catalog.dropTempView(name)
+    return counts
+
+
+@query
+def source_three_part_name(spark, sf_dir):
+    """Sold quantity per line number, from a table read by catalog, schema and name."""
+    name = f"quitanda_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE spark_catalog.default.{name} USING parquet LOCATION '{sf_dir}/lineitem.parquet'")
+    lines = read_table(spark, name, "default", "spark_catalog")
+    sold = lines.groupBy("l_linenumber").agg(F.count("*").alias("linhas"), F.sum(F.col("l_quantity").cast("bigint")).alias("itens"))
+    spark.sql(f"DROP TABLE spark_catalog.default.{name}")  # only the entry: the files are not the catalog's
+    return sold
 
 
 @query
@@ -647,10 +655,10 @@ def documented_columns(spark, sf_dir):
     )
     comment = {f.name: f.metadata.get("comment") for f in mart.schema}
     label = F.coalesce(*[F.when(F.col("coluna") == c, F.lit(t)) for c, t in comment.items()])
-    return profile(mart, distinct=False).select("coluna", "linhas", "nulos", label.alias("comentario"))
+    return profile(mart, distinct=None).select("coluna", "linhas", "nulos", label.alias("comentario"))
 
 
-def _refreshed(spark, sf_dir):
+def _refreshed(spark, sf_dir, home):
     tables = {
         "produtos": raw.produtos(spark, sf_dir),
         "clientes": raw.clientes(spark, sf_dir),
@@ -658,13 +666,40 @@ def _refreshed(spark, sf_dir):
         "preco_competidores": raw.preco_competidores(spark, sf_dir),
     }
     orders = {"clientes": raw.CLIENTES_ORDER, "vendas": raw.VENDAS_ORDER, "preco_competidores": raw.PRECOS_ORDER}
-    return refresh(tables, into_files(new_location(spark, "warehouse")), PERIOD, LIMITS, orders)
+    return refresh(tables, into_files(home), PERIOD, LIMITS, orders)
 
 
 @query
 def refresh_row_counts(spark, sf_dir):
     """Stores all clean tables and marts, then counts their rows."""
-    return checks.row_counts(_refreshed(spark, sf_dir).tables)
+    return checks.row_counts(_refreshed(spark, sf_dir, new_location(spark, "warehouse")).tables)
+
+
+@query
+def published_revenue(spark, sf_dir):
+    """Sales and revenue by channel as a reader of the published tables sees them."""
+    home = new_location(spark, "warehouse")
+    _refreshed(spark, sf_dir, home)
+    sales = read_published(spark, home)["silver.vendas"]
+    return sales.groupBy("canal_venda").agg(F.count("*").alias("total_vendas"), F.sum("receita").alias("receita"))
+
+
+@query
+def check_documentation(spark, sf_dir):
+    """Every column of every published mart has a comment."""
+    tables = _refreshed(spark, sf_dir, new_location(spark, "warehouse")).tables
+    return checks.documentation({n.removeprefix("gold."): df for n, df in tables.items() if n.startswith("gold.")})
+
+
+@query
+def expectations_dropped_prices(spark, sf_dir):
+    """Competitor prices per competitor once those without a product or implausible are dropped."""
+    rules = [
+        Expectation("id_produto_nao_preenchido", "id_produto IS NOT NULL", DROP),
+        Expectation("preco_plausivel", "NOT preco_suspeito", DROP),
+    ]
+    kept = expectations.guard(silver_preco_competidores(spark, sf_dir), rules)
+    return kept.groupBy("nome_concorrente").agg(F.count("*").alias("precos"), F.sum("preco_concorrente").alias("soma"))
 
 
 @query
@@ -680,4 +715,4 @@ def stream_hourly_sales(spark, sf_dir):
         "cast(value as decimal(18,2)) as receita",
     )
     home = new_location(spark, "hourly")
-    return refresh_hourly_sales(hourly_sales(sales), f"{home}/table", f"{home}/state").drop("clientes_unicos_aprox")
+    return refresh_hourly_sales(sales, home)

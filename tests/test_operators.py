@@ -94,9 +94,11 @@ def test_lookup_equals_a_plain_left_join(spark, skewed, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        joined = lookup(skewed, table, "k", ["id"])
-        assert joined.columns == ["id", "k", "other", "v"]
-        assert rows(joined) == rows(skewed.join(table, "k", "left").select("id", "k", "other", "v"))
+        wanted = rows(skewed.join(table, "k", "left").select("id", "k", "other", "v"))
+        for hot in (None, hot_keys(skewed, "k")):
+            joined = lookup(skewed, table, "k", ["id"], hot)
+            assert joined.columns == ["id", "k", "other", "v"]
+            assert rows(joined) == wanted
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -109,7 +111,8 @@ def test_lookup_splits_the_hot_key(spark, skewed):
     for name, value in zip(names, ("-1", "false", "16")):
         spark.conf.set(name, value)
     try:
-        sizes = lookup(skewed, table, "k", ["id"]).groupBy(F.spark_partition_id()).count().collect()
+        hot = hot_keys(skewed, "k")
+        sizes = lookup(skewed, table, "k", ["id"], hot).groupBy(F.spark_partition_id()).count().collect()
         assert max(r["count"] for r in sizes) < 30_000 / 6
     finally:
         for name, value in before.items():
@@ -118,10 +121,64 @@ def test_lookup_splits_the_hot_key(spark, skewed):
 
 def test_a_wrong_hint_changes_nothing(spark, skewed):
     table = spark.range(4000).selectExpr("id as k", "'v' || id as v")
-    misleading = spark.range(1000).selectExpr("id % 2 as k")
+    misleading = spark.createDataFrame([(1, 9), (3, 1), (999_999, 5)], "k bigint, parts int")
     assert rows(lookup(skewed, table, "k", ["id"], misleading)) == rows(lookup(skewed, table, "k", ["id"]))
 
 
+def test_a_small_table_is_broadcast_and_nothing_is_counted(spark, skewed):
+    table = spark.range(100).selectExpr("id as k", "'v' || id as v")
+    plan = lookup(skewed, table, "k", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Join") == 1 and "Aggregate" not in plan
+
+
+def test_shared_column_names_get_a_suffix(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    table = spark.createDataFrame([(1, "x", 5)], "k int, v string, n int")
+    joined = lookup(facts, table, "k", ["v"])
+    assert joined.columns == ["k", "v", "v_tabela", "n"]
+    assert rows(joined) == rows_of([(1, "a", "x", 5), (2, "b", None, None)])
+    with pytest.raises(ValueError, match="v_tabela"):
+        lookup(facts.withColumn("v_tabela", F.lit(1)), table, "k", ["v"])
+
+
+def test_hot_keys_follow_the_number_of_tasks(spark):
+    """A key with 0.04% of the rows is eight average tasks' rows on 20,000 tasks, and little on four."""
+    df = spark.range(100_000).selectExpr("if(id % 2500 = 0, -1, id) as k")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    assert hot_keys(df, "k").count() == 0
+    spark.conf.set(name, "20000")
+    try:
+        assert [(r.k, r.parts) for r in hot_keys(df, "k").collect()] == [(-1, 32)]
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_keep_first_reads_its_input_once(spark, tmp_path):
+    spark.range(10).selectExpr("nullif(id % 4, 0) as k", "id as v").write.parquet(str(tmp_path / "t"))
+    df = keep_first(spark.read.parquet(str(tmp_path / "t")), ["k"])
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert df.count() == 3 + 3
+
+
+def test_keep_first_with_maps(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, map('a', 2)), (1, map('a', 1)), (2, map('b', 1)), (null, map('c', 1)), (null, map('c', 1)) AS t(k, m)"
+    )
+    found = sorted((r.k or 0, sorted(r.m.items())) for r in keep_first(df, ["k"]).collect())
+    assert found == [(0, [("c", 1)]), (0, [("c", 1)]), (1, [("a", 1)]), (2, [("b", 1)])]
+
+
+def test_slices_go_with_their_folder(spark):
+    from quitanda.session import path_exists, scratch
+
+    df = spark.range(100).selectExpr("id", "id % 7 as v")
+    with scratch(spark) as folder:
+        found = ordered_totals(df, [F.col("v").asc(), F.col("id").asc()], ranks={"r": []}, folder=folder)
+        assert found.count() == 100 and path_exists(spark, folder)
+    assert not path_exists(spark, folder) and not path_exists(spark, folder.rpartition("/")[0])
+
+
 @pytest.fixture
 def many_slices(spark):
     name = "spark.sql.adaptive.coalescePartitions.enabled"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -12,14 +13,15 @@ from pyspark.sql import functions as F
 from quitanda.operators import checks, expectations
 from quitanda.operators.expectations import DROP, EXPECTATIONS, FAIL, WARN, Expectation
 from quitanda.operators.profile import profile
+from quitanda.plans import silver
 from quitanda.plans.comments import GOLD_COMMENTS
 from quitanda.plans.refresh import refresh
 from quitanda.session import new_location, shared_folder
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as bench
 from quitanda.sources import raw
-from quitanda.sources.sinks import clustered, documented, into_catalog, into_files, write_files, write_table
-from quitanda.streaming.hourly_sales import hourly_sales, refresh_hourly_sales, sales_stream
+from quitanda.sources.sinks import clustered, documented, into_catalog, into_files, read_published, write_files
+from quitanda.streaming.hourly_sales import refresh_hourly_sales, sales_stream
 
 
 @pytest.fixture(scope="module")
@@ -57,7 +59,7 @@ def test_quarantine(numbers):
 
 def test_expectations_are_complete():
     sizes = {t: len(e) for t, e in EXPECTATIONS.items()}
-    assert sizes == {"clientes": 2, "produtos": 2, "vendas": 9, "preco_competidores": 3}
+    assert sizes == {"clientes": 2, "produtos": 2, "vendas": 10, "preco_competidores": 3}
     fail = {e.name for e in EXPECTATIONS["vendas"] if e.severity == FAIL}
     assert len(fail) == 6 and "canal_venda_invalido" not in fail
     assert all(e.strict == FAIL for t in ("clientes", "produtos") for e in EXPECTATIONS[t])
@@ -124,22 +126,18 @@ def test_read_raw_formats(spark, tmp_path):
         raw.conform(wide.drop("marca"), "produtos")
 
 
-def test_required_columns(spark, numbers):
-    df = raw.required(numbers.where("id is not null"), "id")
-    assert not df.schema["id"].nullable and df.count() == 3
-    with pytest.raises(Exception, match="id is NULL"):
-        raw.required(numbers, "id").collect()
-
-
 def test_catalog_tables(spark, numbers):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
-    write_table(documented(numbers, {"id": "Key"}), "shop.numbers")
-    write_table(numbers, "shop.__materialization_1")
+    store = into_catalog(None, "shop", "shop", new_location(spark, "shop"))
+    store("silver", "numbers", documented(numbers, {"id": "It's the \\ key"}))
+    store("gold", "__materialization_1", numbers)
+    assert raw.list_tables(spark, "shop") == []
+    store.publish()
     assert raw.list_tables(spark, "shop") == ["numbers"]
     assert raw.read_table(spark, "numbers", "shop").count() == 4
     assert raw.read_table(spark, "numbers", "shop", "spark_catalog").count() == 4
     comments = {c.name: c.description for c in spark.catalog.listColumns("shop.numbers")}
-    assert comments["id"] == "Key"
+    assert comments["id"] == "It's the \\ key"
 
 
 def test_clustered_files_have_narrow_ranges_and_split_a_hot_day(spark):
@@ -236,35 +234,113 @@ def test_refresh_into_catalog_tables(spark, raw_tables, warehouse):
     assert all(c.description for c in spark.catalog.listColumns("marts.vendas_detalhadas"))
 
 
+SALES = "id_venda bigint, data_venda timestamp, id_cliente bigint, canal_venda string, quantidade int, receita decimal(18,2)"
+
+
+def hours_of(spark, source, home, files_per_batch=1000):
+    stream = sales_stream(spark, source, spark.createDataFrame([], SALES).schema, files_per_batch=files_per_batch)
+    return refresh_hourly_sales(stream, home)
+
+
 def test_stream_adds_new_files_and_counts_each_sale_once(spark, tmp_path):
-    schema = "id_venda bigint, data_venda timestamp, id_cliente bigint, canal_venda string, quantidade int, receita decimal(18,2)"
-    source = str(tmp_path / "in")
+    source, home = str(tmp_path / "in"), str(tmp_path / "home")
 
     def add(*rows):
-        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+        spark.createDataFrame(list(rows), SALES).coalesce(1).write.mode("append").parquet(source)
 
     def run():
-        stream = sales_stream(spark, source, spark.createDataFrame([], schema).schema)
-        table = refresh_hourly_sales(hourly_sales(stream), str(tmp_path / "table"), str(tmp_path / "state"))
-        return {(r.data.day, r.hora, r.canal_venda): (r.total_vendas, r.itens_vendidos, r.receita) for r in table.collect()}
+        table = hours_of(spark, source, home).collect()
+        return {(r.data.day, r.hora, r.canal_venda): (r.total_vendas, r.itens_vendidos, r.receita, r.clientes_unicos) for r in table}
 
-    at = lambda h, m=0: dt.datetime(2026, 1, 5, h, m)
+    at = lambda h, m=0, day=5: dt.datetime(2026, 1, day, h, m)
     add((1, at(9), 1, "web", 2, D("5.00")), (2, at(9, 59), 1, "web", 1, D("1.00")), (1, at(9), 1, "web", 2, D("5.00")))
-    assert run() == {(5, 9, "web"): (2, 3, D("6.00"))}
+    assert run() == {(5, 9, "web"): (2, 3, D("6.00"), 1)}
     add((2, at(9, 59), 1, "web", 1, D("1.00")), (3, at(10), 2, "shop", 1, D("9.00")))
-    assert run() == {(5, 9, "web"): (2, 3, D("6.00")), (5, 10, "shop"): (1, 1, D("9.00"))}
+    assert run() == {(5, 9, "web"): (2, 3, D("6.00"), 1), (5, 10, "shop"): (1, 1, D("9.00"), 1)}
     assert len(run()) == 2
+    add((4, at(8, day=9), 3, "web", 1, D("2.00")))  # another day leaves the first one's version alone
+    add((5, at(9, 1), 4, "web", 1, D("3.00")))  # late
+    assert run()[5, 9, "web"] == (3, 4, D("9.00"), 2) and run()[9, 8, "web"] == (1, 1, D("2.00"), 1)
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_stream_does_not_depend_on_batches_or_order(spark, tmp_path, files_per_batch):
+    """Files out of order over a year, each sale twice in different files."""
+    moment = "timestampadd(HOUR, cast(pmod(id * 7919, 8760) as int), timestamp'2025-01-01 00:00:00')"
+    sales = spark.range(600).selectExpr(
+        "id as id_venda", f"{moment} as data_venda", "id % 7 as id_cliente", "'web' as canal_venda", "1 as quantidade",
+        "cast(id as decimal(18,2)) as receita",
+    )
+    for month in (6, 1, 12, 3):
+        sales.where(F.month("data_venda") % 3 == month % 3).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table = hours_of(spark, str(tmp_path / "in"), str(tmp_path / "home"), files_per_batch)
+    wanted = sales.groupBy(F.to_date("data_venda").alias("d"), F.hour("data_venda").alias("h")).agg(F.count("*"), F.sum("receita"))
+    found = table.select("data", "hora", "total_vendas", F.col("receita").cast("decimal(28,2)"))
+    present = wanted.join(found.select(F.col("data").alias("d"), F.col("hora").alias("h")), ["d", "h"], "left_semi")
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, map(tuple, present.collect())))
+    assert table.agg(F.sum("total_vendas")).first()[0] == sales.where("month(data_venda) % 3 = 0 or month(data_venda) % 3 = 1").count()
 
 
-def test_stream_in_several_batches_equals_one(spark, tmp_path):
-    schema = "id_venda bigint, data_venda timestamp, id_cliente bigint, canal_venda string, quantidade int, receita decimal(18,2)"
-    moment = "timestampadd(MINUTE, cast(id % 600 as int), timestamp'2026-01-05 00:00:00')"
-    sales = spark.range(2000).selectExpr(
-        "id % 1500 as id_venda", f"{moment.replace('id', '(id % 1500)')} as data_venda", "id % 1500 % 7 as id_cliente",
-        "'web' as canal_venda", "1 as quantidade", "cast(id % 1500 as decimal(18,2)) as receita",
-    )
-    sales.repartition(5).write.parquet(str(tmp_path / "in"))
-    stream = sales_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, files_per_batch=2)
-    table = refresh_hourly_sales(hourly_sales(stream), str(tmp_path / "table"), str(tmp_path / "state"))
-    once = sales.distinct().groupBy(F.hour("data_venda").alias("hora")).agg(F.count("*").alias("n"), F.sum("receita").alias("r"))
-    assert {(r.hora, r.total_vendas, r.receita) for r in table.collect()} == {tuple(r) for r in once.collect()}
+def test_stream_of_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert hours_of(spark, str(tmp_path / "in"), str(tmp_path / "home")).count() == 0
+
+
+def test_a_failed_refresh_leaves_the_published_tables(spark, raw_tables):
+    home = new_location(spark, "lake")
+    refresh(raw_tables, into_files(home), PERIOD, LIMITS, ORDERS)
+    before = {n: sorted(map(str, df.collect())) for n, df in read_published(spark, home).items()}
+    broken = {**raw_tables, "vendas": raw_tables["vendas"].withColumn("quantidade", F.lit(0))}
+    with pytest.raises(Exception, match="quantidade_invalida"):
+        refresh(broken, into_files(home), PERIOD, LIMITS, ORDERS)
+    after = {n: sorted(map(str, df.collect())) for n, df in read_published(spark, home).items()}
+    assert len(before) == 13 and before == after
+    half = {**raw_tables, "vendas": raw_tables["vendas"].where("id_cliente % 2 = 0")}
+    refresh(half, into_files(home), PERIOD, LIMITS, ORDERS)
+    assert read_published(spark, home)["silver.vendas"].count() < len(before["silver.vendas"])
+    assert read_published(spark, new_location(spark, "nowhere")) == {}
+
+
+def test_a_failed_refresh_leaves_the_catalog_tables(spark, raw_tables):
+    for schema in ("kept_clean", "kept_marts"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    store = lambda: into_catalog("spark_catalog", "kept_clean", "kept_marts", new_location(spark, "tables"))
+    read = lambda: {
+        f"{s}.{t}": sorted(map(str, spark.table(f"{s}.{t}").collect()))
+        for s in ("kept_clean", "kept_marts")
+        for t in raw.list_tables(spark, s)
+    }
+    refresh(raw_tables, store(), PERIOD, LIMITS, ORDERS)
+    before = read()
+    broken = {**raw_tables, "vendas": raw_tables["vendas"].withColumn("quantidade", F.lit(0))}
+    with pytest.raises(Exception, match="quantidade_invalida"):
+        refresh(broken, store(), PERIOD, LIMITS, ORDERS)
+    assert len(before) == 13 and read() == before
+    half = {**raw_tables, "vendas": raw_tables["vendas"].where("id_cliente % 2 = 0")}
+    refresh(half, store(), PERIOD, LIMITS, ORDERS)
+    assert len(read()["kept_clean.vendas"]) < len(before["kept_clean.vendas"])
+
+
+def test_dropped_rows_are_counted(spark, raw_tables, monkeypatch):
+    rules = [expectations.Expectation("id_produto_nao_preenchido", "id_produto IS NOT NULL", expectations.DROP)]
+    monkeypatch.setitem(EXPECTATIONS, "preco_competidores", rules)
+    done = refresh(raw_tables, into_files(new_location(spark, "dropping")), PERIOD, LIMITS, ORDERS)
+    stored = done.tables["silver.preco_competidores"]
+    dropped = done.violations["preco_competidores"]["id_produto_nao_preenchido"]
+    assert stored.where("id_produto IS NULL").count() == 0 and dropped > 0
+    lazy = silver.typed_competitor_prices(raw_tables["preco_competidores"], ORDERS["preco_competidores"])
+    assert stored.count() + dropped == lazy.count()
+
+
+def test_a_refresh_leaves_nothing_behind(spark, raw_tables):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in shared.iterdir()}
+    refresh(raw_tables, into_files(str(shared / "only-this")), PERIOD, LIMITS, ORDERS)
+    assert {p.name for p in shared.iterdir()} - before == {"only-this"}
+
+
+def test_an_absurd_sale_does_not_stop_the_others(spark):
+    rows = [(1, dt.datetime(2026, 1, 1), 1, 1, 2147483647, "99999999.99", "web"), (2, dt.datetime(2026, 1, 1), 1, 1, 2, "1.50", "web")]
+    sales = spark.createDataFrame(rows, "id_venda bigint, data_venda timestamp_ntz, id_cliente bigint, id_produto bigint, quantidade int, preco_unitario string, canal_venda string")
+    found = {r.id_venda: r.receita for r in silver.typed_sales(sales).collect()}
+    assert found == {1: None, 2: D("3.00")}

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from quitanda.llm.hashing import ALL, groups, mixed
 
 BLANK = "▁"
-GROUP_BYTES = 1_000_000
+# Texts whose units are looked up together, and of those, characters sampled at a time.
+GROUP_BYTES, SAMPLED_CHARS = 1_500_000, 200_000
 # Characters below this code, and the blank mark, have a place in the table of adjacent pairs.
 SMALL = 0x250
 TABLE_BITS = 19
@@ -168,32 +169,43 @@ class Path(NamedTuple):
     tried: np.ndarray  # bits of slots that were emitted at this node on this prefix
 
 
-class Group:
-    """All documents of a group of texts, sampled together. Random numbers depend on the document's seed,
-    the round and the place in the document only, so neighbours do not matter."""
+class Region:
+    """Texts cut into units. Neighbouring documents share most units, so many are looked at together."""
 
-    def __init__(self, texts: list[str], seeds: np.ndarray, lattice: Lattice):
-        self.lattice, self.seeds, self.n = lattice, seeds, len(texts)
+    def __init__(self, texts: list[str], lattice: Lattice):
+        self.texts, self.lattice = texts, lattice
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        lengths = np.array([len(t) for t in texts], np.int64)
-        ends = np.cumsum(lengths)
-        small = lattice.small(codes)
+        self.char = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
         cut = np.ones(len(codes) + 1, bool)
         if len(codes):
+            small = lattice.small(codes)
             cut[1:-1] = ~lattice.allowed[small[:-1], small[1:]]
-        cut[ends] = True
+        cut[self.char] = True
         cuts = np.flatnonzero(cut) if len(codes) else np.zeros(1, np.int64)
         wide = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
         offsets = np.concatenate([[0], np.cumsum(wide)])[cuts].astype(np.int32)
         data = pa.py_buffer("".join(texts).encode())
         pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(offsets), data).dictionary_encode()
         self.units = units_of(pieces.dictionary.to_pylist(), lattice)
-        self.kind = pieces.indices.to_numpy()  # of every occurrence
-        self.owner = np.searchsorted(ends, cuts[:-1], "right")
-        self.first = np.searchsorted(self.owner, np.arange(self.n + 1), "left")
-        self.begin = cuts[:-1]  # first character of every occurrence, in the group
-        self.place = self.begin - (ends - lengths)[self.owner]  # and in its document
-        self.size = len(codes)
+        self.kind = pieces.indices.to_numpy()  # of every occurrence of a unit
+        self.begin = cuts[:-1]  # first character of every occurrence
+        self.first = np.searchsorted(self.begin, self.char, "left")  # first occurrence of every document
+
+
+class Group:
+    """Some documents of a region, sampled together. Random numbers depend on the document's seed, the
+    round and the place in the document only, so neighbours do not matter."""
+
+    def __init__(self, region: Region, a: int, b: int, seeds: np.ndarray):
+        self.lattice, self.units, self.n = region.lattice, region.units, b - a
+        self.seeds = seeds[a:b]
+        low, high = region.first[a], region.first[b]
+        self.kind = region.kind[low:high]
+        self.first = region.first[a : b + 1] - low
+        self.owner = np.repeat(np.arange(self.n), np.diff(self.first))
+        self.begin = region.begin[low:high] - region.char[a]  # in the group
+        self.place = self.begin - (region.char[a:b] - region.char[a])[self.owner]  # in the document
+        self.size = int(region.char[b] - region.char[a])
 
     def uniform(self, round_: int, document: np.ndarray, place: np.ndarray, purpose: int) -> np.ndarray:
         bits = mixed(mixed(self.seeds[document] ^ np.uint64(round_ * 2 + purpose + 1)) ^ place.astype(np.uint64), 3)
@@ -407,7 +419,15 @@ def rows_of(
     keys: list, texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int, ids: bool
 ) -> Iterator[pa.RecordBatch]:
     """The result rows of a group of texts in the model's normal form."""
-    group = Group(texts, seeds, lattice)
+    region, at = Region(texts, lattice), 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(region.char, region.char[at] + SAMPLED_CHARS, "right")) - 1)
+        yield from _sampled(Group(region, at, end, seeds), keys[at:end], texts[at:end], k, ids)
+        at = end
+
+
+def _sampled(group: Group, keys: list, texts: list[str], k: int, ids: bool) -> Iterator[pa.RecordBatch]:
+    lattice = group.lattice
     found, after = group.samples(k)
     for number, (path, documents, score) in enumerate(found, 1):
         flat, owner = group.ids(path)

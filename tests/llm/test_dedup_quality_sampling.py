@@ -224,7 +224,8 @@ def all_segmentations(text: str, lattice) -> dict[tuple, float]:
 
 
 def drawn(texts, lattice, k):
-    group = segment_sampling.Group(texts, np.arange(len(texts), dtype=np.uint64) * np.uint64(7919), lattice)
+    seeds = np.arange(len(texts), dtype=np.uint64) * np.uint64(7919)
+    group = segment_sampling.Group(segment_sampling.Region(texts, lattice), 0, len(texts), seeds)
     found, after = group.samples(k)
     result = [[] for _ in texts]
     for path, documents, score in found:
@@ -270,7 +271,7 @@ def test_neighbours_do_not_matter(lattice):
     texts = [lattice.model.normalize(t) for t in ("one two three", cases.words(60, 3), "", "漢字 😀\nça va", cases.PLAIN)]
     together, _ = drawn(texts, lattice, 3)
     for i, text in enumerate(texts):
-        group = segment_sampling.Group([text], np.array([i * 7919], np.uint64), lattice)
+        group = segment_sampling.Group(segment_sampling.Region([text], lattice), 0, 1, np.array([i * 7919], np.uint64))
         found, _ = group.samples(3)
         assert [tuple(group.ids(p)[0].tolist()) for p, d, _ in found if len(d)] == [r[0] for r in together[i]]
 

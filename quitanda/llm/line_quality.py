@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quitanda.llm.tables import small_batches
+
 UPPER, LOWER, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 SYMBOLS, CALLS, STOPS = b"#*$%&|<>{}[]=+~^_\\/@", b"!?", b".,;:"
 OWN = 15
@@ -207,7 +209,7 @@ def learned(
     joined = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
         F.broadcast(drawn), F.col("_key") == F.col("_id")
     )
-    rows = joined.select(F.col("_y").cast("int"), "_text").mapInArrow(extract, "y int, x binary")
+    rows = small_batches(joined).select(F.col("_y").cast("int"), "_text").mapInArrow(extract, "y int, x binary")
     rows = rows.orderBy(F.xxhash64("x")).limit(2 * settings.documents).collect()
     return fit([(np.frombuffer(r.x, np.float32).reshape(-1, WIDTH), r.y) for r in rows], settings)
 
@@ -228,6 +230,6 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
     rows = docs.select(F.col(key).alias("_key"), held_out(key).alias("held_out"), F.col(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
-    result = rows.mapInArrow(score_all, f"_key {kind}, held_out boolean, score double")
+    result = small_batches(rows).mapInArrow(score_all, f"_key {kind}, held_out boolean, score double")
     predicted = F.when(F.col("score") >= GOOD_FROM, 1).otherwise(0)
     return result.select(F.col("_key").alias(key), "held_out", "score", predicted.alias("predicted"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm.hashing import groups, mixed, word_hashes
-from quitanda.llm.tables import stored, with_key_values
+from quitanda.llm.tables import small_batches, stored, with_key_values
 
 BANDS = 48
 # Chance of a linked pair to share no band, and deviations below the threshold an estimate may lie.
@@ -148,7 +148,7 @@ def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
                 )
                 at += len(texts)
 
-    return docs.mapInArrow(sketch, "id bigint, n_shingles bigint, set_key string, registers binary")
+    return small_batches(docs).mapInArrow(sketch, "id bigint, n_shingles bigint, set_key string, registers binary")
 
 
 def bands(representatives: DataFrame, rows: int, count: int = BANDS) -> DataFrame:
@@ -230,7 +230,7 @@ class Linker:
         """The pairs (a, b) whose full sets reach the threshold."""
         words, percent = self.words, self.percent
         likely = stored(self.likely(pairs), "likely")
-        ids = stored(likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "id"), "ids")
+        ids = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "id")
         # A sieve of bounded size keeps most other texts out of the shuffle; the join after it is exact.
         sieve = ids.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct()
         hashed = self.docs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(SIEVE)))
@@ -309,15 +309,12 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
             known = labels.withColumnRenamed("id", "_id")
             joined = members.join(known, F.col("id") == F.col("_id"), "left").drop("_id")
             labelled = stored(joined.withColumn("component", F.coalesce("component", "id")), "labelled")
-            split = labelled.groupBy("band").agg(
-                F.count("*").alias("size"), F.min("component").alias("_low"), F.max("component").alias("_high")
-            )
-            split = stored(split.where("_low < _high").select("band", "size"), "split")
+            split = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+            split = stored(split.where("_low < _high").select("band"), "split")
             if not split.take(1):
                 return labels
-            labelled = stored(
-                with_key_values(labelled, split, "band", "size", ["size"]).where("size > 1").drop("size"), "labelled"
-            )
+            # A document is in each band once, so none of the 48 bands' values has many of all rows.
+            labelled = labelled.join(split, "band", "left_semi")
             per_band *= LEADERS
             slot = F.pmod(F.xxhash64("id", F.lit(per_band)), F.lit(per_band))
             leaders = labelled.groupBy("band", slot.alias("_slot")).agg(F.min(F.struct("id", "n", "component")).alias("_l"))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quitanda.llm.tables import small_batches
+
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouted"]
@@ -84,7 +86,7 @@ def ledger(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     keep = ["doc_id"] if keep is None else keep
     kept = df.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     schema = ", ".join([f"_keep{i} {kept.schema[i].dataType.simpleString()}" for i in range(len(keep))])
-    measured = kept.mapInArrow(
+    measured = small_batches(kept).mapInArrow(
         _measure_batches, ", ".join(filter(None, [schema, *[f"{m} bigint" for m in MEASURES]]))
     )
     bits = sum((F.when(F.expr(r.failed), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in RULES), F.lit(0))

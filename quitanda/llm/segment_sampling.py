@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.llm.hashing import ALL, groups, mixed
+from quitanda.llm.tables import small_batches
 
 BLANK = "▁"
 # Texts whose units are looked up together, and of those, characters sampled at a time.
@@ -411,7 +412,7 @@ def segmentations(
 
     rows = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
-    result = rows.mapInArrow(sample, f"_key {kind}, {SCHEMA}" + ", ids array<int>" * ids)
+    result = small_batches(rows).mapInArrow(sample, f"_key {kind}, {SCHEMA}" + ", ids array<int>" * ids)
     return result.withColumnRenamed("_key", key)
 
 

@@ -11,8 +11,9 @@ from quitanda.session import new_location
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-# A table of at most this many rows and bytes of keys is broadcast whole.
-BROADCAST_ROWS, BROADCAST_BYTES = 10_000, 4_000_000
+# A table of at most this many rows and bytes of text is broadcast whole; of larger ones, hot rows whose
+# text is no longer than that.
+BROADCAST_ROWS, BROADCAST_BYTES, HOT_BYTES = 10_000, 4_000_000, 4_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES, ARROW_DEFAULT, ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands rows to Python in batches of 8 MB instead of Spark's 64 MB,
+    unless it has a setting of its own: texts are long, and every running task holds a batch twice
+    on either side. The setting stays, as plans read it when they run."""
+    spark = df.sparkSession
+    if spark.conf.get(ARROW_BYTES, ARROW_DEFAULT) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_BYTES, ARROW_LIMIT)
+    return df
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -42,24 +56,25 @@ def with_key_values(
     """``facts`` left join ``per_key`` on ``key``, a string or bigint column, whatever the skew.
 
     ``per_key`` has one row per key, NULL excluded, and says in ``rows`` how many facts have it;
-    its values are numbers or short texts. It is read several times and should be stored. If it is
+    its values are numbers or texts. It is read several times and should be stored. If it is
     counted to be small, it is broadcast. Else a key with more than 0.7 of an average task's share
     of the facts is hot. Fewer than 1.5 keys per shuffle partition can be, so they are broadcast on
-    every cluster, and their facts are dealt out evenly under made-up keys; all other facts meet
-    ``per_key`` in a plain shuffled join. Facts without a key get NULL values.
+    every cluster, but for those with long texts, and their facts are dealt out evenly under made-up
+    keys; all other facts meet ``per_key`` in a plain shuffled join, in which Spark may split what is
+    large. Facts without a key get NULL values.
     """
     spark = facts.sparkSession
-    count, size, total = per_key.agg(F.count("*"), F.sum(F.octet_length(F.col(key).cast("string"))), F.sum(rows)).first()
+    texts = [c for c in (key, *values) if per_key.schema[c].dataType.typeName() == "string"]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    count, size, total = per_key.agg(F.count("*"), F.sum(width), F.sum(rows)).first()
     if count <= broadcast_rows and (size or 0) <= BROADCAST_BYTES:
         all_keys = per_key.select(F.col(key).alias("_k"), *[F.col(v).alias(f"_v_{v}") for v in values])
         joined = facts.join(F.broadcast(all_keys), F.col(key) == F.col("_k"), "left")
         return joined.select(*facts.columns, *[F.col(f"_v_{v}").alias(v) for v in values])
     hot_from = max(2, 0.7 * total / tasks(spark))
-    renamed = per_key.select(F.col(key).alias("_k"), F.col(rows).alias("_n"), *[F.col(v).alias(f"_v_{v}") for v in values])
-    hot = renamed.where(F.col("_n") >= hot_from).drop("_n").select(
-        F.col("_k").alias("_hot"), *[F.col(f"_v_{v}").alias(f"_h_{v}") for v in values]
-    )
-    rest = renamed.where(F.col("_n") < hot_from).drop("_n")
+    is_hot = (F.col(rows) >= hot_from) & (width <= HOT_BYTES)
+    hot = per_key.where(is_hot).select(F.col(key).alias("_hot"), *[F.col(v).alias(f"_h_{v}") for v in values])
+    rest = per_key.where(~is_hot).select(F.col(key).alias("_k"), *[F.col(v).alias(f"_v_{v}") for v in values])
     # A made-up key may equal a real one; what it finds there is not used.
     anywhere = F.xxhash64(F.monotonically_increasing_id()).cast(facts.schema[key].dataType)
     routed = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(

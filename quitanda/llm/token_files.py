@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.llm.hashing import groups, mixed
-from quitanda.llm.tables import stored, tasks
+from quitanda.llm.tables import small_batches, stored, tasks
 from quitanda.operators.ordered import ordered_totals
 from quitanda.session import new_location
 
@@ -207,7 +207,7 @@ def write_shards(
             yield pa.RecordBatch.from_arrays([pa.array([tail], pa.binary())], ["ids"])
 
     ordered = texts.repartitionByRange(shards, F.col("_key").asc(), tie.asc()).sortWithinPartitions("_key", tie)
-    raw = ordered.mapInArrow(encoded, "ids binary").select(F.col("ids").cast("string").alias("value"))
+    raw = small_batches(ordered).mapInArrow(encoded, "ids binary").select(F.col("ids").cast("string").alias("value"))
     raw.write.option("lineSep", separator.decode()).text(path)
 
 
@@ -244,7 +244,7 @@ def read_shards(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names + ["ids"] * ids)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(read, schema + ", ids array<int>" * ids)
+    return small_batches(files).select("path", "content").mapInArrow(read, schema + ", ids array<int>" * ids)
 
 
 # Minimal perfect hash: keys alone in their slot of a bit array keep it, the others go on to the next,

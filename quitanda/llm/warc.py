@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quitanda.llm.tables import BROADCAST_ROWS, stored, with_key_values
+from quitanda.llm.tables import BROADCAST_ROWS, small_batches, stored, with_key_values
 from quitanda.session import new_location
 
 # An archive ends with the record that reaches this many bytes, before compression.
@@ -121,7 +121,8 @@ def write_archives(
             before = int(ends[-1]) if len(ends) else before
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(archive)], ["record", "archive"])
 
-    numbered_records = records.select(_record(date).alias("record")).mapInArrow(numbered, "record string, archive bigint")
+    whole = small_batches(records).select(_record(date).alias("record"))
+    numbered_records = whole.mapInArrow(numbered, "record string, archive bigint")
     writer = numbered_records.write.partitionBy("archive").option("lineSep", END).option("compression", "gzip")
     writer.text(path)
 
@@ -178,7 +179,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 yield pa.RecordBatch.from_arrays(arrays, names + ["payload"] * payloads)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
-    return files.load(path).select("content").mapInArrow(read, schema + ", payload binary" * payloads)
+    return small_batches(files.load(path)).select("content").mapInArrow(read, schema + ", payload binary" * payloads)
 
 
 def revisited(headers: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -85,6 +85,48 @@ SELECT a AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(b) AS compone
 FROM reached LEFT JOIN sizes ON doc_id = a GROUP BY a
 """
 
+# Kind, pattern, group whose length counts, least length.
+_SECRETS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 1),
+    ("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+]
+
+
+def _secrets() -> str:
+    kinds = " UNION ALL ".join(
+        f"""SELECT doc_id, {k} AS k, '{name}' AS kind, {least} AS least, regexp_extract_all(t, {pattern}, 0) AS m,
+          regexp_extract_all(t, {pattern}, {group}) AS v, string_split_regex(t, {pattern}) AS gaps FROM texts"""
+        for k, (name, pattern, group, least) in enumerate(
+            (n, "'" + p.replace("'", "''") + "'", g, x) for n, p, g, x in _SECRETS
+        )
+    )
+    until = "list_sum(list_transform({0}[1:i], lambda x: length(x)))"
+    counts = ", ".join(f"count(*) FILTER (k = {k}) AS n_{name}" for k, (name, *_) in enumerate(_SECRETS[:3]))
+    zeros = ", ".join(f"coalesce(n_{name}, 0)::BIGINT AS n_{name}" for name, *_ in _SECRETS[:3])
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), found AS (
+  SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({kinds}) WHERE len(m) > 0
+), spans AS (
+  SELECT doc_id, k, kind, ({until.format('gaps')} + {until.format('m')})::BIGINT AS stop, stop - length(m[i]) AS start
+  FROM found WHERE length(v[i]) >= least
+), per AS (
+  SELECT doc_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLES["op6_blob_ledger_secrets"] = _secrets()
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -230,7 +230,7 @@ class Linker:
         """The pairs (a, b) whose full sets reach the threshold."""
         words, percent = self.words, self.percent
         likely = stored(self.likely(pairs), "likely")
-        ids = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "id")
+        ids = stored(likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "id"), "ids")
         # A sieve of bounded size keeps most other texts out of the shuffle; the join after it is exact.
         sieve = ids.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct()
         hashed = self.docs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(SIEVE)))
@@ -313,12 +313,10 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
             split = stored(split.where("_low < _high").select("band"), "split")
             if not split.take(1):
                 return labels
-            # A document is in each band once, so none of the 48 bands' values has many of all rows.
-            labelled = labelled.join(split, "band", "left_semi")
             per_band *= LEADERS
             slot = F.pmod(F.xxhash64("id", F.lit(per_band)), F.lit(per_band))
             leaders = labelled.groupBy("band", slot.alias("_slot")).agg(F.min(F.struct("id", "n", "component")).alias("_l"))
-            leaders = stored(leaders.select("band", "_l.*"), "leaders")
+            leaders = stored(leaders.select("band", "_l.*").join(split, "band", "left_semi"), "leaders")
         pairs = pairs_with(labelled, leaders, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

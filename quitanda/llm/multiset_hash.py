@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from quitanda.llm.tables import tasks
 
 # A fingerprint is an array of 60-bit longs. The first SUMS hold two lanes of 28 bits each, summed
-# from SHA-256 digests of paragraphs: 560 bits for equality. Then SIGNS longs of four 14-bit lanes,
+# from SHA-256 digests of paragraphs: 560 bits for equality. Then SIGNS longs of two 29-bit lanes,
 # summed from one bit per sentence and lane, and one long with the number of sentences: together a
 # sign sketch for likeness. Two guard bits, or one, above each lane take the carry of an addition and are cleared, so
-# every lane is a sum modulo a power of two, whatever the number of paragraphs.
-SUMS, SIGNS = 10, 30
+# every lane is a sum modulo a power of two, whatever the number of paragraphs. Spark holds fewer than 2**28
+# sentence hashes in a row, so no text reaches half a sign lane and no likeness turns its sign.
+SUMS, SIGNS = 10, 60
 WIDE = (1 << 28) - 1
 SUM_MASK = WIDE | WIDE << 30
-BIT_MASK = 1 | 1 << 15 | 1 << 30 | 1 << 45
-LANE = (1 << 14) - 1
-SIGN_MASK = LANE | LANE << 15 | LANE << 30 | LANE << 45
-PER_HASH = 15
+BIT_MASK = 1 | 1 << 30
+LANE = (1 << 29) - 1
+SIGN_MASK = LANE | LANE << 30
+PER_HASH = 30
 # Sentences end at . ! ? or ; followed by a blank; paragraphs at a line feed.
 SENTENCE_END = r"\n|(?<=[.!?;])\x20"
 SLICES_PER_TASK = 8
@@ -28,6 +29,15 @@ def _masked_sum(hashes: Column, part, mask: int) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda acc, h: (acc + part(h)).bitwiseAND(F.lit(mask)))
 
 
+def _sign_sums(hashes: Column, bits) -> Column:
+    """PER_HASH longs; as one expression over their numbers, which keeps the plan and its code small."""
+
+    def one(i: Column) -> Column:
+        return _masked_sum(hashes, lambda h: F.call_function("shiftright", bits(h), i).bitwiseAND(F.lit(BIT_MASK)), SIGN_MASK)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PER_HASH - 1)), one)
+
+
 def _parts(text: Column) -> tuple[Column, Column]:
     paragraphs = F.filter(F.split(text, "\n"), lambda p: p != "")
     digests = F.transform(paragraphs, lambda p: F.sha2(p, 256))
@@ -48,20 +58,14 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         _masked_sum(F.col("_digests"), lambda d, i=i: F.xxhash64(d, F.lit(i)).bitwiseAND(F.lit(SUM_MASK)), SUM_MASK)
         for i in range(SUMS)
     ]
-    signs = [
-        _masked_sum(
-            F.col("_sentences"),
-            lambda h, i=i: F.shiftright(h if i < PER_HASH else F.xxhash64(h), i % PER_HASH).bitwiseAND(F.lit(BIT_MASK)),
-            SIGN_MASK,
-        )
-        for i in range(SIGNS)
-    ]
-    number = F.size("_sentences").cast("bigint").bitwiseAND(F.lit(WIDE))
-    return staged.withColumn(name, F.array(*sums, *signs, number)).drop("_digests", "_sentences")
+    signs = [_sign_sums(F.col("_sentences"), bits) for bits in (lambda h: h, F.xxhash64)]
+    number = F.size("_sentences").cast("bigint").bitwiseAND(F.lit(LANE))
+    whole = F.concat(F.array(*sums), *signs, F.array(number))
+    return staged.withColumn(name, whole).drop("_digests", "_sentences")
 
 
 def _mask(i: int) -> int:
-    return SUM_MASK if i < SUMS else SIGN_MASK if i < SUMS + SIGNS else WIDE
+    return SUM_MASK if i < SUMS else SIGN_MASK if i < SUMS + SIGNS else LANE
 
 
 def combined(a: Column, b: Column) -> Column:
@@ -75,7 +79,7 @@ def without(a: Column, b: Column) -> Column:
     Each lane borrows from its own guard bit, so neighbours are untouched.
     """
     guards = [
-        (1 << 28 | 1 << 58) if i < SUMS else (1 << 14 | 1 << 29 | 1 << 44 | 1 << 59) if i < SUMS + SIGNS else 1 << 28
+        (1 << 28 | 1 << 58) if i < SUMS else (1 << 29 | 1 << 59) if i < SUMS + SIGNS else 1 << 29
         for i in range(SUMS + SIGNS + 1)
     ]
     return F.array(
@@ -90,14 +94,13 @@ def as_text(fingerprint: Column) -> Column:
 
 def with_lanes(df: DataFrame, fingerprint: str, name: str) -> DataFrame:
     """Adds ``name``: the sign lanes as numbers, twice the ones less all sentences, around zero."""
-    fp = F.col(fingerprint)
-    lanes = []
-    for i in range(SUMS, SUMS + SIGNS):
-        for field in range(4):
-            ones = F.shiftright(fp[i], 15 * field).bitwiseAND(F.lit(LANE))
-            value = (2 * ones - fp[SUMS + SIGNS]).bitwiseAND(F.lit(LANE))
-            lanes.append(F.when(value > LANE // 2, value - (LANE + 1)).otherwise(value))
-    return df.withColumn(name, F.array(*lanes))
+    fp, half = F.col(fingerprint), LANE // 2 + 1
+
+    def lane(ones: Column) -> Column:
+        return (2 * ones.bitwiseAND(F.lit(LANE)) - fp[SUMS + SIGNS] + half).bitwiseAND(F.lit(LANE)) - half
+
+    pairs = F.transform(F.slice(fp, SUMS + 1, SIGNS), lambda v: F.array(lane(v), lane(F.shiftright(v, 30))))
+    return df.withColumn(name, F.flatten(pairs))
 
 
 def likeness(a: Column, b: Column, same: Column) -> Column:

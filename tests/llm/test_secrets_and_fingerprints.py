@@ -128,6 +128,14 @@ def test_sums_wrap_in_their_lane(spark):
             assert high == low * n % (multiset_hash.LANE + 1)
 
 
+def test_likeness_of_many_equal_lines(spark):
+    texts = [line for n in (10_000, 50_000) for line in ("\n".join(["same."] * n), "\n".join(["same."] * (n // 2)))]
+    rows = multiset_hash.with_lanes(multiset_hash.with_fingerprint(versions(spark, texts), "text", "fp"), "fp", "lanes")
+    one = rows.groupBy().pivot("path", [0, 1, 2, 3]).agg(F.first("lanes"))
+    pairs = [multiset_hash.likeness(F.col(a), F.col(b), F.lit(False)) for a, b in (("0", "1"), ("2", "3"))]
+    assert [round(x, 9) for x in one.select(*[p.alias(f"p{i}") for i, p in enumerate(pairs)]).first()] == [1.0, 1.0]
+
+
 def edited(texts: dict[int, str]) -> dict[int, str]:
     ids = sorted(texts)
     following = dict(zip(ids, ids[1:] + ids[:1], strict=True))

@@ -125,12 +125,12 @@ def may_reach(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.n
 
 
 def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """(id, n_shingles, set_key, registers) of (id, text); set_key is equal for equal sets, NULL for empty ones."""
+    """(row, id, n_shingles, set_key, registers) of (row, id, text); set_key is equal for equal sets, NULL for empty ones."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in groups(batch.column(1)):
+            for texts in groups(batch.column(2)):
                 sets, edges = shingle_sets(texts, words)
                 regs, sizes = registers(sets, edges, k), np.diff(edges)
                 with np.errstate(over="ignore"):
@@ -140,15 +140,17 @@ def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(texts)),
+                        batch.column(1).slice(at, len(texts)),
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.string()),
                         pa.array([r.tobytes() for r in regs], pa.binary()),
                     ],
-                    ["id", "n_shingles", "set_key", "registers"],
+                    ["row", "id", "n_shingles", "set_key", "registers"],
                 )
                 at += len(texts)
 
-    return small_batches(docs).mapInArrow(sketch, "id bigint, n_shingles bigint, set_key string, registers binary")
+    schema = "row bigint, id bigint, n_shingles bigint, set_key string, registers binary"
+    return small_batches(docs).mapInArrow(sketch, schema)
 
 
 def bands(representatives: DataFrame, rows: int, count: int = BANDS) -> DataFrame:
@@ -338,67 +340,95 @@ def id_of(key: str, text: str) -> Column:
 
 
 def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, n_shingles, component) of every row of (id, text), see `near_duplicates`."""
+    """(row, id, n_shingles, first_id, first_row) of every row of (row, id, text), see `near_duplicates`:
+    the least id connected to the row, and the least row that has it. Rows are numbers of their own
+    and stored, so a class goes by one of its rows, whatever ids are repeated."""
     rows = band_rows(percent)
     sketched = stored(sketches(docs, words, BANDS * rows), "sketches")
     classes = stored(
         sketched.where("set_key IS NOT NULL")
         .groupBy("set_key", "n_shingles")
-        .agg(F.count("*").alias("rows"), F.min("id").alias("id"), F.first("registers").alias("registers")),
+        .agg(F.count("*").alias("rows"), F.min(F.struct("id", "row")).alias("_l"), F.first("registers").alias("registers"))
+        .select("set_key", "n_shingles", "rows", "_l.*", "registers"),
         "classes",
     )
-    labels = links(docs, classes, words, percent, rows)
-    known = labels.withColumnRenamed("id", "_id")
+    nodes = classes.select(F.col("row").alias("id"), "n_shingles", "registers")
+    labels = links(docs.select(F.col("row").alias("id"), "text"), nodes, words, percent, rows)
+    known = labels.withColumnRenamed("id", "_node")
+    labelled = stored(
+        classes.select("set_key", "rows", "id", "row")
+        .join(known, F.col("row") == F.col("_node"), "left")
+        .select("set_key", "rows", "id", "row", "component"),
+        "labelled",
+    )
+    firsts = stored(
+        labelled.where("component IS NOT NULL")
+        .groupBy("component")
+        .agg(F.count("*").alias("classes"), F.min(F.struct("id", "row")).alias("_l"))
+        .select("component", "classes", F.col("_l.id").alias("first_id"), F.col("_l.row").alias("first_row")),
+        "firsts",
+    )
+    own = [F.coalesce(f"first_{c}", c).alias(f"first_{c}") for c in ("id", "row")]
     resolved = stored(
-        classes.select("set_key", "rows", "id")
-        .join(known, F.col("id") == F.col("_id"), "left")
-        .select("set_key", "rows", F.coalesce("component", "id").alias("component")),
+        with_key_values(labelled, firsts, "component", "classes", ["first_id", "first_row"]).select("set_key", "rows", *own),
         "resolved",
     )
-    joined = with_key_values(sketched.drop("registers"), resolved, "set_key", "rows", ["component"])
-    return joined.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    joined = with_key_values(sketched.drop("registers"), resolved, "set_key", "rows", ["first_id", "first_row"])
+    return joined.select("row", "id", "n_shingles", *own)
 
 
 def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = 3,
+    percent: int = 85,
+    per_row: bool = False,
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id and kept, for links of ``percent`` similar sets of
     ``words``-word shingles, A-Z in lower case.
 
     Rows with equal sets are one class, whatever their number; representatives of classes are
     linked as in `links`, and links confirmed on whole sets of 64-bit hashes. component_id is the
-    smallest key connected to the row, itself included; kept says that it is the row's own. Keys
-    lie below 2**62.
+    smallest key connected to the row, itself included; kept says that it is the row's own, or
+    ``per_row``, that the row is the one of its component that stays. Keys lie below 2**62.
 
     A pair at the threshold shares no band once in a million, one well above it never. Rows without
     words or text (NULL) have an empty set, are linked with nothing and kept. Rows without a key are
-    linked like others under a made-up one, which is greater than any key: component_id is NULL
-    and one of them is kept if nothing they are connected to has a key, else none of them is. Rows
-    with equal keys are taken for one document and share its fate. Extra columns are ignored; an
-    empty table gives no rows.
+    linked like others under a made-up one, which is greater than any key and equal for equal texts:
+    component_id is NULL if nothing they are connected to has a key. Rows with equal keys are linked
+    by their own texts. Only ``per_row`` is one row kept of each component; without it every row
+    under the component's key is, made-up ones included. Extra columns are ignored; an empty table
+    gives no rows.
     """
-    docs = df.select(id_of(key, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    text_of = F.coalesce(F.col(text), F.lit("")).alias("text")
+    docs = stored(df.select(F.monotonically_increasing_id().alias("row"), id_of(key, text), text_of), "documents")
     is_key = lambda c: F.when(F.col(c) < SURROGATE, F.col(c))
+    least = "row" if per_row else "id"
     return grouped(docs, words, percent).select(
         is_key("id").alias(key),
         "n_shingles",
-        is_key("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+        is_key("first_id").alias("component_id"),
+        (F.col(least) == F.col(f"first_{least}")).alias("kept"),
     )
 
 
 def one_of_each(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """The rows of ``df`` that `near_duplicates` keeps, with all their columns.
+    """The rows of ``df`` that `near_duplicates` keeps ``per_row``, with all their columns.
 
-    Only rows whose id may be among those dropped, by a sieve of bounded size, are shuffled to find out.
+    Rows are numbered and stored first, since a row is dropped by its number: repeated keys, or none,
+    neither save a copy nor drop an unlike text. Only rows whose number may be among those dropped,
+    by a sieve of bounded size, are shuffled to find out.
     """
-    docs = df.select(id_of(key, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dropped = stored(grouped(docs, words, percent).where("id <> component").select("id").distinct(), "dropped")
-    sieve = F.broadcast(dropped.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct())
-    whole = df.select(F.struct("*").alias("_row"), id_of(key, text))
-    hashed = whole.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(SIEVE)))
+    whole = stored(
+        df.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("row"), id_of(key, text)), "numbered"
+    )
+    docs = whole.select("row", "id", F.coalesce(F.col("_row").getField(text), F.lit("")).alias("text"))
+    dropped = stored(grouped(docs, words, percent).where("row <> first_row").select("row"), "dropped")
+    sieve = F.broadcast(dropped.select(F.pmod(F.xxhash64("row"), F.lit(SIEVE)).alias("_sieve")).distinct())
+    hashed = whole.withColumn("_s", F.pmod(F.xxhash64("row"), F.lit(SIEVE)))
     clear = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_anti")
-    doubtful = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_semi").join(dropped, "id", "left_anti")
-    return clear.unionByName(doubtful).select("_row.*")
+    doubtful = hashed.join(sieve, F.col("_s") == F.col("_sieve"), "left_semi").join(dropped, "row", "left_anti")
+    return clear.select("_row.*").unionByName(doubtful.select("_row.*"))

@@ -112,6 +112,21 @@ def test_odd_documents_in_groups(spark):
     assert near_dedup.near_duplicates(cases.empty(spark)).count() == 0
 
 
+def test_one_row_of_each_component_whatever_the_keys(spark):
+    a, b, c, d = (cases.words(100, i) for i in range(301, 305))
+    rows = [(3, a), (5, a), (5, b), (6, b + " more"), (7, d), (7, d), (8, None), (8, None), *[(None, c)] * 4]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, row int").repartition(3)
+    kept = near_dedup.one_of_each(frame)
+    assert kept.columns == frame.columns
+    wanted = sorted(map(str, [(3, a), (5, b), (7, d), (8, None), (8, None), (None, c)]))
+    assert sorted(str(tuple(r)) for r in kept.drop("row").collect()) == wanted
+    got = near_dedup.near_duplicates(frame, per_row=True).collect()
+    assert Counter((r.component_id, r.n_shingles > 0) for r in got if r.kept) == {
+        (3, True): 1, (5, True): 1, (7, True): 1, (8, False): 2, (None, True): 1
+    }
+    assert len(got) == len(rows) and Counter(r.component_id for r in got) == {3: 2, 5: 2, 7: 2, 8: 2, None: 4}
+
+
 # Line quality
 
 

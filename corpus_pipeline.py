@@ -37,8 +37,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two segmentations of every document; a repeated document repeats its rows."""
-    return segment_sampling.segmentations(docs, tokenizer_path("piece_bpe_32k.model"))
+    """Two segmentations of every document, with their ids; a repeated document repeats its rows."""
+    return segment_sampling.segmentations(docs, tokenizer_path("piece_bpe_32k.model"), ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from quitanda.llm import quality_rules
+from quitanda.llm import quality_rules, segment_sampling
 from quitanda.llm.oracle import llm_oracles
-from quitanda.llm.queries import llm_queries
+from quitanda.llm.queries import llm_queries, tokenizer_path
 
 
 def test_every_operator_is_registered():
@@ -105,6 +105,15 @@ def test_pipeline_gets_over_odd_documents(spark, tiny):
     assert none.count() == 0
 
 
+def test_pipeline_ends_with_the_ids_of_its_texts(spark, tiny):
+    model = segment_sampling.lattice_of(tokenizer_path("piece_bpe_32k.model")).model
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").where("doc_id < 20")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    final = corpus_pipeline.STAGES[-1][1](spark, docs, tiny).collect()
+    assert {r.doc_id for r in final} == set(texts)
+    assert all(model.decode(list(r.ids)) == texts[r.doc_id] and len(r.ids) == r.n_pieces for r in final)
+
+
 def test_near_duplicate_stage_keeps_one_document_of_each_group(spark, tiny):
     kept = corpus_pipeline.deduplicated(spark, cases.documents(spark), tiny)
     texts = Counter(r.text for r in kept.select("text").collect())

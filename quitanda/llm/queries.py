@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quitanda.llm import (
+    byte_pairs,
     line_quality,
     mixing,
     multiset_hash,
@@ -118,3 +119,11 @@ def op10_lookup_table_shards(spark, sf_dir):
     tables = {"shard": sharding.fill_table(SHARDS), "shard_without_first": [s + 1 for s in without]}
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.place(documents, "doc_id", tables, "text").drop("text")
+
+
+@query
+def op12_recursive_byte_pairs(spark, sf_dir):
+    """Ids of all documents by ranks of byte strings, and their texts from the ids."""
+    from public_tokenizers import PATTERN
+
+    return byte_pairs.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), PATTERN)

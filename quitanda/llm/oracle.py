@@ -127,6 +127,77 @@ FROM texts LEFT JOIN per USING (doc_id)
 
 ORACLES["op6_blob_ledger_secrets"] = _secrets()
 
+# CRC-32 of "conv_id:turn", bit by bit; ids and turns are ASCII.
+CRC = r"""xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({text}, ''),
+    lambda c: list_transform(range(8), lambda i: ((ascii(c) >> i::INTEGER) & 1)::BIGINT)))),
+    lambda crc, bit: CASE WHEN xor(crc, bit) & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END), 4294967295)"""
+
+ORACLES["op11_audited_repair"] = (
+    r"""
+WITH RECURSIVE moves(p, initial, letters, q, cost, inserted, role) AS (VALUES
+  (0, '*', 'D', 0, 3, []::VARCHAR[], ''), (1, '*', 'D', 1, 3, [], ''), (2, '*', 'D', 2, 3, [], ''), (3, '*', 'D', 3, 3, [], ''),
+  (0, 's', 'K', 1, 0, [], ''), (0, 'u', 'K', 2, 0, [], ''), (1, 'u', 'K', 2, 0, [], ''), (2, 'a', 'K', 3, 0, [], ''),
+  (3, 'u', 'K', 2, 0, [], ''), (0, 'a', 'IK', 3, 2, ['user:'], ''), (1, 'a', 'IK', 3, 2, ['user:'], ''),
+  (2, 'u', 'IK', 2, 2, ['assistant:'], ''), (3, 'a', 'IK', 3, 2, ['user:'], ''),
+  (0, '*', 'R', 2, 2, [], 'user'), (1, '*', 'R', 2, 2, [], 'user'), (2, '*', 'R', 3, 2, [], 'assistant'),
+  (3, '*', 'R', 2, 2, [], 'user'), (0, '*', 'IR', 3, 4, ['user:'], 'assistant'), (1, '*', 'IR', 3, 4, ['user:'], 'assistant'),
+  (2, '*', 'IR', 2, 4, ['assistant:'], 'user'), (3, '*', 'IR', 3, 4, ['user:'], 'assistant')
+), closing(q, letters, cost, inserted) AS (VALUES
+  (0, '', 0, []::VARCHAR[]), (1, 'II', 4, ['user:', 'assistant:']), (2, 'I', 2, ['assistant:']), (3, '', 0, [])
+), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    """
+    + CRC.format(text="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    + r""" % 20 AS fault
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    role AS old_role, text AS old_text, unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM given WHERE fault <> 0
+), numbered AS (
+  SELECT *, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, old_role, old_text, copy) AS n
+  FROM damaged
+), seen AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
+  FROM numbered
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE NOT blank AND again) AS duplicate,
+    count(*) FILTER (WHERE NOT blank AND NOT again AND cut) AS truncated,
+    count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM seen GROUP BY conv_id
+), paths AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS q, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS best
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, n, q, min(best) FROM (
+    SELECT paths.conv_id, seen.n, moves.q, {
+      'cost': best.cost + moves.cost + CASE WHEN letters <> 'D' AND cut THEN 1 ELSE 0 END,
+      'audit': best.audit || letters,
+      'lines': list_concat(best.lines, inserted, CASE WHEN letters = 'D' THEN []
+        ELSE [(CASE WHEN moves.role = '' THEN seen.role ELSE moves.role END) || ':' || text] END)} AS best
+    FROM paths JOIN seen ON paths.conv_id IS NOT DISTINCT FROM seen.conv_id AND seen.n = paths.n + 1
+    JOIN moves ON moves.p = paths.q AND (moves.initial = '*' OR moves.initial = seen.initial)
+      AND (letters = 'D' OR NOT (blank OR again))
+  ) GROUP BY conv_id, n, q
+), ended AS (
+  SELECT conv_id, min({'cost': best.cost + closing.cost, 'audit': best.audit || letters,
+    'lines': list_concat(best.lines, inserted)}) AS best
+  FROM paths JOIN closing USING (q)
+  WHERE n = (SELECT count(*) FROM seen WHERE seen.conv_id IS NOT DISTINCT FROM paths.conv_id) GROUP BY conv_id
+)
+SELECT ended.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+  sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM ended LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+)
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quitanda.llm import (
     byte_pairs,
+    conversation_repair,
     line_quality,
     mixing,
     multiset_hash,
@@ -121,6 +122,13 @@ def op10_lookup_table_shards(spark, sf_dir):
     return sharding.place(documents, "doc_id", tables, "text").drop("text")
 
 
+@query
+def op11_audited_repair(spark, sf_dir):
+    """All conversations, damaged by a checksum of their keys and repaired by the cheapest edits."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repaired(rows))
+
+
 @query
 def op12_recursive_byte_pairs(spark, sf_dir):
     """Ids of all documents by ranks of byte strings, and their texts from the ids."""

@@ -198,6 +198,46 @@ FROM ended LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ended.conv_
 """
 )
 
+ORACLES["op13_prefix_trie"] = (
+    r"""
+WITH numbered AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT c, list(t ORDER BY pos) AS own, c - ((c % 5) + 5) % 5 AS base, """
+    + CRC.format(text="c::VARCHAR")
+    + r""" % 9 AS h
+  FROM numbered GROUP BY c
+), rebuilt AS (
+  SELECT conv.c, CASE WHEN conv.c = conv.base THEN conv.own
+    ELSE list_concat(coalesce(b.own[1:conv.h], []), conv.own[conv.h + 1:]) END AS seq
+  FROM conv LEFT JOIN conv b ON b.c = conv.base
+), through AS (
+  SELECT c, unnest(range(0, len(seq) + 1)) AS depth, seq FROM rebuilt
+), nodes AS (
+  SELECT depth, seq[1:depth] AS path, min(c) AS c, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(seq) = depth), '') AS ends
+  FROM through GROUP BY depth, seq[1:depth]
+), named AS (
+  SELECT *, row_number() OVER () AS id FROM nodes
+), related AS (
+  SELECT v.id, v.depth, v.c, v.n_convs, v.ends, p.c AS parent_c, p.id AS parent_id,
+    CASE WHEN v.depth = 0 THEN 0 ELSE (v.n_convs - 1) * strlen(v.path[v.depth].text) END AS saved
+  FROM named v LEFT JOIN named p ON p.depth = v.depth - 1 AND p.path = v.path[1:v.depth - 1]
+), counted AS (
+  SELECT related.*, coalesce(n_children, 0) AS n_children
+  FROM related LEFT JOIN (SELECT parent_id AS id, count(*) AS n_children FROM related GROUP BY parent_id) USING (id)
+), above AS (
+  SELECT a.id, v.saved, (v.n_children = 0)::BIGINT AS leaf
+  FROM counted v JOIN named n ON n.id = v.id JOIN named a ON a.depth <= n.depth AND a.path = n.path[1:a.depth]
+)
+SELECT c AS conv_id, depth, parent_c AS parent_conv_id, n_convs, n_children, sum(leaf)::BIGINT AS n_leaves,
+  sum(above.saved)::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM counted JOIN above USING (id) GROUP BY id, c, depth, parent_c, n_convs, n_children, ends
+"""
+)
+
 
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -14,6 +14,7 @@ from quitanda.llm import (
     mixing,
     multiset_hash,
     near_dedup,
+    prefix_trie,
     quality_rules,
     secret_scan,
     segment_sampling,
@@ -135,3 +136,9 @@ def op12_recursive_byte_pairs(spark, sf_dir):
     from public_tokenizers import PATTERN
 
     return byte_pairs.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), PATTERN)
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """The trie of all rebuilt conversations, with sums over subtrees."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from hashlib import sha256
 from itertools import islice
@@ -18,27 +18,28 @@ from quitanda.llm.hashing import groups
 from quitanda.llm.tables import small_batches
 
 # Bytes of text encoded together, words a worker remembers the ids of, and words cut from a text at a time.
-TOGETHER, REMEMBERED, AT_ONCE = 2_000_000, 500_000, 400_000
+TOGETHER, REMEMBERED, AT_ONCE = 2_000_000, 1_000_000, 400_000
 # A longer word (in bytes) contracts many pairs per round; rows that such a recursion may gather.
 LONG, ROWS = 100, 2_000_000
 MEMORY = "300MB"
 
 # One round: rows (word, pos, token) of words that still have a pair in the merge table, contracted.
 # `line` shows every token its successor; `pick` holds the pairs to contract; a pair's second row goes.
-_LINE = """
-line AS (SELECT round, word, pos, token, lead(token) OVER w AS after, lead(pos) OVER w AS gone{more}
-         FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
-"""
-# The leftmost pair of least rank of each word.
+# The leftmost pair of least rank of each word; positions go up from word to word.
 _ONE = """
-pick AS (SELECT word, min(t::BIGINT << 32 | pos) AS first, arg_min(gone, t::BIGINT << 32 | pos) AS gone
-         FROM line JOIN merges ON l = token AND r = after GROUP BY word)
+line AS (SELECT round, word, pos, token, lead(word) OVER w AS next_word, lead(token) OVER w AS after, lag(pos) OVER w AS prior
+         FROM step WINDOW w AS (ORDER BY pos)),
+pick AS (SELECT word, min(t::BIGINT << 32 | pos) AS first
+         FROM line JOIN merges ON pair = (token::BIGINT << 32 | after) WHERE word = next_word GROUP BY word)
 SELECT (round + 1)::INTEGER, line.word, pos, CASE WHEN pos = first & 4294967295 THEN (first >> 32)::INTEGER ELSE token END
-FROM line JOIN pick ON pick.word = line.word WHERE pos <> pick.gone
+FROM line JOIN pick ON pick.word = line.word WHERE prior IS DISTINCT FROM first & 4294967295
 """
 # All pairs of least rank that do not overlap, from the left, up to the first whose contraction makes
 # a pair of lower rank with a neighbour, which would come next: as many steps of _ONE in one round.
 _MANY = """
+line AS (SELECT round, word, pos, token, lead(token) OVER w AS after, lead(pos) OVER w AS gone,
+                lag(token) OVER w AS before, lead(token, 2) OVER w AS beyond
+         FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
 hit AS (SELECT line.*, t FROM line JOIN merges ON l = token AND r = after),
 least AS (SELECT word, min(t) AS t FROM hit GROUP BY word),
 best AS (SELECT hit.*, coalesce(lag(gone) OVER w = pos, false) AS touches
@@ -60,13 +61,12 @@ _RECURSION = """
 WITH RECURSIVE step AS (
 SELECT 0 AS round, word, pos, token FROM base
 UNION ALL
-(WITH {line}{contract}))
+(WITH {contract}))
 SELECT step.word AS word, pos, token, round FROM step
 JOIN (SELECT word, max(round) AS last FROM step GROUP BY word) AS ends ON ends.word = step.word AND round = last
 ORDER BY step.word, pos
 """
-SHORT_WORDS = _RECURSION.format(line=_LINE.format(more=""), contract=_ONE)
-NEIGHBOURS = ", lag(token) OVER w AS before, lead(token, 2) OVER w AS beyond"
+SHORT_WORDS = _RECURSION.format(contract=_ONE)
 DECODED = """
 SELECT text, unhex(string_agg(digits, '' ORDER BY pos)) AS bytes
 FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
@@ -99,7 +99,7 @@ class BytePairs:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
-        self._load("merges", merges, "l, r, t")
+        self._load("merges", merges, "l, r, l::BIGINT << 32 | r AS pair, t")
         vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks, pa.binary())})
         self._load("vocabulary", vocabulary, "id, hex(bytes) AS digits")
 
@@ -114,7 +114,7 @@ class BytePairs:
         self.duck.unregister(name)
         return found
 
-    def _contracted(self, words: list[bytes]) -> list[bytes]:
+    def _contracted(self, words: Sequence[bytes]) -> list[bytes]:
         """Ids of words that are not in the vocabulary, none of them empty."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         token = self.single[np.frombuffer(b"".join(words), np.uint8)]
@@ -124,7 +124,7 @@ class BytePairs:
         else:
             while True:  # in parts of so many rounds that what they gather stays bounded
                 rounds = max(2, ROWS // len(base["token"]))
-                sql = _RECURSION.format(line=_LINE.format(more=NEIGHBOURS), contract=_MANY.format(rounds=rounds))
+                sql = _RECURSION.format(contract=_MANY.format(rounds=rounds))
                 rows = self._query(sql, "base", pa.table(base))
                 if rows["round"][0].as_py() < rounds:
                     break
@@ -138,16 +138,16 @@ class BytePairs:
         new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, words
-        short, long = [], []
-        for word in new:
-            data = word.encode()
-            if data in self.ranks:
-                self.known[word] = self.ranks[data].to_bytes(4, "little")
-            else:
-                (short if len(data) <= LONG else long).append((word, data))
-        for run in [short, *([one] for one in long)]:
+        words = list(new)
+        data = [word.encode() for word in words]
+        whole = list(map(self.ranks.get, data))
+        self.known.update((w, r.to_bytes(4, "little")) for w, r in zip(words, whole) if r is not None)
+        rest = [(w, d) for w, d, r in zip(words, data, whole) if r is None]
+        short = [x for x in rest if len(x[1]) <= LONG]
+        for run in [short, *([x] for x in rest if len(x[1]) > LONG)]:
             if run:
-                self.known.update(zip([w for w, _ in run], self._contracted([d for _, d in run]), strict=True))
+                names, coded = zip(*run)
+                self.known.update(zip(names, self._contracted(coded), strict=True))
 
     def _matches(self, text: str) -> Iterator[list[str]]:
         if len(text) <= TOGETHER:

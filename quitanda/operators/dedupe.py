@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
-def _sortable(kind: DataType) -> bool:
+def sortable(kind: DataType) -> bool:
     if isinstance(kind, StructType):
-        return all(_sortable(f.dataType) for f in kind)
+        return all(sortable(f.dataType) for f in kind)
     if isinstance(kind, ArrayType):
-        return _sortable(kind.elementType)
+        return sortable(kind.elementType)
     return not isinstance(kind, (MapType, VariantType))
 
 
 def _rank(df: DataFrame, name: str) -> Column:
     """The column itself where Spark can order it; a map by its sorted entries, else its text."""
     kind = df.schema[name].dataType
-    if _sortable(kind):
+    if sortable(kind):
         return F.col(name)
-    if isinstance(kind, MapType) and _sortable(kind.valueType):
+    if isinstance(kind, MapType) and sortable(kind.valueType):
         return F.array_sort(F.map_entries(name)).alias(name)
     return F.to_json(F.struct(name)).alias(name)
 
@@ -47,7 +47,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     if not rest:
         return grouped.agg(F.lit(1).alias("_row")).select(*df.columns)
     whole = F.struct(*rest)
-    if all(_sortable(df.schema[c].dataType) for c in rest):
+    if all(sortable(df.schema[c].dataType) for c in rest):
         first = F.min(whole)
     else:
         first = F.min_by(whole, F.struct(*[_rank(df, c) for c in rest]))

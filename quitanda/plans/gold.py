@@ -103,6 +103,11 @@ def _catalogue(produtos: DataFrame, *extra: str) -> DataFrame:
     return produtos.select("id_produto", *columns, F.col("id_produto").alias("_produto"))
 
 
+def described_products(sold: DataFrame, produtos: DataFrame) -> DataFrame:
+    """Totals per product sold, with the product's labels."""
+    return sold.join(_catalogue(produtos), "id_produto", "left").withColumns(_described()).drop("_produto")
+
+
 def product_sales(vendas: DataFrame, produtos: DataFrame, period: Period | None = None) -> DataFrame:
     """Sales per product sold, with the product's labels; not ranked."""
     sold = (
@@ -115,19 +120,12 @@ def product_sales(vendas: DataFrame, produtos: DataFrame, period: Period | None
             _average("receita").alias("ticket_medio"),
         )
     )
-    return sold.join(_catalogue(produtos), "id_produto", "left").withColumns(_described()).drop("_produto")
-
+    return described_products(sold, produtos)
 
-def vendas_produtos(
-    vendas: DataFrame, produtos: DataFrame, period: Period | None = None, folder: str | None = None
-) -> DataFrame:
-    """``product_sales`` ranked by revenue, overall and inside the category; equal revenue by id.
-    ``folder``: see `ordered_totals`.
 
-    Unknown products keep the id they were sold under: one row each.
-    """
+def _ranked(described: DataFrame, folder: str | None) -> DataFrame:
     return ordered_totals(
-        product_sales(vendas, produtos, period),
+        described,
         [F.col("receita").desc(), F.col("id_produto").asc()],
         ranks={"ranking_receita": [], "ranking_na_categoria": ["categoria"]},
         folder=folder,
@@ -137,6 +135,22 @@ def vendas_produtos(
     )
 
 
+def ranked_products(sold: DataFrame, produtos: DataFrame, folder: str | None = None) -> DataFrame:
+    """`vendas_produtos` from totals per product, however they were added up."""
+    return _ranked(described_products(sold, produtos), folder)
+
+
+def vendas_produtos(
+    vendas: DataFrame, produtos: DataFrame, period: Period | None = None, folder: str | None = None
+) -> DataFrame:
+    """``product_sales`` ranked by revenue, overall and inside the category; equal revenue by id.
+    ``folder``: see `ordered_totals`.
+
+    Unknown products keep the id they were sold under: one row each.
+    """
+    return _ranked(product_sales(vendas, produtos, period), folder)
+
+
 def vendas_detalhadas(
     vendas: DataFrame,
     produtos: DataFrame,

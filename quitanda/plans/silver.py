@@ -42,24 +42,25 @@ def silver_clientes(clientes: DataFrame, order: Sequence[str] | None = None) ->
     return with_state(named)
 
 
-def typed_sales(vendas: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """Sales, one row per id, with revenue and calendar columns."""
+def with_sale_columns(once: DataFrame) -> DataFrame:
+    """Types prices and adds revenue and calendar columns to sales that are unique by id."""
     moment = F.col("data_venda")
-    return (
-        keep_first(vendas, ["id_venda"], order)
-        .withColumn("preco_unitario", money.price(F.col("preco_unitario")))
-        .withColumns(
-            {
-                "receita": money.line_revenue(F.col("quantidade"), F.col("preco_unitario")),
-                "data": calendar.day(moment),
-                "hora": calendar.hour_of_day(moment),
-                "dia_semana_num": calendar.weekday_number(moment),
-                "dia_semana": calendar.weekday_name(calendar.weekday_number(moment)),
-            }
-        )
+    return once.withColumn("preco_unitario", money.price(F.col("preco_unitario"))).withColumns(
+        {
+            "receita": money.line_revenue(F.col("quantidade"), F.col("preco_unitario")),
+            "data": calendar.day(moment),
+            "hora": calendar.hour_of_day(moment),
+            "dia_semana_num": calendar.weekday_number(moment),
+            "dia_semana": calendar.weekday_name(calendar.weekday_number(moment)),
+        }
     )
 
 
+def typed_sales(vendas: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Sales, one row per id, with revenue and calendar columns."""
+    return with_sale_columns(keep_first(vendas, ["id_venda"], order))
+
+
 def flag_sales(sales: DataFrame, produtos: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Marks sales of products outside the catalogue and sales older than their product's entry."""
     known = produtos.select("id_produto", F.col("data_criacao").alias("_criado"), F.lit(True).alias("_existe"))

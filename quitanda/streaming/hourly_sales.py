@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quitanda.operators.dedupe import keep_first
-from quitanda.session import path_exists
+from quitanda.operators.ledger import Ledger, by_order, day_of, latest, read_touched, stored, write_touched
 
+COLUMNS = ["id_venda", "data_venda", "id_cliente", "canal_venda", "quantidade", "receita"]
 TABLE_SCHEMA = (
     "data date, hora int, canal_venda string, total_vendas bigint, itens_vendidos bigint, receita decimal(28,2), "
     "clientes_unicos bigint"
@@ -23,80 +24,86 @@ def sales_stream(
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def _hours(once: DataFrame) -> DataFrame:
+    return once.groupBy(F.to_date("data_venda").alias("data"), F.hour("data_venda").alias("hora"), "canal_venda").agg(
+        F.count("*").alias("total_vendas"),
+        F.sum("quantidade").cast("bigint").alias("itens_vendidos"),
+        F.sum("receita").cast("decimal(28,2)").alias("receita"),
+        F.count_distinct("id_cliente").alias("clientes_unicos"),
+    )
+
+
 def hourly_sales(sales: DataFrame) -> DataFrame:
     """Sales, items, revenue and distinct customers per hour and channel; each sale id counts once.
 
     ``sales`` has (id_venda, data_venda, id_cliente, canal_venda, quantidade, receita); of several
     rows with an id the first by moment counts, rows without an id count each.
     """
-    once = keep_first(
-        sales.select("id_venda", "data_venda", "id_cliente", "canal_venda", "quantidade", "receita"), ["id_venda"], ["data_venda"]
-    )
-    return (
-        once.groupBy(F.to_date("data_venda").alias("data"), F.hour("data_venda").alias("hora"), "canal_venda")
-        .agg(
-            F.count("*").alias("total_vendas"),
-            F.sum("quantidade").cast("bigint").alias("itens_vendidos"),
-            F.sum("receita").cast("decimal(28,2)").alias("receita"),
-            F.count_distinct("id_cliente").alias("clientes_unicos"),
-        )
-    )
+    return _hours(keep_first(sales.select(*COLUMNS), ["id_venda"], ["data_venda"]))
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """What is stored at ``path``, nothing if nobody has stored anything yet."""
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+def _ledger(home: str, schema: StructType, buckets: int = 64) -> Ledger:
+    return by_order(StructType([schema[c] for c in COLUMNS]), "id_venda", "data_venda", ["data_venda"], home, buckets)
 
 
-def refresh_hourly_sales(sales: DataFrame, home: str) -> DataFrame:
+def refresh_hourly_sales(sales: DataFrame, home: str, buckets: int = 64) -> DataFrame:
     """Takes in all files that arrived since the last call and returns the table of hours.
 
     ``sales`` streams the columns of `hourly_sales`; ``home`` is a folder all executors share. Every
-    batch of the stream is landed as it is, by day and under its number, so a batch that is tried
-    again replaces itself. Then the days that got sales are computed anew from all their landed
-    rows and stored as a new version, which one small note makes valid: a reader sees the old or the
-    new table. So nothing depends on the size of batches or the order of files, no sale comes too
-    late, and old days cost nothing. Rows with one sale id are copies of a sale and have its moment;
-    sales without a moment land under a day of their own.
+    batch of the stream is landed as it is under its number, so a batch that is tried again replaces
+    itself. What was landed since the last call then meets the ledger of sale ids: an id that comes
+    again on an earlier day moves there, and both days count as touched. Touched days are computed
+    anew from their counting rows and stored as a new version, which one small note makes valid: a
+    reader sees the old or the new table. The result equals `hourly_sales` of all rows so far, however
+    they were split over files, batches and calls, and no sale comes too late. Of the ledger a call
+    reads the buckets of new ids, of the sales the touched days (``buckets`` must stay the same).
     """
     spark = sales.sparkSession
-    landed, table, notes = f"{home}/landed", f"{home}/table", f"{home}/notes"
-    note_schema, landed_schema = "version bigint, batch bigint", f"{_ddl(sales.schema)}, lote bigint, dia date"
+    ledger, landed = _ledger(home, sales.schema, buckets), f"{home}/landed"
 
     def land(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("dia", F.to_date("data_venda"))
-        rows.write.mode("overwrite").partitionBy("dia").parquet(f"{landed}/lote={number}")
+        batch.select(*COLUMNS).write.mode("overwrite").parquet(f"{landed}/lote={number}")
 
     stream = sales.writeStream.option("checkpointLocation", f"{home}/state").trigger(availableNow=True).foreachBatch(land)
     stream.start().awaitTermination()
 
-    known = _stored(spark, notes, note_schema).agg(F.max("version"), F.max("batch")).first()
-    version, upto = (-1, -1) if known[0] is None else known
-    rows = _stored(spark, landed, landed_schema)
-    newest = rows.where(F.col("lote") > upto).agg(F.max("lote")).first()[0]
+    version, upto, base = ledger.state(spark)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ledger.columns)
+    new = stored(spark, landed, f"{ddl}, lote bigint").where(F.col("lote") > upto)
+    newest = new.agg(F.max("lote")).first()[0]
     if newest is not None:
-        days = rows.where(F.col("lote") > upto).select(F.col("dia").alias("_dia")).distinct()
-        touched = rows.join(days, F.col("dia").eqNullSafe(F.col("_dia")), "left_semi")
-        new = hourly_sales(touched).select([f.split()[0] for f in TABLE_SCHEMA.split(", ")])
         version += 1
-        new.write.mode("overwrite").parquet(f"{table}/versao={version}")
-        note = spark.createDataFrame([(version, newest)], note_schema)
-        note.coalesce(1).write.mode("append").parquet(notes)
+        days = ledger.take(new.select(*COLUMNS, F.lit(1).cast("bigint").alias("n")), version, base)
+        _compute(ledger, write_touched(days, home, version), version, base)
+        ledger.note(spark, version, newest, base)
     return read_hourly_sales(spark, home)
 
 
-def read_hourly_sales(spark: SparkSession, home: str) -> DataFrame:
-    """The table of hours: every day from the last valid version that holds it."""
-    valid = _stored(spark, f"{home}/notes", "version bigint, batch bigint").agg(F.max("version")).first()[0]
-    rows = _stored(spark, f"{home}/table", f"{TABLE_SCHEMA}, versao bigint").where(
-        F.col("versao") <= (-1 if valid is None else valid)
-    )
-    last = rows.groupBy(F.col("data").alias("_data")).agg(F.max("versao").alias("_versao"))  # a row per day
-    same = F.col("data").eqNullSafe(F.col("_data")) & (F.col("versao") == F.col("_versao"))
-    return rows.join(last, same, "left_semi").drop("versao")
+def _compute(ledger: Ledger, touched: DataFrame, version: int, base: int) -> None:
+    names = [f.split()[0] for f in TABLE_SCHEMA.split(", ")]
+    hours = _hours(ledger.current(touched, version, base)).select(*names)
+    hours.write.mode("overwrite").parquet(f"{ledger.home}/table/versao={version}")
 
 
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+def compact_hourly_sales(sales: DataFrame, home: str, buckets: int = 64) -> DataFrame:
+    """Gathers all versions into one, without what cancels out; the table stays the same.
+
+    ``sales`` gives the schema only. Folders of older versions may be removed afterwards by whoever owns
+    ``home``, once no reader uses them.
+    """
+    spark, ledger = sales.sparkSession, _ledger(home, sales.schema, buckets)
+    version = ledger.compact(spark)
+    if version is not None:
+        _, upto, _ = ledger.state(spark)
+        days = ledger.days(spark).where(F.col("versao") == version).select("dia").distinct()
+        _compute(ledger, write_touched(days, home, version), version, version)
+        ledger.note(spark, version, upto, version)
+    return read_hourly_sales(spark, home)
+
+
+def read_hourly_sales(spark: SparkSession, home: str) -> DataFrame:
+    """The table of hours: every day from the last valid version that touched it."""
+    version, _, base = by_order(StructType(), "id_venda", "data_venda", [], home).state(spark)
+    rows = stored(spark, f"{home}/table", f"{TABLE_SCHEMA}, versao bigint").where(F.col("versao").between(base, version))
+    by_day = rows.withColumn("dia", day_of(F.col("data")))
+    return latest(by_day, read_touched(spark, home, version, base)).drop("versao", "dia")

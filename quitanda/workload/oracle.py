@@ -746,4 +746,8 @@ def all_oracles() -> dict[str, str]:
         count(*) AS itens_vendidos, cast(sum(cast(value as decimal(18,2))) as double) AS receita,
         count(DISTINCT user_id) AS clientes_unicos
       FROM events WHERE event_type = 'purchase' GROUP BY 1, 2, 3"""
+    sql["stream_hourly_sales_refreshes"] = sql["stream_hourly_sales"]
+    sql["daily_refresh_temporais"] = sql["gold_vendas_temporais"]
+    sql["daily_refresh_produtos"] = sql["gold_vendas_produtos"]
+    sql["daily_refresh_totais"] = sql["gold_vendas_totais"]
     return sql

@@ -17,7 +17,8 @@ from quitanda.operators.expectations import DROP, Expectation
 from quitanda.operators.lookup import hot_keys, lookup
 from quitanda.operators.ordered import ordered_totals
 from quitanda.operators.profile import profile
-from quitanda.plans import gold, kpi, silver
+from quitanda.operators.ledger import MONTH, difference
+from quitanda.plans import gold, incremental, kpi, silver
 from quitanda.plans.comments import GOLD_COMMENTS
 from quitanda.plans.refresh import refresh
 from quitanda.session import new_location
@@ -706,7 +707,11 @@ def expectations_dropped_prices(spark, sf_dir):
 def stream_hourly_sales(spark, sf_dir):
     """Purchases of the event stream per hour and kind of day."""
     events = sales_stream(spark, sf_dir, raw.load(spark, sf_dir, "events").schema, "events.parquet")
-    sales = events.where("event_type = 'purchase'").selectExpr(
+    return refresh_hourly_sales(_purchases(events), new_location(spark, "hourly"))
+
+
+def _purchases(events):
+    return events.where("event_type = 'purchase'").selectExpr(
         "event_id as id_venda",
         "cast(ts as timestamp) as data_venda",
         "user_id as id_cliente",
@@ -714,5 +719,62 @@ def stream_hourly_sales(spark, sf_dir):
         "1 as quantidade",
         "cast(value as decimal(18,2)) as receita",
     )
-    home = new_location(spark, "hourly")
-    return refresh_hourly_sales(sales, home)
+
+
+@query
+def stream_hourly_sales_refreshes(spark, sf_dir):
+    """The same hours from three refreshes. Every third purchase also comes with a later moment, before
+    its own, in the same refresh, or after it: then it moves to an earlier day, or stays."""
+    sales = _purchases(raw.load(spark, sf_dir, "events"))
+    later = sales.where("id_venda % 3 = 0").withColumn("data_venda", F.expr("data_venda + interval 30 hours"))
+    landing, home = new_location(spark, "arriving"), new_location(spark, "hourly")
+    for part in range(3):
+        arriving = sales.where(F.col("id_venda") % 4 % 3 == part).unionByName(later.where(F.col("id_venda") % 5 % 3 == part))
+        arriving.write.mode("append").parquet(landing)
+        table = refresh_hourly_sales(sales_stream(spark, landing, sales.schema), home)
+    return table
+
+
+def _daily(spark, sf_dir):
+    """A warehouse brought up to date in three refreshes, and its catalogue.
+
+    The first has no sale of January 1997, a tenth of all sales on a wrong day and with a wrong price,
+    and a catalogue without every ninth product; the second brings January, the third the right rows
+    for the wrong ones and the whole catalogue.
+    """
+    columns = [*raw.VENDAS_ORDER, "id_venda"]
+    right = raw.vendas(spark, sf_dir).select(*columns)
+    january = F.col("data_venda").between(F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1997-01-31").cast("timestamp_ntz"))
+    off = F.col("id_venda") % 10 == 3
+    wrong = right.withColumns(
+        {
+            "data_venda": F.when(off, F.expr("data_venda + interval 40 hours")).otherwise(F.col("data_venda")),
+            "preco_unitario": F.when(off, F.col("preco_unitario") + 7).otherwise(F.col("preco_unitario")),
+        }
+    )
+    produtos, home = silver_produtos(spark, sf_dir), new_location(spark, "daily")
+    some = produtos.where("id_produto % 9 <> 0")
+    come = lambda df: df.withColumn("n", F.lit(1).cast("bigint"))
+    corrected = difference(wrong.where(off), right.where(off))
+    steps = [(come(wrong.where(~january)), some), (come(wrong.where(january)), some), (corrected, produtos)]
+    for changes, catalogue in steps:
+        incremental.refresh_sales(changes, catalogue, raw.VENDAS_ORDER, home, 16, MONTH)
+    return home, produtos
+
+
+@query
+def daily_refresh_temporais(spark, sf_dir):
+    home, _ = _daily(spark, sf_dir)
+    return incremental.vendas_temporais(spark, home, PERIOD)
+
+
+@query
+def daily_refresh_produtos(spark, sf_dir):
+    home, produtos = _daily(spark, sf_dir)
+    return incremental.vendas_produtos(spark, home, produtos)
+
+
+@query
+def daily_refresh_totais(spark, sf_dir):
+    home, _ = _daily(spark, sf_dir)
+    return incremental.vendas_totais(spark, home)

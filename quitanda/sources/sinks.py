@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping
@@ -65,15 +66,27 @@ def read_published(spark: SparkSession, location: str) -> dict[str, DataFrame]:
     }
 
 
-class CatalogStore:
-    """Tables of two schemas, which must exist, over files in versions below ``location``.
+POINTER = "number bigint, version string, tables string"
+
 
-    `publish` points every table to its new files, when all are written: a change of metadata each.
+class CatalogStore:
+    """Tables of two schemas, which must exist, as views over files in versions below ``location``.
+
+    Every view reads the partition (``versao``) of its files that one small table names, the pointer.
+    `publish` first makes views ready for the new version's files, beside those of the published one,
+    which stays visible; then it adds one row to the pointer, and all views show the new version. A
+    fault before that row leaves all tables old, after it all are new. If the columns of a table
+    change, the view has the new ones a little earlier, with the old rows. The pointer lies in the
+    warehouse under the schemas' names unless ``pointer`` says otherwise. The catalog must support views;
+    a table that has the name of one is dropped. Old versions stay until the owner of the location removes
+    them.
     """
 
-    def __init__(self, catalog: str | None, silver: str, gold: str, location: str | None, fmt: str):
+    def __init__(
+        self, catalog: str | None, silver: str, gold: str, location: str | None, fmt: str, pointer: str | None = None
+    ):
         self.catalog, self.schemas, self.fmt = catalog, {"silver": silver, "gold": gold}, fmt
-        self.location, self.version = location, uuid.uuid4().hex
+        self.location, self.pointer, self.version = location, pointer, f"v{uuid.uuid4().hex}"
         self.stored: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
     def name(self, layer: str, name: str) -> str:
@@ -81,30 +94,57 @@ class CatalogStore:
 
     def __call__(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         location = self.location or df.sparkSession.conf.get("spark.sql.warehouse.dir")
-        path = f"{location.rstrip('/')}/quitanda-{self.version}/{layer}/{name}"
-        stored = write_files(df, path, self.fmt)
-        self.stored[layer, name] = (path, stored)
+        kinds = hashlib.sha256(df.schema.simpleString().encode()).hexdigest()[:16]  # files of a root have the same columns
+        root = f"{location.rstrip('/')}/quitanda/{layer}/{name}/{kinds}"
+        stored = write_files(df, f"{root}/versao={self.version}", self.fmt)
+        self.stored[layer, name] = (root, stored)
         return stored
 
     def publish(self) -> None:
-        for (layer, name), (path, df) in self.stored.items():
-            _point(df.sparkSession, self.name(layer, name), df, path, self.fmt)
-
-
-def _point(spark: SparkSession, name: str, df: DataFrame, path: str, fmt: str) -> None:
-    """Points the table to the files, creating it anew where its columns are others."""
-    columns = [(f.name, f.dataType, f.metadata.get("comment")) for f in df.schema]
-    exists = spark.catalog.tableExists(name.replace("`", ""))
-    if exists:
-        now = [(f.name, f.dataType, f.metadata.get("comment")) for f in spark.table(name).schema]
-        if now == columns:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(name.replace("`", ""))
-            return
-        spark.sql(f"DROP TABLE {name}")
+        spark = next(iter(self.stored.values()))[1].sparkSession
+        pointer = self.pointer or "/".join(
+            [spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), "quitanda-published", *self.schemas.values()]
+        )
+        if not path_exists(spark, pointer):
+            _append_row(spark, (-1, None, "{}"), POINTER, pointer)
+        last = spark.read.schema(POINTER).parquet(pointer).orderBy(F.desc("number"), F.desc("version")).first()
+        published = json.loads(last.tables)
+        for (layer, name), (root, df) in self.stored.items():
+            old = published.get(f"{layer}.{name}")
+            _show(spark, self.name(layer, name), df, [(root, self.fmt, df.columns), *([tuple(old)] if old else [])], pointer)
+        tables = {f"{layer}.{name}": (root, self.fmt, df.columns) for (layer, name), (root, df) in self.stored.items()}
+        _append_row(spark, (last.number + 1, self.version, json.dumps(published | tables)), POINTER, pointer)
+
+
+def _append_row(spark: SparkSession, row: tuple, schema: str, path: str) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def _show(spark: SparkSession, name: str, df: DataFrame, roots: list[tuple[str, str, list[str]]], pointer: str) -> None:
+    """Makes the view ``name`` read the version in force from any of ``roots`` (folder, format, columns)."""
     quoted = lambda text: text.replace("\\", "\\\\").replace("'", "\\'")
-    listed = ", ".join(f"`{c}` {t.simpleString()}" + (f" COMMENT '{quoted(n)}'" if n else "") for c, t, n in columns)
-    spark.sql(f"CREATE TABLE {name} ({listed}) USING {fmt} LOCATION '{path}'")
+    named = lambda column: f"`{column.replace('`', '``')}`"
+    notes = [(f.name, f.metadata.get("comment")) for f in df.schema]
+    listed = ", ".join(named(c) + (f" COMMENT '{quoted(n)}'" if n else "") for c, n in notes)
+    in_force = f"(SELECT max_by(version, number) FROM parquet.`{pointer}`)"
+    parts = []
+    for root, fmt, columns in dict.fromkeys((r, f, tuple(c)) for r, f, c in roots):
+        chosen = [
+            f"CAST({named(f.name) if f.name in columns else 'NULL'} AS {f.dataType.simpleString()}) AS {named(f.name)}" for f in df.schema
+        ]
+        parts.append(f"SELECT {', '.join(chosen)} FROM {fmt}.`{root}` WHERE versao = {in_force}")
+    text = " UNION ALL ".join(parts)
+    plain = name.replace("`", "")
+    if spark.catalog.tableExists(plain):
+        kind = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name IN ('Type', 'View Text')").collect()
+        found = {r.col_name: r.data_type for r in kind}
+        if found.get("Type") != "VIEW":
+            spark.sql(f"DROP TABLE {name}")
+        else:
+            now = [(f.name, f.metadata.get("comment")) for f in spark.table(name).schema]
+            if found.get("View Text") == text and now == notes:
+                return
+    spark.sql(f"CREATE OR REPLACE VIEW {name} ({listed}) AS {text}")
 
 
 # Stores a table as (layer, name), to be seen by others after publish().
@@ -116,9 +156,14 @@ def into_files(location: str, fmt: str = "parquet") -> FileStore:
 
 
 def into_catalog(
-    catalog: str | None = None, silver: str = "silver", gold: str = "gold", location: str | None = None, fmt: str = "parquet"
+    catalog: str | None = None,
+    silver: str = "silver",
+    gold: str = "gold",
+    location: str | None = None,
+    fmt: str = "parquet",
+    pointer: str | None = None,
 ) -> CatalogStore:
-    return CatalogStore(catalog, silver, gold, location, fmt)
+    return CatalogStore(catalog, silver, gold, location, fmt, pointer)
 
 
 def clustered(df: DataFrame, by: str, then: str) -> DataFrame:

@@ -383,22 +383,22 @@ def near_duplicates(
     text: str = "text",
     words: int = 3,
     percent: int = 85,
-    per_row: bool = False,
+    per_row: bool = True,
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id and kept, for links of ``percent`` similar sets of
     ``words``-word shingles, A-Z in lower case.
 
     Rows with equal sets are one class, whatever their number; representatives of classes are
     linked as in `links`, and links confirmed on whole sets of 64-bit hashes. component_id is the
-    smallest key connected to the row, itself included; kept says that it is the row's own, or
-    ``per_row``, that the row is the one of its component that stays. Keys lie below 2**62.
+    smallest key connected to the row, itself included; kept says that the row is the one of its
+    component that stays or, not ``per_row``, that component_id is its own key. Keys lie below 2**62.
 
     A pair at the threshold shares no band once in a million, one well above it never. Rows without
     words or text (NULL) have an empty set, are linked with nothing and kept. Rows without a key are
     linked like others under a made-up one, which is greater than any key and equal for equal texts:
     component_id is NULL if nothing they are connected to has a key. Rows with equal keys are linked
-    by their own texts. Only ``per_row`` is one row kept of each component; without it every row
-    under the component's key is, made-up ones included. Extra columns are ignored; an empty table
+    by their own texts. ``per_row``, as in `one_of_each`, one row is kept of each component; without it
+    every row under the component's key is, made-up ones included. Extra columns are ignored; an empty table
     gives no rows.
     """
     text_of = F.coalesce(F.col(text), F.lit("")).alias("text")

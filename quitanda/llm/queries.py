@@ -101,8 +101,9 @@ def op7_sampled_segmentations(spark, sf_dir):
 
 @query
 def op8_hyperminhash_dedup(spark, sf_dir):
-    """Components of near-duplicate documents, three words and 85%; one row of each is kept."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), per_row=True)
+    """Components of near-duplicate documents, three words and 85%; kept are rows under their component's id."""
+    rows = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 @query

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
 import cases
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quitanda.llm import mixing, quality_rules, sharding
-from quitanda.llm.queries import op4_hash_threshold_mix
+from quitanda.llm.queries import SHARDS, llm_queries, op4_hash_threshold_mix
 from quitanda.llm.tables import with_key_values
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,6 +173,32 @@ def test_placement(spark):
     assert sharding.place(cases.empty(spark), "doc_id", {"shard": table}).count() == 0
 
 
+def test_all_documents_are_placed_as_by_hand(spark, tiny):
+    """Slots by an own hash of the key, the table by an own filling, over the registered query's rows."""
+
+    def walk(name, slots):
+        digest = hashlib.sha256(name.encode()).digest()
+        start, step = int.from_bytes(digest[:8], "big") % slots, int.from_bytes(digest[8:16], "big") % (slots - 1) + 1
+        return ((start + k * step) % slots for k in range(slots))
+
+    def filled(names, slots):
+        walks, table = [walk(name, slots) for name in names], {}
+        while len(table) < slots:
+            for i, way in enumerate(walks):
+                if len(table) < slots:
+                    table[next(s for s in way if s not in table)] = i
+        return table
+
+    both, without = filled(SHARDS, sharding.SLOTS), filled(SHARDS[1:], sharding.SLOTS)
+    rows = llm_queries()["op10_lookup_table_shards"](spark, tiny).collect()
+    ids = [r.doc_id for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()]
+    assert sorted(r.doc_id for r in rows) == sorted(ids)
+    for r in rows:
+        hashed = xxhash.xxh64_intdigest(str(r.doc_id).encode(), 42)
+        slot = (hashed - (1 << 64) if hashed >> 63 else hashed) % sharding.SLOTS
+        assert (r.slot, r.shard, r.shard_without_first) == (slot, both[slot], without[slot] + 1)
+
+
 def test_hot_keys_join_as_any_join_does(spark):
     facts = spark.range(0, 4000).select(
         F.col("id").alias("n"),

@@ -9,11 +9,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 WARN, FAIL, DROP = "warn", "fail", "drop"
+KEPT, SET_ASIDE = "mantida", "quarentena"
 
 
 @dataclass(frozen=True)
@@ -103,7 +105,36 @@ def observed(watch: Observation, exps: Sequence[Expectation]) -> dict[str, int]:
     return {e.name: counts[f"v{i}"] for i, e in enumerate(exps)}
 
 
+def _violated(exps: Sequence[Expectation]) -> Column:
+    """Names of the violated expectations, comma-joined; empty if there is none."""
+    return F.concat_ws(",", *[F.when(~e.met(), F.lit(e.name)) for e in exps])
+
+
 def quarantine(df: DataFrame, exps: Sequence[Expectation]) -> DataFrame:
     """The rows that violate any expectation, with the names of those they violate."""
-    names = F.concat_ws(",", *[F.when(~e.met(), F.lit(e.name)) for e in exps])
-    return df.withColumn("violadas", names).where(F.col("violadas") != "")
+    return df.withColumn("violadas", _violated(exps)).where(F.col("violadas") != "")
+
+
+class Split(NamedTuple):
+    """Rows that may be used and rows set aside, both with ``violadas``, and violations by name."""
+
+    kept: DataFrame
+    quarantined: DataFrame
+    violations: dict[str, int]
+
+
+def store_split(df: DataFrame, exps: Sequence[Expectation], path: str, strict: bool = False) -> Split:
+    """Stores all rows of ``df`` below ``path`` in one job, which reads it once: rows that violate an
+    expectation of severity ``drop`` in the partition ``situacao=quarentena``, all others in
+    ``situacao=mantida``, each with the names of what it violates. So kept and quarantined rows together are
+    the input. A violation of severity ``fail`` fails the job, and nothing can be read at ``path``. Where
+    no rule is of severity ``drop``, all rows are kept.
+    """
+    watched, watch = observe(df, exps)
+    checked = guard(watched, [e for e in exps if e.level(strict) == FAIL], strict)
+    kept = reduce(and_, [e.met() for e in exps if e.level(strict) == DROP], F.lit(True))
+    marked = checked.withColumns({"violadas": _violated(exps), "situacao": F.when(kept, KEPT).otherwise(SET_ASIDE)})
+    marked.write.mode("error").partitionBy("situacao").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    parts = [stored.where(F.col("situacao") == s).drop("situacao") for s in (KEPT, SET_ASIDE)]
+    return Split(*parts, observed(watch, exps))

@@ -570,6 +570,15 @@ def all_oracles() -> dict[str, str]:
           || 'regiao_nao_preenchida' AS violadas FROM s_clientes WHERE regiao IS NULL""",
         "s_clientes",
     )
+    sql["quarantine_stored_prices"] = _with(
+        """SELECT CASE WHEN sem_produto OR implausivel THEN 'quarentena' ELSE 'mantida' END AS situacao, concat_ws(',',
+          CASE WHEN sem_produto THEN 'id_produto_nao_preenchido' END, CASE WHEN barato THEN 'preco_acima_de_mil' END,
+          CASE WHEN implausivel THEN 'preco_plausivel' END) AS violadas, count(*) AS precos,
+          cast(sum(preco_concorrente) as double) AS soma
+        FROM (SELECT preco_concorrente, id_produto IS NULL AS sem_produto, coalesce(preco_suspeito, true) AS implausivel,
+          coalesce(preco_concorrente <= 1000, true) AS barato FROM s_precos) GROUP BY 1, 2""",
+        "s_precos",
+    )
     sql["check_unique_keys"] = _with(
         _checks(
             _unique("clientes", "s_clientes", "id_cliente"),

@@ -703,6 +703,20 @@ def expectations_dropped_prices(spark, sf_dir):
     return kept.groupBy("nome_concorrente").agg(F.count("*").alias("precos"), F.sum("preco_concorrente").alias("soma"))
 
 
+@query
+def quarantine_stored_prices(spark, sf_dir):
+    """Competitor prices stored once, those without a product or implausible in a partition of their own."""
+    rules = [
+        Expectation("id_produto_nao_preenchido", "id_produto IS NOT NULL", DROP),
+        Expectation("preco_acima_de_mil", "preco_concorrente > 1000"),
+        Expectation("preco_plausivel", "NOT preco_suspeito", DROP),
+    ]
+    split = expectations.store_split(silver_preco_competidores(spark, sf_dir), rules, new_location(spark, "prices"))
+    kept, aside = (df.withColumn("situacao", F.lit(s)) for df, s in zip(split, (expectations.KEPT, expectations.SET_ASIDE)))
+    totals = [F.count("*").alias("precos"), F.sum("preco_concorrente").alias("soma")]
+    return kept.unionByName(aside).groupBy("situacao", "violadas").agg(*totals)
+
+
 @query
 def stream_hourly_sales(spark, sf_dir):
     """Purchases of the event stream per hour and kind of day."""

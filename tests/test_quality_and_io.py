@@ -57,6 +57,22 @@ def test_quarantine(numbers):
     assert rows == {(2, -1): "positive", (3, None): "positive", (None, 4): "id"}
 
 
+def test_split_is_stored_in_one_job_and_loses_no_row(spark, numbers):
+    rules = [Expectation("id", "id IS NOT NULL"), Expectation("positive", "n > 0", DROP)]
+    place = new_location(spark, "split")
+    split = expectations.store_split(numbers, rules, place)
+    assert {tuple(r) for r in split.kept.collect()} == {(1, 5, ""), (None, 4, "id")}
+    assert {tuple(r) for r in split.quarantined.collect()} == {(2, -1, "positive"), (3, None, "positive")}
+    assert split.violations == {"id": 1, "positive": 2}
+    assert {p.name for p in Path(place).glob("situacao=*")} == {"situacao=mantida", "situacao=quarentena"}
+    failing = new_location(spark, "split")
+    with pytest.raises(Exception, match="expectation id violated"):
+        expectations.store_split(numbers, RULES, failing)
+    assert not list(Path(failing).glob("situacao=*"))
+    everything = expectations.store_split(numbers.where("id > 1"), RULES[:1], new_location(spark, "split"))
+    assert everything.kept.count() == 2 and everything.quarantined.count() == 0
+
+
 def test_expectations_are_complete():
     sizes = {t: len(e) for t, e in EXPECTATIONS.items()}
     assert sizes == {"clientes": 2, "produtos": 2, "vendas": 10, "preco_competidores": 3}

@@ -36,8 +36,7 @@ def seen(spark, schemas):
     return {r.v for layer, name in TABLES for r in spark.table(f"{layers[layer]}.{name}").collect()}
 
 
-@pytest.mark.parametrize("moved", [False, True])
-@pytest.mark.parametrize("extra", [False, True])
+@pytest.mark.parametrize("moved, extra", [(False, False), (True, True)])
 def test_a_fault_at_any_step_leaves_one_version(spark, schemas, monkeypatch, moved, extra):
     pointer, place = new_location(spark, "pointer"), new_location(spark, "tables")
     store(spark, schemas, 1, place, pointer=pointer).publish()

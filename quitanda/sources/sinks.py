@@ -134,8 +134,7 @@ def _show(spark: SparkSession, name: str, df: DataFrame, roots: list[tuple[str,
         ]
         parts.append(f"SELECT {', '.join(chosen)} FROM {fmt}.`{root}` WHERE versao = {in_force}")
     text = " UNION ALL ".join(parts)
-    plain = name.replace("`", "")
-    if spark.catalog.tableExists(plain):
+    if spark.catalog.tableExists(name):
         kind = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name IN ('Type', 'View Text')").collect()
         found = {r.col_name: r.data_type for r in kind}
         if found.get("Type") != "VIEW":

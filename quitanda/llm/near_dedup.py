@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quitanda.llm.hashing import groups, mixed, word_hashes
@@ -22,6 +22,8 @@ PROBES = 64
 # Documents without an id get one from here on, by their text's hash. Texts to verify are first sieved by this many hash values.
 SURROGATE, SIEVE = 1 << 62, 1 << 20
 LEADERS = 16
+# Elements of differences handed on at once.
+ELEMENTS = 200_000
 
 
 def band_rows(percent: int, bands: int = BANDS) -> int:
@@ -228,11 +230,10 @@ class Linker:
         joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
         return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(keep, "a bigint, b bigint")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets reach the threshold."""
-        words, percent = self.words, self.percent
-        likely = stored(self.likely(pairs), "likely")
-        ids = stored(likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "id"), "ids")
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(id, elements) for each of ``ids``: the whole sets, ascending hashes one after another."""
+        words = self.words
+        ids = stored(ids.distinct(), "ids")
         # A sieve of bounded size keeps most other texts out of the shuffle; the join after it is exact.
         sieve = ids.select(F.pmod(F.xxhash64("id"), F.lit(SIEVE)).alias("_sieve")).distinct()
         hashed = self.docs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(SIEVE)))
@@ -249,6 +250,56 @@ class Linker:
                     )
                     at += len(some)
 
+        return stored(texts.join(ids, "id", "left_semi").mapInArrow(sets_of, "id bigint, elements binary"), "sets")
+
+    def differences(self, pairs: DataFrame) -> DataFrame:
+        """(spot, leader, id, n, size, last) for each element in which the sets of (leader, id) differ.
+
+        spot is a hash of leader and element, n the size of id's set, size that of the difference, and
+        last the last position at which the first element shared with the difference of a linked
+        document can stand, in an order of elements that all documents of the leader have.
+        """
+        percent = self.percent
+
+        def rows(spots: list[np.ndarray], values: list[tuple[int, ...]]) -> pa.RecordBatch:
+            numbers = np.repeat(np.array(values, np.int64), [len(s) for s in spots], axis=0)
+            columns = [np.concatenate(spots).view(np.int64), *numbers.T]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names)
+
+        def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                spots, values, total = [], [], 0
+                seeds = mixed(batch.column(0).to_numpy().view(np.uint64), 31)
+                numbers = (batch.column(i).to_pylist() for i in (0, 1))
+                for seed, leader, name, x, y in zip(seeds, *numbers, batch.column(2), batch.column(3), strict=True):
+                    a, b = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                    other = np.setxor1d(a, b, assume_unique=True)
+                    size = len(other)
+                    shared = max(1, -(((100 - percent) * (len(a) + len(b)) - (100 + percent) * size) // 200))
+                    spots.append(mixed(other ^ seed, 37))
+                    values.append((leader, name, len(b), size, size - shared))
+                    total += size
+                    if total > ELEMENTS:
+                        yield rows(spots, values)
+                        spots, values, total = [], [], 0
+                if spots:
+                    yield rows(spots, values)
+
+        names = ["spot", "leader", "id", "n", "size", "last"]
+        sets = self.sets(pairs.select(F.col("leader").alias("id")).union(pairs.select("id")))
+        joined = pairs.join(sets.select(F.col("id").alias("leader"), F.col("elements").alias("_a")), "leader").join(
+            sets.select("id", F.col("elements").alias("_b")), "id"
+        )
+        schema = ", ".join(f"{c} bigint" for c in names)
+        return joined.select("leader", "id", "_a", "_b").mapInArrow(differ, schema)
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets reach the threshold."""
+        percent = self.percent
+        likely = stored(self.likely(pairs), "likely")
+        ids = likely.select(F.col("a").alias("id")).union(likely.select("b"))
+        sets = self.sets(ids)
+
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = []
@@ -259,7 +310,6 @@ class Linker:
                 mask = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-        sets = stored(texts.join(ids, "id", "left_semi").mapInArrow(sets_of, "id bigint, elements binary"), "sets")
         joined = likely.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("_a")), "a").join(
             sets.select(F.col("id").alias("b"), F.col("elements").alias("_b")), "b"
         )
@@ -267,70 +317,99 @@ class Linker:
 
 
 def pairs_with(members: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b, of members and leaders of one band that differ in component and whose sizes allow a link."""
-    leader = leaders.select(
-        F.col("band").alias("_band"),
-        F.col("id").alias("_id"),
-        F.col("n").alias("_n"),
-        F.col("component").alias("_component"),
-    )
-    small, large = F.least("n", "_n"), F.greatest("n", "_n")
-    return (
-        members.join(leader, (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_component")))
-        .where(100 * small >= percent * large)
-        .select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
-        .distinct()
-    )
+    """(a, b), a < b, of members and leaders of one spot that differ in component, whose sizes allow a link
+    and whose differences can share enough from their positions in the spot on."""
+    leader = leaders.select(*[F.col(c).alias(f"_{c}") for c in leaders.columns])
+    meet = (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_component"))
+    meet &= 100 * F.least("n", "_n") >= percent * F.greatest("n", "_n")
+    rest = F.least(F.col("size") - F.col("position"), F.col("_size") - F.col("_position"))
+    both = (100 + percent) * (F.col("size") + F.col("_size")) - (100 - percent) * (F.col("n") + F.col("_n"))
+    meet &= 2 * (100 + percent) * rest >= both
+    pairs = members.join(leader, meet)
+    return pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+
+
+def spots(linker: Linker, followers: DataFrame) -> DataFrame:
+    """(band, id, n, size, position) of (leader, id): where documents that both differ from their
+    leader must meet, if they are linked.
+
+    Sets A and B are linked if they differ in at most c(|A| + |B|) elements, c = (1 - t) / (1 + t).
+    The elements in which they differ are those in just one of their differences D(A), D(B) from the
+    leader L, so the differences share o >= (|D(A)| + |D(B)| - c(|A| + |B|)) / 2 elements. Where B
+    is not linked with L, |D(B)| > c(|B| + |L|), and as |A| <= |L| + |D(A)|, o is positive and at
+    least (|D(B)| - c(|B| + |L|)) / (1 + c). So with the elements of all differences in one order,
+    rarest first, the first shared one is among the first |D| - o + 1 of both. Elements of one
+    document alone need no row; a passage that all share with L is in no difference, one that they
+    all lack comes last.
+    """
+    differences = stored(linker.differences(followers), "differences")
+    shared = stored(differences.groupBy("spot").agg(F.count("*").alias("rows")).where("rows > 1"), "shared")
+    counted = with_key_values(differences, shared, "spot", "rows", ["rows"]).where("rows IS NOT NULL")
+    own = Window.partitionBy("leader", "id")
+    position = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("rows", "spot")) - 1
+    placed = counted.withColumn("position", position.cast("bigint")).where("position <= last")
+    return stored(placed.select(F.col("spot").alias("band"), "id", "n", "size", "position"), "spots")
 
 
 def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int, rows: int) -> DataFrame:
     """(id, component) of the representatives that have a link.
 
-    Documents that share a band are candidates. A band's members are not paired with each other but
-    with leaders: first one per band, then, where members of a band are still in different
-    components, 16 times as many in each further round. A leader that met all other members of
-    its band has done its work there. It ends when every band's members are in one component or have all
-    been leaders, so no candidate pair is left untested, and large bands of like documents need one
-    round.
+    Documents that share a band are candidates. A band's members are first paired with one leader
+    of it. Where they are in different components after that, they are not paired with each other
+    but meet at the `spots` of their differences from the leader. A spot's members are again paired
+    with leaders, 16 times as many in each round. A leader that met all other members of its spot
+    has done its work there. It ends when every spot's members are in one component or have all
+    been leaders, so no candidate pair is left that could be linked, large bands of like documents
+    need one round, and documents of one band that differ each in its own way never meet.
     """
     linker = Linker(docs, representatives, words, percent)
     banded = bands(representatives, rows)
+    first = F.min(F.struct("id", "n")).alias("_l")
     repeated = stored(
-        banded.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("_l")).where("size > 1"),
+        banded.groupBy("band").agg(F.count("*").alias("size"), first)
+        .where("size > 1")
+        .select("band", "size", F.col("_l.id").alias("leader"), F.col("_l.n").alias("leader_n")),
         "bands",
     )
-    sized = with_key_values(banded, repeated, "band", "size", ["size"]).where("size > 1")
-    members = stored(sized.select("band", "id", "n"), "members")
-    leaders = repeated.select("band", "_l.*").withColumn("component", F.col("id"))
-    tested = found = labels = None
+    led = with_key_values(banded, repeated, "band", "size", ["leader", "leader_n"]).where("leader <> id")
+    members = stored(led, "members")
+    alike = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
+    pairs = members.where(alike).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    tested = stored(pairs.distinct(), "pairs")
+    found = linker.linked(tested)
+    labels = components(found)
+
+    def labelled_members() -> tuple[DataFrame, DataFrame]:
+        """The members of the bands that are not in one component, and these bands."""
+        known = labels.withColumnRenamed("id", "_id")
+        joined = members.join(known, F.col("id") == F.col("_id"), "left").drop("_id")
+        labelled = stored(joined.withColumn("component", F.coalesce("component", "id")), "labelled")
+        split = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        split = stored(split.where("_low < _high").select("band"), "split")
+        return labelled.join(split, "band", "left_semi"), split
+
+    labelled, split = labelled_members()
+    if not split.take(1):
+        return labels
+    members = spots(linker, labelled.select("leader", "id").distinct())
     per_band = 1
     while True:
-        if labels is None:
-            labelled = members.withColumn("component", F.col("id"))
-        else:
-            known = labels.withColumnRenamed("id", "_id")
-            joined = members.join(known, F.col("id") == F.col("_id"), "left").drop("_id")
-            labelled = stored(joined.withColumn("component", F.coalesce("component", "id")), "labelled")
-            split = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-            split = stored(split.where("_low < _high").select("band"), "split")
-            if not split.take(1):
-                return labels
-            per_band *= LEADERS
-            slot = F.pmod(F.xxhash64("id", F.lit(per_band)), F.lit(per_band))
-            leaders = labelled.groupBy("band", slot.alias("_slot")).agg(F.min(F.struct("id", "n", "component")).alias("_l"))
-            leaders = stored(leaders.select("band", "_l.*").join(split, "band", "left_semi"), "leaders")
-        pairs = pairs_with(labelled, leaders, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        labelled, split = labelled_members()
+        if not split.take(1):
+            return labels
+        per_band *= LEADERS
+        labelled = stored(labelled, "crowded")
+        slot = F.pmod(F.xxhash64("id", F.lit(per_band)), F.lit(per_band))
+        first = F.min(F.struct("id", "n", "size", "position", "component"))
+        leaders = stored(labelled.groupBy("band", slot.alias("_slot")).agg(first.alias("_l")).select("band", "_l.*"), "leaders")
+        pairs = stored(pairs_with(labelled, leaders, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
         new = linker.linked(pairs)
-        if labels is None or new.take(1):
-            found = new if found is None else found.unionByName(new)
+        if new.take(1):
+            found = found.unionByName(new)
             labels = components(found)
-        members = stored(
-            labelled.join(leaders.select("band", "id"), ["band", "id"], "left_anti").select("band", "id", "n"), "members"
-        )
+        rest = labelled.join(leaders.select("band", "id"), ["band", "id"], "left_anti")
+        members = stored(rest.select("band", "id", "n", "size", "position"), "members")
 
 
 def id_of(key: str, text: str) -> Column:

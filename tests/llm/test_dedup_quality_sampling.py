@@ -92,6 +92,39 @@ def test_a_band_of_unlike_documents_is_searched_to_the_end(spark):
     assert labels == {i: i - i % 2 for i in range(40)}
 
 
+def test_documents_with_a_common_passage_meet_leaders_only(spark, monkeypatch):
+    """Unlinked documents of one band: twice as many give twice the pairs, and pairs that are linked are found."""
+    tested, linked = [], near_dedup.Linker.linked
+    monkeypatch.setattr(near_dedup.Linker, "linked", lambda self, pairs: tested.append(pairs.count()) or linked(self, pairs))
+    passage, counts = cases.words(328, 61), []
+    for n in (125, 250, 500):
+        texts = [passage + " " + " ".join(f"own{i}x{k}" for k in range(72)) for i in range(n)]
+        texts += [altered(t, 5, 900 + i) for i, t in enumerate(texts[: n // 25])]
+        docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").repartition(4)
+        same = bytes(2 * near_dedup.BANDS * 8)
+        nodes = docs.select("id", F.lit(398).cast("bigint").alias("n_shingles"), F.lit(same).alias("registers"))
+        tested.clear()
+        labels = {r.id: r.component for r in near_dedup.links(docs, nodes, 3, 85, 8).collect()}
+        assert labels == {i: i % n for k in range(n // 25) for i in (k, n + k)}
+        counts.append(sum(tested))
+    assert counts[0] < 2 * 125 and counts[2] < 2.2 * counts[1] < 5 * counts[0]
+
+
+def test_edits_of_one_text_that_are_linked_with_each_other_only(spark):
+    """The leader is linked with none of the others, which are all its edits; some share theirs."""
+    base, texts = cases.words(300, 71), []
+    for i in range(40):  # 22 words change as in the pair's other text, 2 more do not
+        texts.append(altered(altered(base, 22, 500 + i // 2), 2, 700 + i))
+    texts = [base, *texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    same = bytes(2 * near_dedup.BANDS * 8)
+    nodes = frame.select("id", F.lit(298).cast("bigint").alias("n_shingles"), F.lit(same).alias("registers"))
+    labels = {r.id: r.component for r in near_dedup.links(frame, nodes, 3, 85, 8).collect()}
+    wanted = brute_groups(dict(enumerate(texts)), 3, 85)
+    assert len(set(wanted.values())) > 15
+    assert {i: labels.get(i, i) for i in wanted} == wanted
+
+
 def test_components_of_a_long_path(spark):
     ids = list(range(50))
     random.Random(4).shuffle(ids)

@@ -8,6 +8,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,8 @@ SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
 # Pieces of text a worker remembers the ids of.
 REMEMBERED = 600_000
+# Texts of so many bytes are encoded together and share their distinct pieces.
+ENCODED_BYTES = 2_000_000
 MAGIC = b"QIDS"
 
 
@@ -62,15 +65,49 @@ class Encoder:
         self.irregular = "|".join([IRREGULAR, *special])
         self.marks = {m: self.plain(m) for m in self.MARKS}
         self.feed = self.plain("\n")
-        # By piece: "word" after a blank, "\0word" after nothing, "\nword" with the line feed before it.
-        self.known: dict[str, bytes] = {"\0": b""}
+        # Numbers of pieces: "word" after a blank, "\0word" after nothing, "\nword" with the line feed before it.
+        # By number: where the ids stand in the arena, how many they are, and the group that used them last.
+        self.known: dict[str, int] = {"\0": 0}
+        self.arena = np.empty(0, self.dtype)
+        self.starts, self.sizes, self.used = (np.zeros(1, np.int64) for _ in range(3))
+        self.group = 0
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered pieces in a row, and where each piece's ids end."""
+        lengths = self.sizes[numbers]
+        ends = np.cumsum(lengths)
+        source = np.repeat(self.starts[numbers] - ends + lengths, lengths)
+        source += np.arange(len(source))
+        return self.arena[source], ends
+
+    def numbers_of(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, -1 if it is not known."""
+        return np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def add(self, pieces: list[str], ids: list[bytes]) -> None:
+        """Numbers new pieces; their ids go to the arena's end."""
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.arena) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.used = np.concatenate([self.used, np.full(len(ids), self.group)])
+        self.arena = np.concatenate([self.arena, np.frombuffer(b"".join(ids), self.dtype)])
+
+    def forget(self) -> None:
+        """Drops the half of the pieces that were used longest ago."""
+        late = np.argsort(self.used, kind="stable")[len(self.used) // 2 :]
+        keep, pieces = np.union1d([0], late), list(self.known)
+        self.known = {pieces[old]: new for new, old in enumerate(keep.tolist())}
+        self.arena, ends = self.ids_of(keep)
+        self.sizes, self.used = self.sizes[keep], self.used[keep]
+        self.starts = ends - self.sizes
+
     def learn(self, words: list[str], lead: str, begins: np.ndarray, skip: int, prefix: str) -> None:
         """Ids of words, each after ``lead``, without the first ``skip`` ids; known as prefix + word."""
-        width = self.dtype.itemsize
+        width, learnt = self.dtype.itemsize, []
         runs = [words[at : at + 200] for at in range(0, len(words), 200)]
         encoded = self.tokenizer.encode_batch_fast([lead + lead.join(r) for r in runs], add_special_tokens=False)
         for run, found in zip(runs, encoded, strict=True):
@@ -79,45 +116,45 @@ class Encoder:
             if len(starts) == len(run) and starts[0] == 0:
                 data = ids.tobytes()
                 cuts = [*(starts * width).tolist(), len(data)]
-                self.known.update((prefix + w, data[a + skip * width : b]) for w, a, b in zip(run, cuts, cuts[1:]))
+                learnt += [data[a + skip * width : b] for a, b in zip(cuts, cuts[1:])]
             else:
-                self.known.update((prefix + w, self.plain(lead + w)[skip * width :]) for w in run)
+                learnt += [self.plain(lead + w)[skip * width :] for w in run]
+        self.add([prefix + w for w in words] if prefix else words, learnt)
 
-    def remember(self, pieces: list[str]) -> None:
-        known, marks = self.known, self.MARKS
-        new = [p for p in pieces if p not in known]
+    def remember(self, new: list[str]) -> None:
+        """Learns pieces that are not known yet."""
+        known, marks, width = self.known, self.MARKS, self.dtype.itemsize
         stems = [p[:-1] if p[-1] in marks and p[-2:-1].isalpha() else p for p in new]
         blank = {s for s in stems if s[0] not in "\0\n"}
         bare = {s[1:] for s in stems if s[0] in "\0\n"}
         self.learn([w for w in blank if w not in known], " ", self.begins, 0, "")
         self.learn([w for w in bare if "\0" + w not in known], "\n", self.feeds, 1, "\0")
-        for piece, stem in zip(new, stems, strict=True):
-            if stem[0] == "\n":
-                ids = self.feed + known["\0" + stem[1:]]
-            elif stem is piece:
-                continue
-            else:
-                ids = known[stem]
-            known[piece] = ids if len(stem) == len(piece) else ids + self.marks[piece[-1]]
+        joined = [(p, s) for p, s in zip(new, stems, strict=True) if s[0] == "\n" or s is not p]
+        bases = (known["\0" + s[1:] if s[0] == "\n" else s] for _, s in joined)
+        ids, ends = self.ids_of(np.fromiter(bases, np.int64, len(joined)))
+        data, cuts, whole = ids.tobytes(), [0, *(ends * width).tolist()], []
+        for (piece, stem), a, b in zip(joined, cuts, cuts[1:]):
+            base = self.feed + data[a:b] if stem[0] == "\n" else data[a:b]
+            whole.append(base if len(stem) == len(piece) else base + self.marks[piece[-1]])
+        self.add([p for p, _ in joined], whole)
 
     def regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids begin and end."""
         marked = pc.replace_substring(pc.binary_join_element_wise("\0", texts, ""), "\n", " \n")
         split = pc.split_pattern(marked, " ")
         pieces = split.flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.known = {"\0": b""}
-        self.remember(distinct)
-        found = list(map(self.known.__getitem__, distinct))
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-        begin = np.cumsum(sizes) - sizes
-        at = pieces.indices.to_numpy()
-        lengths = sizes[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.repeat(begin[at] - ends + lengths, lengths) + np.arange(total)
-        ids = np.frombuffer(b"".join(found), self.dtype)[source]
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.group += 1
+        numbers = self.numbers_of(distinct)
+        self.used[numbers[numbers >= 0]] = self.group
+        if len(self.known) + np.count_nonzero(numbers < 0) > REMEMBERED:
+            self.forget()
+            numbers = self.numbers_of(distinct)
+        missing = np.flatnonzero(numbers < 0)
+        new = [distinct[i] for i in missing.tolist()]
+        self.remember(new)
+        numbers[missing] = self.numbers_of(new)
+        ids, ends = self.ids_of(numbers[pieces.indices.to_numpy()])
         edges = np.concatenate([[0], ends])[split.offsets.to_numpy()]
         return ids, edges
 
@@ -198,7 +235,7 @@ def write_shards(
         encode, keys, sizes = encoder(tokenizer).encode, [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            for run in groups(batch.column(1)):
+            for run in groups(batch.column(1), ENCODED_BYTES):
                 ids = encode(run)
                 sizes += (pc.binary_length(ids).to_numpy().astype(np.int64) // dtype.itemsize + 1).tolist()
                 yield pa.RecordBatch.from_arrays([ids], ["ids"])

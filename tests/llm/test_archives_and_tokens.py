@@ -136,6 +136,15 @@ def test_all_documents_come_back_through_the_index(spark, tiny, tokenizer):
     assert got == wanted
 
 
+def test_pieces_used_longest_ago_go_first(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    encoder = token_files.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    texts = [f"so often, used {cases.words(20, i)}\noften" for i in range(20)]
+    got = [encoder.encode(pa.array([t])).to_pylist()[0] for t in texts]
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [plain(tokenizer, t) for t in texts]
+    assert {"often,", "used", "\noften"} <= encoder.known.keys() and len(encoder.known) <= 120
+
+
 def test_odd_documents(spark, tokenizer):
     docs = cases.documents(spark)
     got = cases.rows(token_files.token_files(docs, tokenizer_path("byte_bpe_50k.json")))

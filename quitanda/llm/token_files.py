@@ -321,6 +321,11 @@ def number(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
 INDEX_SCHEMA = "bucket bigint, level_sizes array<int>, bits binary, prints binary, shards binary, offsets binary, sizes binary"
 
 
+def first_records(records: DataFrame) -> DataFrame:
+    """(key, _at): the place of every key's first record in shard order, which the index holds."""
+    return records.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("shard", "offset", "n_tokens")).alias("_at"))
+
+
 def build_index(records: DataFrame, buckets: int) -> DataFrame:
     """One row per bucket of keys: the bits of its hash, and per key number the fingerprint and place.
 
@@ -343,12 +348,7 @@ def build_index(records: DataFrame, buckets: int) -> DataFrame:
         }
         return pd.DataFrame([row])
 
-    first = (
-        records.where("key IS NOT NULL")
-        .groupBy("key")
-        .agg(F.min(F.struct("shard", "offset", "n_tokens")).alias("_at"))
-        .select(bucket_of("key", buckets).alias("bucket"), "key", "_at.*")
-    )
+    first = first_records(records).select(bucket_of("key", buckets).alias("bucket"), "key", "_at.*")
     return first.groupBy("bucket").applyInPandas(build, INDEX_SCHEMA)
 
 
@@ -392,12 +392,14 @@ def bucket_count(records: DataFrame, per_bucket: int = KEYS_PER_BUCKET) -> int:
 
 
 def fetched(records: DataFrame, index: DataFrame, keys: DataFrame, buckets: int, key: str) -> DataFrame:
-    """The records found for ``keys`` through the index, and those it does not point at: copies of a
-    key after its first record, and records without a key."""
+    """The records found for ``keys`` through the index, and those that it does not hold: copies of a
+    key after its first record, and records without a key. What these are follows from the records
+    alone, so a key that the index lost is missing from the result."""
     place = ["shard", "offset"]
-    found = stored(find(index, keys, buckets, key), "found")
+    found = find(index, keys, buckets, key)
     hit = records.drop("n_tokens").join(found, [*place, "key"])
-    return hit.unionByName(records.join(found.select(*place), place, "left_anti"))
+    held = first_records(records).select("_at.shard", "_at.offset")
+    return hit.unionByName(records.join(held, place, "left_anti"))
 
 
 def token_files(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

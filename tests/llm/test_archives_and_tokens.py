@@ -136,6 +136,19 @@ def test_all_documents_come_back_through_the_index(spark, tiny, tokenizer):
     assert got == wanted
 
 
+def test_a_lost_key_is_missed(spark):
+    """Rows come through the index, which holds first records; only later copies and keyless ones come beside it."""
+    rows = [(0, 0, 7, 3, 1), (0, 3, 8, 2, 2), (1, 0, 8, 2, 3), (1, 2, None, 4, 4), (1, 6, 9, 1, 5)]
+    records = spark.createDataFrame(rows, "shard bigint, offset bigint, key bigint, n_tokens bigint, ids_crc32 bigint")
+    keys = spark.createDataFrame([(7,), (8,), (8,), (None,), (9,)], "doc_id bigint")
+
+    def got(index):
+        return sorted(r.ids_crc32 for r in token_files.fetched(records, index, keys, 3, "doc_id").collect())
+
+    assert got(token_files.build_index(records, 3)) == [1, 2, 3, 4, 5]
+    assert got(token_files.build_index(records.where("key IS NULL OR key <> 8"), 3)) == [1, 3, 4, 5]
+
+
 def test_pieces_used_longest_ago_go_first(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 60)
     encoder = token_files.Encoder(tokenizer_path("byte_bpe_50k.json"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -17,9 +18,11 @@ from quitanda.llm.tables import small_batches
 
 BLANK = "▁"
 # Texts whose units are looked up together, and of those, characters sampled at a time.
-GROUP_BYTES, SAMPLED_CHARS = 1_500_000, 200_000
+GROUP_BYTES, SAMPLED_CHARS = 1_000_000, 400_000
 # Characters below this code, and the blank mark, have a place in the table of adjacent pairs.
 SMALL = 0x250
+# Cells of the units a worker remembers, 20 bytes each.
+REMEMBERED_CELLS = 2_000_000
 TABLE_BITS = 19
 
 
@@ -69,6 +72,45 @@ class Lattice:
         for value, i in self.bytes.items():
             self.spelling[i] = bytes([value])
         self.unknown = model.unk_id()
+        plain = [b.replace(BLANK.encode(), b" ") for b in self.spelling]
+        self.plain = np.frombuffer(b"".join(plain), np.uint8)
+        self.plain_size = np.array([len(b) for b in plain])
+        self.plain_start = np.cumsum(self.plain_size) - self.plain_size
+        self.known: dict[str, int] = {}
+        self.units = units_of([], self)
+
+    def numbered(self, texts: list[str]) -> np.ndarray:
+        """The number of each of the distinct units ``texts`` in ``self.units``; new ones are appended.
+
+        Beyond a bound, only those of the units met before that are met again now stay. A change makes
+        a new ``Units``, so whoever holds an earlier one may go on with it.
+        """
+        numbers = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        missing = np.flatnonzero(numbers < 0)
+        if not len(missing):
+            return numbers
+        if len(self.units.chance) > REMEMBERED_CELLS:
+            met = np.flatnonzero(numbers >= 0)
+            keep, pieces = np.unique(numbers[met]), list(self.known)
+            self.known = {pieces[old]: new for new, old in enumerate(keep.tolist())}
+            self.units = self.units.only(keep)
+            numbers[met] = np.searchsorted(keep, numbers[met])
+        new = [texts[i] for i in missing.tolist()]
+        first = len(self.known)
+        self.units = self.units.followed_by(units_of(new, self))
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        numbers[missing] = np.arange(first, first + len(new))
+        return numbers
+
+    def texts_of(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """The texts of segmentations in UTF-8, each between two ``cuts`` of the ids; the blank that encoding
+        puts before a text is left out."""
+        size = self.plain_size[ids]
+        ends = np.cumsum(size)
+        source = np.repeat(self.plain_start[ids] - ends + size, size)
+        source += np.arange(len(source))
+        data, at = self.plain[source].tobytes(), np.concatenate([[0], ends])[cuts].tolist()
+        return [data[a + 1 : b] for a, b in zip(at, at[1:])]
 
     def hash_of(self, piece: str) -> int:
         value = 0
@@ -106,6 +148,20 @@ class Units(NamedTuple):
     upto: np.ndarray  # running sums of the chances of a node
     edge: np.ndarray  # its piece id; -1 - code point for a character spelled in bytes
 
+    def only(self, units: np.ndarray) -> "Units":
+        length = self.length[units]
+        begin = np.cumsum(length) - length
+        node = np.repeat(self.begin[units] - begin, length) + np.arange(length.sum())
+        width = self.cell[node + 1] - self.cell[node]
+        cell = np.concatenate([[0], np.cumsum(width)])
+        at = np.repeat(self.cell[node] - cell[:-1], width) + np.arange(cell[-1])
+        return Units(begin, length, cell, self.chance[at], self.upto[at], self.edge[at])
+
+    def followed_by(self, more: "Units") -> "Units":
+        nodes, cells = len(self.cell) - 1, len(self.chance)
+        moved = more._replace(begin=more.begin + nodes, cell=more.cell[1:] + cells)
+        return Units(*map(np.concatenate, zip(self, moved, strict=True)))
+
     def open_cells(self, node: np.ndarray, tried: np.ndarray) -> np.ndarray:
         """Chances of each node's edges, a row per node, 0 for those tried."""
         width = self.cell[node + 1] - self.cell[node]
@@ -187,8 +243,9 @@ class Region:
         offsets = np.concatenate([[0], np.cumsum(wide)])[cuts].astype(np.int32)
         data = pa.py_buffer("".join(texts).encode())
         pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(offsets), data).dictionary_encode()
-        self.units = units_of(pieces.dictionary.to_pylist(), lattice)
-        self.kind = pieces.indices.to_numpy()  # of every occurrence of a unit
+        numbers = lattice.numbered(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        self.units = lattice.units
+        self.kind = numbers[pieces.indices.to_numpy()]  # of every occurrence of a unit
         self.begin = cuts[:-1]  # first character of every occurrence
         self.first = np.searchsorted(self.begin, self.char, "left")  # first occurrence of every document
 
@@ -355,11 +412,6 @@ class Group:
         return result.astype(np.int32), np.repeat(path.document, count)
 
 
-def decoded(ids: list[int], lattice: Lattice) -> bytes:
-    """The text of a segmentation in UTF-8; the blank that encoding puts before the text is left out."""
-    return b"".join(map(lattice.spelling.__getitem__, ids)).replace(BLANK.encode(), b" ")[1:]
-
-
 SCHEMA = (
     "sample int, n_pieces bigint, log_prob double, perturbed double, inclusion double, ids_crc32 bigint, round_trip boolean"
 )
@@ -437,6 +489,7 @@ def _sampled(group: Group, keys: list, texts: list[str], k: int, ids: bool) -> I
         # The noise that the next score leaves: certain where there is no next segmentation.
         with np.errstate(over="ignore"):
             inclusion = -np.expm1(-np.exp(log - after[documents]))
+        spelled = lattice.texts_of(flat, cuts)
         pieces = [flat[cuts[d] : cuts[d + 1]] for d in documents.tolist()]
         wanted = [texts[d].replace(BLANK, " ")[1:].encode() for d in documents.tolist()]
         columns = [
@@ -447,7 +500,7 @@ def _sampled(group: Group, keys: list, texts: list[str], k: int, ids: bool) -> I
             np.round(score, 6),
             np.round(inclusion, 6),
             [zlib.crc32(p.astype("<i4").tobytes()) for p in pieces],
-            [decoded(p.tolist(), lattice) == w for p, w in zip(pieces, wanted, strict=True)],
+            [spelled[d] == w for d, w in zip(documents.tolist(), wanted, strict=True)],
         ]
         names = ["_key", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids_crc32", "round_trip"]
         arrays = [pa.array(c) for c in columns]

@@ -324,6 +324,19 @@ def test_neighbours_do_not_matter(lattice):
         assert [tuple(group.ids(p)[0].tolist()) for p, d, _ in found if len(d)] == [r[0] for r in together[i]]
 
 
+def test_remembered_units_do_not_matter(lattice, monkeypatch):
+    texts = [lattice.model.normalize(cases.words(50, i % 7) + " again and again") for i in range(20)]
+    together, _ = drawn(texts, lattice, 2)
+    monkeypatch.setattr(segment_sampling, "REMEMBERED_CELLS", 300)
+    monkeypatch.setattr(lattice, "known", {})
+    monkeypatch.setattr(lattice, "units", segment_sampling.units_of([], lattice))
+    for i, text in enumerate(texts):
+        group = segment_sampling.Group(segment_sampling.Region([text], lattice), 0, 1, np.array([i * 7919], np.uint64))
+        found, _ = group.samples(2)
+        assert [tuple(group.ids(p)[0].tolist()) for p, _, _ in found] == [r[0] for r in together[i]]
+        assert len(lattice.known) == len(lattice.units.begin) <= 200
+
+
 def test_every_sample_decodes_to_its_text(spark, tiny, lattice):
     got = op7_sampled_segmentations(spark, tiny).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}

@@ -138,6 +138,75 @@ def churn(activity: DataFrame, previous: Period, current: Period, groups: DataFr
     )
 
 
+# Days, and periods, that one 64-bit number holds.
+BITS = 60
+
+
+def active_days(activity: DataFrame) -> DataFrame:
+    """(id_cliente, palavra, dias): the days on which each customer was active, as bits, 60 days a row.
+
+    Tables of different days or sources merge by ``bit_or`` of ``dias``, and repeated days change nothing.
+    Rows without a customer or a day are left out, as in ``churn``.
+    """
+    day = F.unix_date("data")
+    bit = F.pmod(day, F.lit(BITS))
+    return (
+        activity.where("id_cliente IS NOT NULL AND data IS NOT NULL")
+        .groupBy("id_cliente", ((day - bit) / BITS).cast("int").alias("palavra"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("dias"))
+    )
+
+
+def _active_in(period: Period) -> Column:
+    """Whether a row of ``active_days`` has a day of the period."""
+    start = F.col("palavra") * BITS
+    first = F.greatest(F.unix_date(F.lit(period.first)) - start, F.lit(0))
+    last = F.least(F.unix_date(F.lit(period.last)) - start, F.lit(BITS - 1))
+    power = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n)
+    return (first <= last) & (F.col("dias").bitwiseAND(power(last + 1) - power(first)) != 0)
+
+
+def churn_pairs(days: DataFrame, pairs: Sequence[tuple[Period, Period]], groups: DataFrame | None = None) -> DataFrame:
+    """``churn`` for every (previous, current) pair, from one scan of stored ``active_days``.
+
+    Each customer becomes one bit per distinct period; equal patterns are counted once, and a pair is
+    a mask over them. Columns inicio_antes, fim_antes, inicio and fim name the pair. Without ``groups``
+    every pair has its row; with them a pair has rows for groups that were active in its previous period.
+    """
+    periods = list(dict.fromkeys(p for pair in pairs for p in pair))
+    place = {p: divmod(i, BITS) for i, p in enumerate(periods)}
+    words = [f"_p{w}" for w in range(-(-len(periods) // BITS))]
+    hits = {
+        w: sum((_active_in(p).cast("bigint") * F.lit(1 << b) for p, (of, b) in place.items() if of == n), F.lit(0).cast("bigint"))
+        for n, w in enumerate(words)
+    }
+    seen = days.groupBy("id_cliente").agg(*[F.bit_or(hit).alias(w) for w, hit in hits.items()])
+    keys = []
+    if groups is not None:
+        keys = [c for c in groups.columns if c != "id_cliente"]
+        seen = seen.join(groups, "id_cliente", "left")
+    patterns = seen.groupBy(*keys, *words).agg(F.count("*").alias("_n"))
+
+    def active(p: Period) -> Column:
+        word, bit = place[p]
+        return F.col(words[word]).bitwiseAND(F.lit(1 << bit)) != 0
+
+    def counted(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0).cast("bigint"))
+
+    sums, lines = [], []
+    for i, (before, now) in enumerate(pairs):
+        sums += [counted(active(before)).alias(f"_a{i}"), counted(active(before) & ~active(now)).alias(f"_l{i}")]
+        named = zip(("inicio_antes", "fim_antes", "inicio", "fim"), (before.first, before.last, now.first, now.last))
+        lines.append(
+            F.struct(*[F.lit(d).alias(c) for c, d in named], F.col(f"_a{i}").alias("ativos_antes"), F.col(f"_l{i}").alias("perdidos"))
+        )
+    rows = patterns.groupBy(*keys).agg(*sums).select(*keys, F.inline(F.array(*lines)))
+    if keys:
+        rows = rows.where("ativos_antes > 0")
+    return rows.withColumn("taxa_churn", money.ratio(F.col("perdidos"), F.col("ativos_antes")))
+
+
 def revenue_cube(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sales and revenue for every combination of ``keys`` with all subtotals.
 

@@ -375,6 +375,15 @@ def all_oracles() -> dict[str, str]:
           SELECT user_id FROM events WHERE event_type = 'purchase' AND cast(ts as date) = DATE '2024-01-04')) AS perdidos
         FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'
               AND cast(ts as date) BETWEEN DATE '2024-01-01' AND DATE '2024-01-03'))"""
+    bought = "SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND cast(ts as date)"
+    sql["kpi_churn_pairs"] = f"SELECT *, {rate} AS taxa_churn FROM (" + " UNION ALL ".join(
+        f"""SELECT DATE '2024-01-{a:02}' AS inicio_antes, DATE '2024-01-{a + n - 1:02}' AS fim_antes,
+          DATE '2024-01-{a + n:02}' AS inicio, DATE '2024-01-{a + 2 * n - 1:02}' AS fim, count(*) AS ativos_antes,
+          count(*) FILTER (user_id NOT IN ({bought} BETWEEN DATE '2024-01-{a + n:02}' AND DATE '2024-01-{a + 2 * n - 1:02}')) AS perdidos
+        FROM ({bought} BETWEEN DATE '2024-01-{a:02}' AND DATE '2024-01-{a + n - 1:02}')"""
+        for n in (1, 2, 3)
+        for a in range(1, 7)
+    ) + ")"
     sql["kpi_churn_by_segment"] = _with(
         f"""SELECT *, {rate} AS taxa_churn FROM (
           SELECT segmento_cliente, count(*) AS ativos_antes, count(*) FILTER (id_cliente NOT IN (

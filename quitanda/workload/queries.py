@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import datetime as dt
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -187,6 +188,22 @@ def kpi_churn(spark, sf_dir):
     return kpi.churn(raw.events(spark, sf_dir, ["purchase"]), EVENT_DAYS_BEFORE, EVENT_DAYS)
 
 
+# Neighbouring periods of one, two and three days.
+CHURN_PAIRS = [
+    tuple(Period(dt.date(2024, 1, a), dt.date(2024, 1, a + n - 1)) for a in (first, first + n))
+    for n in (1, 2, 3)
+    for first in range(1, 7)
+]
+
+
+@query
+def kpi_churn_pairs(spark, sf_dir):
+    """Churn of 18 period pairs from one stored table of active days."""
+    path = new_location(spark, "active_days")
+    kpi.active_days(raw.events(spark, sf_dir, ["purchase"])).write.parquet(path)
+    return kpi.churn_pairs(spark.read.parquet(path), CHURN_PAIRS)
+
+
 @query
 def kpi_churn_by_segment(spark, sf_dir):
     sales = _sales(spark, sf_dir)

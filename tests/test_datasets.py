@@ -278,6 +278,35 @@ def test_churn(spark):
     assert rows == {"A": (1, 0), "B": (1, 1)}
 
 
+def test_churn_of_many_pairs(spark):
+    """Every pair equals ``churn``, over word borders, before 1970, for over 60 periods and without any customer."""
+    start = dt.date(1969, 11, 20)
+    rows = [(i % 9, start + dt.timedelta((i * i * 7 + i) % 140)) for i in range(60)]
+    active = spark.createDataFrame([*rows, *rows[:5], (None, start), (3, None)], "id_cliente bigint, data date")
+    days = kpi.active_days(active)
+
+    def period(first, n):
+        return Period(start + dt.timedelta(first), start + dt.timedelta(first + n - 1))
+
+    pairs = [(period(a, n), period(a + n, n)) for n in (1, 7, 65) for a in range(0, 70, 3)]
+    got = kpi.churn_pairs(days, pairs).collect()
+    seen = {}
+    for c, d in rows:
+        seen.setdefault(c, set()).add(d)
+    inside = lambda p: {c for c, ds in seen.items() if any(p.first <= d <= p.last for d in ds)}
+    assert len({p for pair in pairs for p in pair}) > 60
+    assert {(r.inicio_antes, r.fim_antes, r.inicio, r.fim): (r.ativos_antes, r.perdidos) for r in got} == {
+        (b.first, b.last, n.first, n.last): (len(inside(b)), len(inside(b) - inside(n))) for b, n in pairs
+    }
+    one = kpi.churn_pairs(days, pairs[30:31]).drop("inicio_antes", "fim_antes", "inicio", "fim").collect()
+    assert one == kpi.churn(active, *pairs[30]).collect()
+    empty = kpi.churn_pairs(days.limit(0), pairs[:2]).collect()
+    assert [(r.ativos_antes, r.perdidos, r.taxa_churn) for r in empty] == [(0, 0, None)] * 2
+    groups = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(8)], "id_cliente bigint, g string")
+    split = {(r.g, r.ativos_antes, r.perdidos, r.taxa_churn) for r in kpi.churn_pairs(days, pairs[30:31], groups).collect()}
+    assert split == {tuple(r) for r in kpi.churn(active, *pairs[30], groups).collect()}
+
+
 def test_revenue_cube_keeps_missing_and_subtotals_apart(spark):
     df = spark.createDataFrame([("a", None, D("1.00")), ("a", "x", D("2.00"))], "g string, h string, receita decimal(18,2)")
     rows = {(r.g, r.h, r.nivel): r.receita for r in kpi.revenue_cube(df, ["g", "h"]).collect()}

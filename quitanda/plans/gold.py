@@ -39,6 +39,39 @@ def vendas_temporais(vendas: DataFrame, period: Period | None = DEFAULT_PERIOD)
     )
 
 
+# Log2 of a sketch's buckets; the relative standard error of a count is 1.04 / sqrt(2**12), about 1.6%.
+SKETCH_BITS = 12
+
+
+def hourly_customers(vendas: DataFrame, period: Period | None = DEFAULT_PERIOD) -> DataFrame:
+    """``vendas_temporais`` to be stored and rolled up: instead of a number of customers, which cannot be
+    added, ``clientes`` is a sketch of them, of at most some KB whatever the number."""
+    return (
+        vendas.where(calendar.within(F.col("data"), period))
+        .groupBy("data", "hora", "canal_venda")
+        .agg(
+            F.count("*").alias("total_vendas"),
+            F.sum("quantidade").alias("itens_vendidos"),
+            F.sum("receita").alias("receita"),
+            F.hll_sketch_agg(F.col("id_cliente").cast("string"), SKETCH_BITS).alias("clientes"),
+        )
+    )
+
+
+def rolled_up(hours: DataFrame, *keys: str) -> DataFrame:
+    """Totals of ``hourly_customers`` by any of its keys, or overall; customers of several hours count once.
+
+    ``clientes_aprox`` is an estimate with the sketch's error, 0 where no sale has a customer; sales
+    are not read again.
+    """
+    return hours.groupBy(*keys).agg(
+        F.sum("total_vendas").alias("total_vendas"),
+        F.sum("itens_vendidos").alias("itens_vendidos"),
+        F.sum("receita").alias("receita"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("clientes")), F.lit(0).cast("bigint")).alias("clientes_aprox"),
+    )
+
+
 def customer_segments(
     clientes: DataFrame,
     vendas: DataFrame,

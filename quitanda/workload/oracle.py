@@ -375,6 +375,12 @@ def all_oracles() -> dict[str, str]:
           SELECT user_id FROM events WHERE event_type = 'purchase' AND cast(ts as date) = DATE '2024-01-04')) AS perdidos
         FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'
               AND cast(ts as date) BETWEEN DATE '2024-01-01' AND DATE '2024-01-03'))"""
+    sql["agg_distinct_rolled_up"] = _with(
+        f"""SELECT data, canal_venda, count(*) AS total_vendas, cast(sum(quantidade) as bigint) AS itens_vendidos,
+          cast(sum(receita) as double) AS receita, count(DISTINCT id_cliente) AS clientes_unicos, true AS dentro_do_erro
+        FROM t_vendas WHERE data {_PERIOD} GROUP BY GROUPING SETS ((data), (canal_venda), ())""",
+        "t_vendas",
+    )
     bought = "SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND cast(ts as date)"
     sql["kpi_churn_pairs"] = f"SELECT *, {rate} AS taxa_churn FROM (" + " UNION ALL ".join(
         f"""SELECT DATE '2024-01-{a:02}' AS inicio_antes, DATE '2024-01-{a + n - 1:02}' AS fim_antes,

@@ -17,6 +17,7 @@ from quitanda.operators.expectations import EXPECTATIONS
 from quitanda.operators.expectations import DROP, Expectation
 from quitanda.operators.lookup import hot_keys, lookup
 from quitanda.operators.ordered import ordered_totals
+from quitanda.functions.calendar import within
 from quitanda.operators.profile import profile
 from quitanda.operators.ledger import MONTH, difference
 from quitanda.plans import gold, incremental, kpi, silver
@@ -188,6 +189,27 @@ def kpi_churn(spark, sf_dir):
     return kpi.churn(raw.events(spark, sf_dir, ["purchase"]), EVENT_DAYS_BEFORE, EVENT_DAYS)
 
 
+@query
+def agg_distinct_rolled_up(spark, sf_dir):
+    """Customers per day, per channel and overall from stored hourly sketches, held against exact counts:
+    the estimates must lie within four standard errors, 6.5%, or one customer."""
+    path = new_location(spark, "hours")
+    sales = _sales(spark, sf_dir)
+    gold.hourly_customers(sales, PERIOD).write.parquet(path)
+    hours, wanted = spark.read.parquet(path), sales.where(within(F.col("data"), PERIOD))
+    results = []
+    for keys in (["data"], ["canal_venda"], []):
+        exact = wanted.groupBy(*keys).agg(F.count_distinct("id_cliente").alias("clientes_unicos"))
+        both = gold.rolled_up(hours, *keys).withColumn("_k", F.struct(F.lit(0), *keys)).join(
+            exact.select(F.struct(F.lit(0), *keys).alias("_e"), "clientes_unicos"), F.col("_k").eqNullSafe(F.col("_e"))
+        )
+        off = F.abs(F.col("clientes_aprox") - F.col("clientes_unicos"))
+        named = [(F.col(c) if c in keys else F.lit(None).cast(t)).alias(c) for c, t in (("data", "date"), ("canal_venda", "string"))]
+        close = (off <= F.greatest(F.lit(1.0), F.col("clientes_unicos") * 0.065)).alias("dentro_do_erro")
+        results.append(both.select(*named, "total_vendas", "itens_vendidos", "receita", "clientes_unicos", close))
+    return results[0].unionByName(results[1]).unionByName(results[2])
+
+
 # Neighbouring periods of one, two and three days.
 CHURN_PAIRS = [
     tuple(Period(dt.date(2024, 1, a), dt.date(2024, 1, a + n - 1)) for a in (first, first + n))

@@ -278,6 +278,22 @@ def test_churn(spark):
     assert rows == {"A": (1, 0), "B": (1, 1)}
 
 
+def test_hourly_sketches_roll_up(spark):
+    """Within four standard errors of 60,000 customers who come at many hours; none for sales without a customer."""
+    sales = spark.range(240_000).selectExpr(
+        "date'2026-01-01' + cast(id % 3 as int) as data", "cast(id % 24 as int) as hora", "if(id % 2 = 0, 'loja', 'site') as canal_venda",
+        "1 as quantidade", "cast(1 as decimal(18,2)) as receita", "id % 60000 as id_cliente",
+    )
+    nobody = sales.limit(4).withColumns({"id_cliente": F.lit(None).cast("bigint"), "canal_venda": F.lit("anon")})
+    hours = gold.hourly_customers(sales.unionByName(nobody), None)
+    whole = gold.rolled_up(hours).first()
+    assert whole.total_vendas == 240_004 and abs(whole.clientes_aprox - 60_000) <= 60_000 * 0.065
+    channels = {r.canal_venda: (r.total_vendas, r.clientes_aprox) for r in gold.rolled_up(hours, "canal_venda").collect()}
+    assert channels["anon"] == (4, 0)
+    assert all(abs(channels[c][1] - 30_000) <= 30_000 * 0.065 for c in ("loja", "site"))
+    assert gold.rolled_up(hours.limit(0), "data").count() == 0 and gold.rolled_up(hours.limit(0)).first().clientes_aprox == 0
+
+
 def test_churn_of_many_pairs(spark):
     """Every pair equals ``churn``, over word borders, before 1970, for over 60 periods and without any customer."""
     start = dt.date(1969, 11, 20)

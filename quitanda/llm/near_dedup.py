@@ -329,6 +329,16 @@ def pairs_with(members: DataFrame, leaders: DataFrame, percent: int) -> DataFram
     return pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
 
 
+def with_leaders(members: DataFrame, slot: Column) -> DataFrame:
+    """The ``members`` of bands that are not in one component, of whom the least id of every band and slot
+    ``leads``. Both are told where a band's members lie, in one shuffle and without a join."""
+    band, slots = Window.partitionBy("band"), Window.partitionBy("band", "_slot")
+    marked = members.withColumn("_slot", slot).withColumns(
+        {"_split": F.min("component").over(band) < F.max("component").over(band), "leads": F.col("id") == F.min("id").over(slots)}
+    )
+    return marked.where("_split").drop("_slot", "_split")
+
+
 def spots(linker: Linker, followers: DataFrame) -> DataFrame:
     """(band, id, n, size, position) of (leader, id): where documents that both differ from their
     leader must meet, if they are linked.
@@ -379,37 +389,32 @@ def links(docs: DataFrame, representatives: DataFrame, words: int, percent: int,
     found = linker.linked(tested)
     labels = components(found)
 
-    def labelled_members() -> tuple[DataFrame, DataFrame]:
-        """The members of the bands that are not in one component, and these bands."""
+    def labelled(members: DataFrame) -> DataFrame:
         known = labels.withColumnRenamed("id", "_id")
         joined = members.join(known, F.col("id") == F.col("_id"), "left").drop("_id")
-        labelled = stored(joined.withColumn("component", F.coalesce("component", "id")), "labelled")
-        split = labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        split = stored(split.where("_low < _high").select("band"), "split")
-        return labelled.join(split, "band", "left_semi"), split
+        return joined.withColumn("component", F.coalesce("component", "id"))
 
-    labelled, split = labelled_members()
+    followers = stored(labelled(members), "labelled")
+    split = followers.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    split = stored(split.where("_low < _high").select("band"), "split")
     if not split.take(1):
         return labels
-    members = spots(linker, labelled.select("leader", "id").distinct())
+    members = spots(linker, followers.join(split, "band", "left_semi").select("leader", "id").distinct())
     per_band = 1
     while True:
-        labelled, split = labelled_members()
-        if not split.take(1):
-            return labels
         per_band *= LEADERS
-        labelled = stored(labelled, "crowded")
         slot = F.pmod(F.xxhash64("id", F.lit(per_band)), F.lit(per_band))
-        first = F.min(F.struct("id", "n", "size", "position", "component"))
-        leaders = stored(labelled.groupBy("band", slot.alias("_slot")).agg(first.alias("_l")).select("band", "_l.*"), "leaders")
-        pairs = stored(pairs_with(labelled, leaders, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        crowded = stored(with_leaders(labelled(members), slot), "crowded")
+        if not crowded.take(1):
+            return labels
+        leaders = crowded.where("leads").drop("leads")
+        pairs = stored(pairs_with(crowded, leaders, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         new = linker.linked(pairs)
         if new.take(1):
             found = found.unionByName(new)
             labels = components(found)
-        rest = labelled.join(leaders.select("band", "id"), ["band", "id"], "left_anti")
-        members = stored(rest.select("band", "id", "n", "size", "position"), "members")
+        members = crowded.where("NOT leads").select("band", "id", "n", "size", "position")
 
 
 def id_of(key: str, text: str) -> Column:

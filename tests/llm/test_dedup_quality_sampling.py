@@ -360,3 +360,18 @@ def test_odd_documents_are_sampled(spark):
     assert all(r.round_trip for r in rows) and all(r.inclusion == 1 for r in rows if r.doc_id in (3, 4))
     assert len({(r.sample, r.ids_crc32) for r in rows if r.doc_id == 8}) == 3
     assert segment_sampling.segmentations(cases.empty(spark), path).count() == 0
+
+
+def test_leaders_are_marked_without_a_join(spark):
+    from pyspark.sql import functions as F
+
+    from quitanda.llm.near_dedup import with_leaders
+
+    rows = [(band, i, 5 if band == 2 else i // 7) for band in range(4) for i in range(band * 20)]
+    members = spark.createDataFrame(rows, "band bigint, id bigint, component bigint")
+    marked = with_leaders(members, F.col("id") % 4)
+    assert "Join" not in marked._jdf.queryExecution().optimizedPlan().toString()
+    split = [(b, i) for b, i, _ in rows if b in (1, 3)]  # band 2 is one component
+    found = marked.collect()
+    assert sorted((r.band, r.id) for r in found) == split
+    assert {(r.band, r.id) for r in found if r.leads} == {(b, i) for b, i in split if i < 4}

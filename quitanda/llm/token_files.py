@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import struct
 import zlib
@@ -26,7 +27,7 @@ END_ID = 2
 SHARD_TEXT_BYTES = 32_000_000
 KEYS_PER_BUCKET = 1_000
 # Pieces of text a worker remembers the ids of.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 # Texts of so many bytes are encoded together and share their distinct pieces.
 ENCODED_BYTES = 2_000_000
 MAGIC = b"QIDS"
@@ -54,6 +55,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the library's own would each keep memory of what they encoded.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         size = max(vocabulary.values()) + 1

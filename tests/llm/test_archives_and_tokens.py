@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import cases
 import numpy as np
@@ -195,3 +199,19 @@ def test_foreign_keys_are_not_found(spark):
     index = token_files.build_index(records, 7)
     found = token_files.find(index, spark.range(0, 1600).withColumnRenamed("id", "key"), 7).collect()
     assert {r.key: (r.shard, r.offset) for r in found} == {3 * i: (i % 4, i) for i in range(500)}
+
+
+def test_encoder_starts_no_threads_of_its_own():
+    """Each thread of the tokenizer library would keep memory beside the one core of a task."""
+    code = """
+import threading, os, pyarrow as pa
+from quitanda.llm.queries import tokenizer_path
+from quitanda.llm.token_files import Encoder
+encoder, count = Encoder(tokenizer_path("byte_bpe_50k.json")), lambda: len(os.listdir("/proc/self/task"))
+encoder.plain("one"); before = count()
+encoder.encode(pa.array([" ".join(f"word{i}x{j}" for j in range(3000)) for i in range(9)]))
+assert count() <= before, (before, count())
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    env["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parents[2]), env.get("PYTHONPATH", "")])
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=120)

@@ -360,3 +360,25 @@ def test_an_absurd_sale_does_not_stop_the_others(spark):
     sales = spark.createDataFrame(rows, "id_venda bigint, data_venda timestamp_ntz, id_cliente bigint, id_produto bigint, quantidade int, preco_unitario string, canal_venda string")
     found = {r.id_venda: r.receita for r in silver.typed_sales(sales).collect()}
     assert found == {1: None, 2: D("3.00")}
+
+
+def test_exact_profile_counts_values_in_narrow_rows(spark):
+    """Distinct values are those Spark tells apart: one zero, one NaN, NULL none; no row is padded per column."""
+    kinds = (
+        "i int, s string, f double, g float, d decimal(9,2), t timestamp, n timestamp_ntz, b boolean, y binary, "
+        "a array<int>, r struct<x: int, y: double>, l date"
+    )
+    at = dt.datetime(2026, 10, 25, 1, 30)
+    rows = [
+        (1, "", 0.0, 0.0, D("1.00"), at, at, True, b"\xff", [1], (1, 0.0), dt.date(2026, 1, 1)),
+        (1, " ", -0.0, -0.0, D("1.0"), at, at, True, b"\xfe", [1], (1, 0.5), dt.date(2026, 1, 1)),
+        (None, None, float("nan"), float("nan"), None, at + dt.timedelta(hours=1), None, False, b"", [], None, None),
+        (2, "", float("nan"), 1.5, D("2.00"), None, at + dt.timedelta(microseconds=1), None, None, None, (1, 0.5), None),
+    ]
+    df = spark.createDataFrame(rows, kinds)
+    wanted = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    result = profile(df, "exact")
+    assert {r.coluna: r.distintos for r in result.collect()} == wanted
+    assert {r.distintos for r in profile(df.limit(0), "exact").collect()} == {0}
+    narrow = profile(df.select("i", "s", "f"), "exact")
+    assert "Expand" not in narrow._jdf.queryExecution().optimizedPlan().toString()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -99,9 +100,15 @@ class Ledger:
     def take(self, rows: DataFrame, version: int, base: int = 0) -> DataFrame:
         """Takes in ``rows`` (the columns and ``n``) as the given version; returns the days that changed."""
         spark = rows.sparkSession
-        net = rows.groupBy(*self.names).agg(F.sum("n").cast("bigint").alias("n")).where("n <> 0")
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        self._write(net.withColumn("balde", F.coalesce(bucket, F.lit(-1))), "ledger", "balde", version)
+        # Rows go to parts of their buckets once, where equal ones meet and files are written: a few per
+        # task, and a bucket or an id with very many different rows is cut.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        bucket = F.coalesce(F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"), F.lit(-1))
+        part = F.pmod(F.xxhash64(*self.names), F.lit(4 * math.ceil(tasks / self.buckets)))
+        placed = rows.withColumns({"balde": bucket, "_part": part}).repartition("balde", "_part")
+        net = placed.groupBy("balde", "_part", *self.names).agg(F.sum("n").cast("bigint").alias("n")).where("n <> 0")
+        entries = net.select(*self.names, "n", "balde").write.mode("overwrite").partitionBy("balde")
+        entries.parquet(f"{self.home}/ledger/versao={version}")
 
         entries = self._read(spark, "ledger", "balde int")
         new, known = entries.where(F.col("versao") == version), F.col(self.key).isNotNull()

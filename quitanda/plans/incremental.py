@@ -14,7 +14,9 @@ from pyspark.sql.types import StructType
 from quitanda.functions import calendar
 from quitanda.operators.ledger import DAY, Ledger, by_order, day_of, difference, latest, read_touched, stored, write_touched
 from quitanda.plans import gold, silver
+from quitanda.session import scratch
 from quitanda.settings import DEFAULT_PERIOD, Period
+from quitanda.sources.sinks import write_files
 
 # What a refresh stores per touched day, by folder.
 STATES = {
@@ -85,8 +87,16 @@ def compact_sales(
 
 
 def _compute(ledger: Ledger, touched: DataFrame, catalogue: DataFrame, version: int, base: int) -> None:
-    """The states of the touched days; a few files per state, since states are small."""
-    sales = silver.with_sale_columns(ledger.current(touched, version, base))
+    """The states of the touched days; a few files per state, since states are small.
+
+    The days' sales are netted once and stored for the three states, below a folder that goes when they are.
+    """
+    with scratch(touched.sparkSession) as folder:
+        sales = write_files(ledger.current(touched, version, base), f"{folder}/sales")
+        _write_states(ledger, silver.with_sale_columns(sales), catalogue, version)
+
+
+def _write_states(ledger: Ledger, sales: DataFrame, catalogue: DataFrame, version: int) -> None:
     flagged = silver.flag_sales(sales, catalogue)
     paid = F.count("receita").alias("com_receita")
     money = F.sum("receita").alias("receita")

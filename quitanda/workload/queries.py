@@ -793,10 +793,11 @@ def _daily(spark, sf_dir):
 
     The first has no sale of January 1997, a tenth of all sales on a wrong day and with a wrong price,
     and a catalogue without every ninth product; the second brings January, the third the right rows
-    for the wrong ones and the whole catalogue.
+    for the wrong ones and the whole catalogue. The raw sales are a join; they are stored once, and each
+    refresh takes its part.
     """
     columns = [*raw.VENDAS_ORDER, "id_venda"]
-    right = raw.vendas(spark, sf_dir).select(*columns)
+    right = write_files(raw.vendas(spark, sf_dir).select(*columns), new_location(spark, "raw"))
     january = F.col("data_venda").between(F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1997-01-31").cast("timestamp_ntz"))
     off = F.col("id_venda") % 10 == 3
     wrong = right.withColumns(

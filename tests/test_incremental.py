@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from quitanda.operators.ledger import difference
 from quitanda.plans import gold, incremental, silver
-from quitanda.session import new_location
+from quitanda.session import new_location, path_exists
+from quitanda.sources.sinks import write_files
 
 RAW = (
     "id_venda bigint, data_venda timestamp_ntz, id_cliente bigint, id_produto bigint, quantidade int, "
     "preco_unitario double, canal_venda string"
 )
+RAW_NAMES = [c.split()[0] for c in RAW.split(", ")]
 ORDER = ["data_venda", "id_cliente"]
 PRODUCTS = "id_produto bigint, nome_produto string, categoria string, marca string, preco_atual double, data_criacao timestamp_ntz"
 
@@ -73,3 +75,30 @@ def test_inserts_corrections_removals_and_catalogue(spark):
     incremental.compact_sales(spark, columns, ORDER, home, 4)
     assert spark.read.parquet(f"{home}/notes").agg(F.max("base")).first()[0] == 4
     assert_equal(spark, home, raw, produtos)
+
+
+def test_a_refresh_nets_the_touched_sales_once(spark, monkeypatch):
+    """The three states read them stored, and nothing of that is left."""
+    stored = []
+
+    def write(df, path):
+        stored.append((df.columns, path))
+        return write_files(df, path)
+
+    monkeypatch.setattr(incremental, "write_files", write, raising=False)
+    home, raw = new_location(spark, "daily"), sales(spark, 5)
+    incremental.refresh_sales(difference(raw.limit(0), raw), products(spark, (1, None)), ORDER, home, 4)
+    assert [set(RAW_NAMES) | {"dia"}] == [set(columns) for columns, _ in stored]
+    assert not path_exists(spark, stored[0][1])
+
+
+def test_rows_of_a_batch_are_netted_where_they_are_written(spark):
+    """One shuffle brings equal rows together and buckets to files; a bucket is cut into a few of them."""
+    home, raw = new_location(spark, "daily"), sales(spark, 6, 400)
+    ledger = incremental.sales_ledger(raw.schema, ORDER, home, 2)
+    batch = difference(raw.limit(0), raw)
+    ledger.take(batch.unionByName(batch).unionByName(batch.withColumn("n", -F.col("n"))).repartition(8), 0)
+    stored = spark.read.parquet(f"{home}/ledger/versao=0")
+    assert sorted(map(str, stored.select(*RAW_NAMES, "n").collect())) == sorted(map(str, batch.select(*RAW_NAMES, "n").collect()))
+    where = F.coalesce(F.pmod(F.xxhash64("id_venda"), F.lit(2)).cast("int"), F.lit(-1))
+    assert stored.where(F.col("balde") != where).isEmpty()

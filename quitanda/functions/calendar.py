@@ -34,6 +34,16 @@ def weekday_name(number: Column) -> Column:
     return F.when(number.between(1, 7), F.get(names, number - 1)).otherwise(F.lit(UNKNOWN_WEEKDAY))
 
 
+def columns(moment: Column) -> dict[str, Column]:
+    """All calendar columns of a sale by name."""
+    return {
+        "data": day(moment),
+        "hora": hour_of_day(moment),
+        "dia_semana_num": weekday_number(moment),
+        "dia_semana": weekday_name(weekday_number(moment)),
+    }
+
+
 def parse_timestamp(text: Column) -> Column:
     """Text to timestamp; text that is no timestamp becomes NULL instead of failing the job."""
     return text.try_cast("timestamp_ntz")

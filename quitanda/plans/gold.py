@@ -6,6 +6,8 @@ one row to one row, and neither a best seller nor the many unknown products form
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -191,22 +193,29 @@ def vendas_detalhadas(
     period: Period | None = None,
     hot_products: DataFrame | None = None,
     hot_customers: DataFrame | None = None,
+    place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One wide row per sale: the sale, its product, its customer with segment and region."""
-    sales = vendas.where(calendar.within(F.col("data"), period)).select(
-        "id_venda", "data_venda", "data", "dia_semana_num", "dia_semana", "hora", "canal_venda",
-        "id_produto", "id_cliente", "quantidade", "preco_unitario", "receita",
-    )
+    """One wide row per sale: the sale, its product, its customer with segment and region.
+
+    ``place`` lays out the rows, as `sinks.clustered` does. Sales must then have their revenue and
+    calendar columns as `silver.with_sale_columns` makes them: these are not moved but made anew in place.
+    """
+    made = {
+        "receita": money.line_revenue(F.col("quantidade"), F.col("preco_unitario")),
+        **calendar.columns(F.col("data_venda")),
+    }
+    carried = ["id_venda", "data_venda", "canal_venda", "id_produto", "id_cliente", "quantidade", "preco_unitario"]
+    sales = vendas.where(calendar.within(F.col("data"), period)).select(*carried, *([] if place else made))
     spread_by = ["id_venda", "id_produto", "id_cliente", "data_venda"]
     people = segmentos.select("id_cliente", "nome_cliente", "estado", "nome_estado", "regiao", "segmento_cliente")
-    with_product = lookup(sales, _catalogue(produtos, "data_criacao"), "id_produto", spread_by, hot_products)
-    labelled = with_product.withColumns(
-        {
-            **_described(),
-            "venda_antes_do_cadastro": F.coalesce(F.col("data_venda") < F.col("data_criacao"), F.lit(False)),
-        }
-    )
-    return lookup(labelled, people, "id_cliente", spread_by, hot_customers).select(
+    catalogue = _catalogue(produtos, "data_criacao").withColumn("_produto", F.lit(True))
+    with_product = lookup(sales, catalogue, "id_produto", spread_by, hot_products)
+    early = F.coalesce(F.col("data_venda") < F.col("data_criacao"), F.lit(False))
+    with_product = with_product.withColumn("venda_antes_do_cadastro", early).drop("data_criacao")
+    detail = lookup(with_product, people, "id_cliente", spread_by, hot_customers)
+    if place:
+        detail = place(detail).withColumns(made)
+    return detail.withColumns(_described()).select(
         "id_venda", "data_venda", "data", "dia_semana_num", "dia_semana", "hora", "canal_venda", "id_produto",
         "nome_produto", "categoria", "marca", "faixa_preco", "id_cliente", "nome_cliente", "estado", "nome_estado",
         "regiao", "segmento_cliente", "quantidade", "preco_unitario", "receita", "produto_cadastrado",

@@ -6,7 +6,7 @@ need none of its flags, or that join after aggregating, start from them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,16 +42,16 @@ def silver_clientes(clientes: DataFrame, order: Sequence[str] | None = None) ->
     return with_state(named)
 
 
+def with_price(once: DataFrame) -> DataFrame:
+    return once.withColumn("preco_unitario", money.price(F.col("preco_unitario")))
+
+
 def with_sale_columns(once: DataFrame) -> DataFrame:
     """Types prices and adds revenue and calendar columns to sales that are unique by id."""
-    moment = F.col("data_venda")
-    return once.withColumn("preco_unitario", money.price(F.col("preco_unitario"))).withColumns(
+    return with_price(once).withColumns(
         {
             "receita": money.line_revenue(F.col("quantidade"), F.col("preco_unitario")),
-            "data": calendar.day(moment),
-            "hora": calendar.hour_of_day(moment),
-            "dia_semana_num": calendar.weekday_number(moment),
-            "dia_semana": calendar.weekday_name(calendar.weekday_number(moment)),
+            **calendar.columns(F.col("data_venda")),
         }
     )
 
@@ -76,10 +76,21 @@ def flag_sales(sales: DataFrame, produtos: DataFrame, hot: DataFrame | None = No
 
 
 def silver_vendas(
-    vendas: DataFrame, produtos: DataFrame, order: Sequence[str] | None = None, hot: DataFrame | None = None
+    vendas: DataFrame,
+    produtos: DataFrame,
+    order: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
+    place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """``hot``: hot products, see `lookup`."""
-    return flag_sales(typed_sales(vendas, order), produtos, hot)
+    """``hot``: hot products, see `lookup`. ``place`` lays out the rows, as `sinks.clustered` does.
+
+    Revenue and calendar columns are added after all rows have moved, since they follow from the others.
+    """
+    once = with_price(keep_first(vendas, ["id_venda"], order))
+    flagged = flag_sales(once, produtos, hot)
+    placed = place(flagged) if place else flagged
+    columns = dict.fromkeys([*with_sale_columns(once).columns, *flagged.columns])
+    return with_sale_columns(placed).select(*columns)
 
 
 def typed_competitor_prices(precos: DataFrame, order: Sequence[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import json
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,7 +16,10 @@ from quitanda.session import path_exists
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Writes to ``path``, which must not exist yet, and reads the files back."""
-    df.write.mode("error").format(fmt).save(path)
+    writer = df.write.mode("error").format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")  # a quarter smaller than Spark's default
+    writer.save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
@@ -165,7 +168,7 @@ def into_catalog(
     return CatalogStore(catalog, silver, gold, location, fmt, pointer)
 
 
-def clustered(df: DataFrame, by: str, then: str) -> DataFrame:
+def clustered(df: DataFrame, by: str | Column, then: str) -> DataFrame:
     """Rows grouped by ``by``, so that a filter on it skips files and row groups by their min/max.
 
     The range includes ``then``, a column that differs between rows: a single value of ``by`` that

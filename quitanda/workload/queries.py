@@ -6,6 +6,7 @@ import uuid
 import datetime as dt
 from collections.abc import Callable
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -680,7 +681,10 @@ def source_three_part_name(spark, sf_dir):
 @query
 def sink_clustered_by_date(spark, sf_dir):
     """Stores the detail mart clustered by day, and sums up what a day filter reads back."""
-    detail = clustered(gold_vendas_detalhadas(spark, sf_dir), "data", "id_venda")
+    by_day = partial(clustered, by=calendar.day(F.col("data_venda")), then="id_venda")
+    detail = gold.vendas_detalhadas(
+        _sales(spark, sf_dir), silver_produtos(spark, sf_dir), _segments(spark, sf_dir), place=by_day
+    )
     stored = write_files(detail, new_location(spark, "vendas_detalhadas"))
     return stored.where(calendar.within(F.col("data"), PERIOD)).groupBy("data").agg(
         F.count("*").alias("total_vendas"), F.sum("receita").alias("receita")

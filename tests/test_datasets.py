@@ -350,3 +350,34 @@ def test_favourite_channel(clean):
     segments = gold.customer_segments(clean["clientes"], clean["vendas"], PERIOD, SegmentLimits(D("2000"), D("51")))
     rows = {r.segmento_cliente: (r.canal_venda, r.total_vendas) for r in kpi.favourite_channel(clean["vendas"], segments).collect()}
     assert rows == {"VIP": ("ecommerce", 1), "TOP_TIER": ("ecommerce", 2)}
+
+
+def placed(seen):
+    from quitanda.sources.sinks import clustered
+
+    def by_day(df):
+        seen.append(set(df.columns))
+        return clustered(df, F.col("data_venda").cast("date"), "id_venda")
+
+    return by_day
+
+
+MADE_IN_PLACE = {"receita", "data", "hora", "dia_semana_num", "dia_semana"}
+
+
+def test_silver_sales_move_without_columns_that_follow_from_others(raw, clean):
+    seen = []
+    moved = silver.silver_vendas(raw["vendas"], clean["produtos"], place=placed(seen))
+    assert seen and not seen[0] & MADE_IN_PLACE
+    assert moved.schema.simpleString() == clean["vendas"].schema.simpleString()
+    assert sorted(map(str, moved.collect())) == sorted(map(str, clean["vendas"].collect()))
+    assert "range" in moved._jdf.queryExecution().toString()
+
+
+def test_detail_moves_without_columns_that_follow_from_others(clean):
+    segments, seen = gold.customer_segments(clean["clientes"], clean["vendas"], PERIOD), []
+    plain = gold.vendas_detalhadas(clean["vendas"], clean["produtos"], segments)
+    moved = gold.vendas_detalhadas(clean["vendas"], clean["produtos"], segments, place=placed(seen))
+    assert seen and not seen[0] & (MADE_IN_PLACE | {"produto_cadastrado", "data_criacao"})
+    assert moved.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(str, moved.collect())) == sorted(map(str, plain.collect()))

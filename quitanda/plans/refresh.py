@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from quitanda.functions import calendar
 from quitanda.operators import expectations
 from quitanda.operators.expectations import EXPECTATIONS
 from quitanda.operators.lookup import hot_keys
@@ -67,19 +70,22 @@ def _stored(
         done.tables[f"gold.{name}"] = store("gold", name, documented(df, GOLD_COMMENTS[name]))
         return done.tables[f"gold.{name}"]
 
-    hot = {c: write_files(hot_keys(raw["vendas"], c), f"{folder}/hot_{c}") for c in ("id_produto", "id_cliente")}
+    def hot(sales: DataFrame, key: str) -> DataFrame:
+        return write_files(hot_keys(sales, key), f"{folder}/hot_{key}")
+
+    by_day = partial(clustered, by=calendar.day(F.col("data_venda")), then="id_venda")
+    hot_products = hot(raw["vendas"], "id_produto")
     produtos = clean("produtos", silver.silver_produtos(raw["produtos"], orders.get("produtos")))
     clientes = clean("clientes", silver.silver_clientes(raw["clientes"], orders.get("clientes")))
-    vendas = silver.silver_vendas(raw["vendas"], produtos, orders.get("vendas"), hot["id_produto"])
-    vendas = clean("vendas", clustered(vendas, "data", "id_venda"))
+    vendas = clean("vendas", silver.silver_vendas(raw["vendas"], produtos, orders.get("vendas"), hot_products, by_day))
+    hot_customers = hot(vendas, "id_cliente")  # of the stored sales: the raw ones may be a join
     precos = silver.silver_preco_competidores(raw["preco_competidores"], produtos, orders.get("preco_competidores"))
     precos = clean("preco_competidores", precos)
 
     segmentos = mart("clientes_segmentacao", gold.clientes_segmentacao(clientes, vendas, period, limits, folder))
     mart("vendas_temporais", gold.vendas_temporais(vendas, period))
     mart("vendas_produtos", gold.vendas_produtos(vendas, produtos, folder=folder))
-    detail = gold.vendas_detalhadas(vendas, produtos, segmentos, None, hot["id_produto"], hot["id_cliente"])
-    mart("vendas_detalhadas", clustered(detail, "data", "id_venda"))
+    mart("vendas_detalhadas", gold.vendas_detalhadas(vendas, produtos, segmentos, None, hot_products, hot_customers, by_day))
     mart("precos_competitividade", gold.precos_competitividade(produtos, precos, vendas, period))
     mart("vendas_totais", gold.vendas_totais(vendas))
     mart("clientes_por_regiao", gold.clientes_por_regiao(clientes))

@@ -381,3 +381,21 @@ def test_detail_moves_without_columns_that_follow_from_others(clean):
     assert seen and not seen[0] & (MADE_IN_PLACE | {"produto_cadastrado", "data_criacao"})
     assert moved.schema.simpleString() == plain.schema.simpleString()
     assert sorted(map(str, moved.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_refresh_finds_hot_customers_in_the_stored_sales(spark, raw, monkeypatch):
+    from quitanda.plans import refresh as plan
+    from quitanda.session import new_location
+    from quitanda.sources.sinks import into_files
+
+    seen, count = {}, plan.hot_keys
+    monkeypatch.setattr(plan, "hot_keys", lambda df, key: seen.setdefault(key, df) and count(df, key))
+    sales = raw["vendas"].where("id_venda IS NOT NULL AND id_produto IS NOT NULL")
+    tables = {
+        "produtos": raw["produtos"].where("id_produto < 3"),
+        "clientes": raw["clientes"].where("id_cliente IS NOT NULL"),
+        "vendas": sales,
+        "preco_competidores": raw["precos"],
+    }
+    plan.refresh(tables, into_files(new_location(spark, "warehouse")))
+    assert seen["id_produto"] is sales and seen["id_cliente"].inputFiles()

@@ -44,6 +44,7 @@ def lookup(
     spread_by: Sequence[str | Column],
     hot: DataFrame | None = None,
     suffix: str = "_tabela",
+    cut: tuple[str, int] | None = None,
 ) -> DataFrame:
     """``facts`` left join ``table`` on ``key``; ``table`` has one row per key.
 
@@ -53,7 +54,13 @@ def lookup(
     splits the hot keys by plan: their facts carry a part number, and only their few table rows are
     repeated once per part. Which keys are hot is only a routing hint; the result does not depend
     on it. Columns of ``table`` that ``facts`` has as well get ``suffix``.
+
+    ``cut`` is (column, parts): instead of hot keys, every key is cut into so many parts by ``spread_by``, and
+    the table is repeated as often. The column keeps the part number, so that rows grouped by the key, that column
+    and what decides on it need no further shuffle.
     """
+    if cut and hot is not None:
+        raise ValueError("keys are cut either all or by hot")
     renamed = {c: c + suffix if c in facts.columns else c for c in table.columns if c != key}
     clash = sorted(set(renamed.values()) & set(facts.columns))
     if clash:
@@ -64,6 +71,12 @@ def lookup(
     found = [F.col(f"_t_{i}").alias(new) for i, new in enumerate(renamed.values())]
     drawn = F.xxhash64(*spread_by)
     anywhere = F.pmod(drawn, F.lit(PARTS_PER_TASK * _tasks(facts.sparkSession)))
+    if cut:
+        # An expression, so that the shuffle does not carry it.
+        part = F.when(F.col(key).isNull(), anywhere).otherwise(F.pmod(drawn, F.lit(cut[1]))).cast("int")
+        parts = table.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(cut[1] - 1))))
+        joined = facts.join(parts, (F.col(key) == F.col("_key")) & (part == F.col("_at")), "left")
+        return joined.select(*facts.columns, *found, part.alias(cut[0]))
     if hot is None:
         spread = facts.withColumn("_part", F.when(F.col(key).isNull(), anywhere).otherwise(0).cast("int"))
         parts = table.withColumn("_at", F.lit(0))

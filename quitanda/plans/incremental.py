@@ -12,24 +12,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quitanda.functions import calendar
-from quitanda.operators.ledger import DAY, Ledger, by_order, day_of, difference, latest, read_touched, stored, write_touched
+from quitanda.operators.ledger import DAY, Ledger, by_order, day_of, difference, latest, read_touched, write_touched
+from quitanda.operators.ledger import stored as stored_rows
+from quitanda.operators.sieve import sieve, sifted
 from quitanda.plans import gold, silver
-from quitanda.session import scratch
+from quitanda.session import scratch, shuffles_removed
 from quitanda.settings import DEFAULT_PERIOD, Period
 from quitanda.sources.sinks import write_files
 
+# Columns of a sale that the states need, and its id.
+SALE = ["id_venda", "data_venda", "id_cliente", "id_produto", "quantidade", "preco_unitario", "canal_venda"]
 # What a refresh stores per touched day, by folder.
 STATES = {
     "horas": (
         "data date, dia_semana_num int, dia_semana string, hora int, canal_venda string, total_vendas bigint, "
         "itens_vendidos bigint, receita decimal(28,2), clientes_unicos bigint"
     ),
-    "produtos": "data date, id_produto bigint, total_vendas bigint, itens_vendidos bigint, receita decimal(28,2), com_receita bigint",
+    "produtos": (
+        "data date, id_produto bigint, total_vendas bigint, itens_vendidos bigint, receita decimal(28,2), com_receita bigint, "
+        "nao_cadastradas bigint, antes_do_cadastro bigint"
+    ),
     "totais": (
         "data date, total_vendas bigint, receita decimal(28,2), com_receita bigint, nao_cadastradas bigint, antes_do_cadastro bigint"
     ),
 }
 CATALOGUE = "id_produto bigint, data_criacao timestamp_ntz"
+# Parts the days of every product are dealt out to, so that a best seller is not one task's.
+PARTS = 4
 
 
 def sales_ledger(columns: StructType, order: list[str], home: str, buckets: int = 64, grain: int = DAY) -> Ledger:
@@ -38,12 +47,19 @@ def sales_ledger(columns: StructType, order: list[str], home: str, buckets: int
 
 
 def refresh_sales(
-    changes: DataFrame, produtos: DataFrame, order: list[str], home: str, buckets: int = 64, grain: int = DAY
+    changes: DataFrame,
+    produtos: DataFrame,
+    order: list[str],
+    home: str,
+    buckets: int = 64,
+    grain: int = DAY,
+    stored: bool = False,
 ) -> DataFrame:
     """Takes in changed raw sales; returns the days computed anew (one column, ``dia``).
 
     ``changes`` are raw sales with ``n``: 1 for a row that came, -1 for one that went (see
-    `ledger.difference`); a corrected row is both. ``produtos`` is the clean catalogue as it is now: where a
+    `ledger.difference`); a corrected row is both. They are read several times: ``stored`` says that they are
+    cheap to read. ``produtos`` is the clean catalogue as it is now: where a
     product came, went or got another creation date since the last refresh, the days it was sold on
     count as touched. ``order`` decides between copies of a sale, as in `silver.typed_sales`; it,
     ``buckets`` and ``grain`` (days, or months where days are small) must stay the same. Of the ledger the buckets of changed ids are read, of the sales
@@ -53,19 +69,23 @@ def refresh_sales(
     spark = changes.sparkSession
     columns = StructType([f for f in changes.schema if f.name != "n"])
     ledger = sales_ledger(columns, order, home, buckets, grain)
-    last, _, base = ledger.state(spark)
-    version = last + 1
-    sold = ledger.take(changes, version, base)
-
-    now = produtos.select("id_produto", "data_criacao")
-    now.write.mode("overwrite").parquet(f"{home}/catalogo/versao={version}")
-    catalogue = stored(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint")
-    before, after = (catalogue.where(F.col("versao") == v).drop("versao") for v in (last, version))
-    changed = difference(before, after).select("id_produto").distinct()
-    relabelled = _states(spark, home, "produtos", last, base).join(changed, "id_produto", "left_semi").select("dia").distinct()
-    touched = write_touched(sold.union(relabelled).distinct(), home, version)
-    _compute(ledger, touched, after, version, base)
-    ledger.note(spark, version, version, base)
+    with shuffles_removed(spark):
+        last, _, base = ledger.state(spark)
+        version = last + 1
+        sold = ledger.take(changes, version, base, stored)
+
+        now = produtos.select("id_produto", "data_criacao")
+        now.write.mode("overwrite").parquet(f"{home}/catalogo/versao={version}")
+        catalogue = stored_rows(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint")
+        before, after = (catalogue.where(F.col("versao") == v).drop("versao") for v in (last, version))
+        changed = difference(before, after).select("id_produto").distinct()
+        # Days touched anyway need no look at their products, and few others have one that may have changed.
+        elsewhere = _states(spark, home, "produtos", last, base).join(F.broadcast(sold), "dia", "left_anti")
+        maybe = sifted(elsewhere.select("id_produto", "dia"), "id_produto", sieve(changed, "id_produto")).where("_may")
+        relabelled = maybe.join(changed, "id_produto", "left_semi").select("dia").distinct()
+        touched = write_touched(sold.union(relabelled).distinct(), home, version)
+        _compute(ledger, touched, after, version, base)
+        ledger.note(spark, version, version, base)
     return touched
 
 
@@ -77,11 +97,11 @@ def compact_sales(
     version = ledger.compact(spark)
     if version is None:
         return
-    catalogue = stored(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint")
+    catalogue = stored_rows(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint")
     now = catalogue.where(F.col("versao") == version - 1).drop("versao")
     now.write.mode("overwrite").parquet(f"{home}/catalogo/versao={version}")
     days = ledger.days(spark).where(F.col("versao") == version).select("dia").distinct()
-    now = stored(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint").where(F.col("versao") == version).drop("versao")
+    now = stored_rows(spark, f"{home}/catalogo", f"{CATALOGUE}, versao bigint").where(F.col("versao") == version).drop("versao")
     _compute(ledger, write_touched(days, home, version), now, version, version)
     ledger.note(spark, version, version, version)
 
@@ -89,39 +109,45 @@ def compact_sales(
 def _compute(ledger: Ledger, touched: DataFrame, catalogue: DataFrame, version: int, base: int) -> None:
     """The states of the touched days; a few files per state, since states are small.
 
-    The days' sales are netted once and stored for the three states, below a folder that goes when they are.
+    What of the days' sales must be netted is netted once and stored for the three states, below a folder
+    that goes when they are; the rest is read from the days as it is.
     """
     with scratch(touched.sparkSession) as folder:
-        sales = write_files(ledger.current(touched, version, base), f"{folder}/sales")
+        sure, netted = ledger.current_parts(touched, version, base, folder, SALE)
+        sales = sure.unionByName(write_files(netted, f"{folder}/sales"))
         _write_states(ledger, silver.with_sale_columns(sales), catalogue, version)
 
 
 def _write_states(ledger: Ledger, sales: DataFrame, catalogue: DataFrame, version: int) -> None:
-    flagged = silver.flag_sales(sales, catalogue)
-    paid = F.count("receita").alias("com_receita")
-    money = F.sum("receita").alias("receita")
-    states = {
-        "horas": gold.vendas_temporais(sales, None).withColumn("dia", day_of(F.col("data"), ledger.grain)),
-        "produtos": sales.groupBy("dia", "data", "id_produto").agg(
-            F.count("*").alias("total_vendas"), F.sum("quantidade").alias("itens_vendidos"), money, paid
-        ),
-        "totais": flagged.groupBy("dia", "data").agg(
-            F.count("*").alias("total_vendas"),
-            money,
-            paid,
-            F.count_if(~F.col("produto_cadastrado")).alias("nao_cadastradas"),
-            F.count_if("venda_antes_do_cadastro").alias("antes_do_cadastro"),
-        ),
-    }
-    for name, df in states.items():
+    def write(name: str, df: DataFrame) -> DataFrame:
         kinds = [c.split() for c in STATES[name].split(", ")]
         typed = df.select("dia", *[F.col(c).cast(t).alias(c) for c, t in kinds])
-        typed.hint("rebalance", F.col("dia")).write.mode("overwrite").parquet(f"{ledger.home}/{name}/versao={version}")
+        laid = typed.sortWithinPartitions("data", "id_produto") if name == "produtos" else typed.hint("rebalance", F.col("dia"))
+        laid.write.mode("overwrite").option("compression", "zstd").parquet(f"{ledger.home}/{name}/versao={version}")
+        return sales.sparkSession.read.schema(f"dia string, {STATES[name]}").parquet(f"{ledger.home}/{name}/versao={version}")
+
+    in_day = lambda df: df.withColumn("dia", day_of(F.col("data"), ledger.grain))
+    write("horas", in_day(gold.vendas_temporais(sales, None)))
+
+    # One shuffle of narrow rows, by product, serves the catalogue, the states per product and, from these, the totals.
+    narrow = sales.select("id_produto", "data_venda", "quantidade", "receita")
+    flagged = silver.flag_sales(narrow, catalogue, cut=("_parte", calendar.day(F.col("data_venda")), PARTS))
+    per_product = flagged.groupBy("_parte", "id_produto", calendar.day(F.col("data_venda")).alias("data")).agg(
+        F.count("*").alias("total_vendas"),
+        F.sum("quantidade").alias("itens_vendidos"),
+        F.sum("receita").alias("receita"),
+        F.count("receita").alias("com_receita"),
+        F.count_if(~F.col("produto_cadastrado")).alias("nao_cadastradas"),
+        F.count_if("venda_antes_do_cadastro").alias("antes_do_cadastro"),
+    )
+    per_product = write("produtos", in_day(per_product))
+    added = ["total_vendas", "receita", "com_receita", "nao_cadastradas", "antes_do_cadastro"]
+    write("totais", per_product.groupBy("dia", "data").agg(*[F.sum(c).alias(c) for c in added]))
 
 
 def _states(spark: SparkSession, home: str, name: str, version: int, base: int) -> DataFrame:
     """The states of all days, each from the version that last touched it."""
-    rows = stored(spark, f"{home}/{name}", f"dia string, {STATES[name]}, versao bigint")
+    rows = stored_rows(spark, f"{home}/{name}", f"dia string, {STATES[name]}, versao bigint")
     return latest(rows.where(F.col("versao").between(base, version)), read_touched(spark, home, version, base))
 
 

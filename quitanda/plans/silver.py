@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quitanda.functions import calendar, money, text
@@ -61,10 +61,16 @@ def typed_sales(vendas: DataFrame, order: Sequence[str] | None = None) -> DataFr
     return with_sale_columns(keep_first(vendas, ["id_venda"], order))
 
 
-def flag_sales(sales: DataFrame, produtos: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Marks sales of products outside the catalogue and sales older than their product's entry."""
+def flag_sales(
+    sales: DataFrame, produtos: DataFrame, hot: DataFrame | None = None, cut: tuple[str, Column, int] | None = None
+) -> DataFrame:
+    """Marks sales of products outside the catalogue and sales older than their product's entry.
+
+    ``cut``: see `lookup`; sales without a product are then dealt out by that value as well.
+    """
     known = produtos.select("id_produto", F.col("data_criacao").alias("_criado"), F.lit(True).alias("_existe"))
-    found = lookup(sales, known, "id_produto", ["id_venda", "id_cliente", "data_venda"], hot)
+    spread_by = [cut[1]] if cut else ["id_venda", "id_cliente", "data_venda"]
+    found = lookup(sales, known, "id_produto", spread_by, hot, cut=cut and (cut[0], cut[2]))
     early = F.coalesce(F.col("data_venda") < F.col("_criado"), F.lit(False))
     return found.withColumns(
         {

@@ -70,3 +70,21 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder.rpartition("/")[0])
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it has ended, not when the driver next collects garbage.
+
+    For a chain of jobs that each store what they make: a query that is run again computes its shuffles again.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)

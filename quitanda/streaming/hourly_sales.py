@@ -73,7 +73,7 @@ def refresh_hourly_sales(sales: DataFrame, home: str, buckets: int = 64) -> Data
     newest = new.agg(F.max("lote")).first()[0]
     if newest is not None:
         version += 1
-        days = ledger.take(new.select(*COLUMNS, F.lit(1).cast("bigint").alias("n")), version, base)
+        days = ledger.take(new.select(*COLUMNS, F.lit(1).cast("bigint").alias("n")), version, base, stored=True)
         _compute(ledger, write_touched(days, home, version), version, base)
         ledger.note(spark, version, newest, base)
     return read_hourly_sales(spark, home)

@@ -24,7 +24,7 @@ from quitanda.operators.ledger import MONTH, difference
 from quitanda.plans import gold, incremental, kpi, silver
 from quitanda.plans.comments import GOLD_COMMENTS
 from quitanda.plans.refresh import refresh
-from quitanda.session import new_location
+from quitanda.session import new_location, scratch, shuffles_removed
 from quitanda.settings import Period, SegmentLimits
 from quitanda.sources import benchmark_tables as raw
 from quitanda.sources.raw import list_tables, read_table
@@ -797,26 +797,27 @@ def _daily(spark, sf_dir):
 
     The first has no sale of January 1997, a tenth of all sales on a wrong day and with a wrong price,
     and a catalogue without every ninth product; the second brings January, the third the right rows
-    for the wrong ones and the whole catalogue. The raw sales are a join; they are stored once, and each
-    refresh takes its part.
+    for the wrong ones and the whole catalogue. The raw sales are a join; they are stored once, each
+    refresh takes its part, and they go when all have.
     """
     columns = [*raw.VENDAS_ORDER, "id_venda"]
-    right = write_files(raw.vendas(spark, sf_dir).select(*columns), new_location(spark, "raw"))
     january = F.col("data_venda").between(F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1997-01-31").cast("timestamp_ntz"))
     off = F.col("id_venda") % 10 == 3
-    wrong = right.withColumns(
-        {
-            "data_venda": F.when(off, F.expr("data_venda + interval 40 hours")).otherwise(F.col("data_venda")),
-            "preco_unitario": F.when(off, F.col("preco_unitario") + 7).otherwise(F.col("preco_unitario")),
-        }
-    )
+    come = lambda df: df.withColumn("n", F.lit(1).cast("bigint"))
     produtos, home = silver_produtos(spark, sf_dir), new_location(spark, "daily")
     some = produtos.where("id_produto % 9 <> 0")
-    come = lambda df: df.withColumn("n", F.lit(1).cast("bigint"))
-    corrected = difference(wrong.where(off), right.where(off))
-    steps = [(come(wrong.where(~january)), some), (come(wrong.where(january)), some), (corrected, produtos)]
-    for changes, catalogue in steps:
-        incremental.refresh_sales(changes, catalogue, raw.VENDAS_ORDER, home, 16, MONTH)
+    with shuffles_removed(spark), scratch(spark) as folder:
+        right = write_files(raw.vendas(spark, sf_dir).select(*columns), f"{folder}/raw")
+        wrong = right.withColumns(
+            {
+                "data_venda": F.when(off, F.expr("data_venda + interval 40 hours")).otherwise(F.col("data_venda")),
+                "preco_unitario": F.when(off, F.col("preco_unitario") + 7).otherwise(F.col("preco_unitario")),
+            }
+        )
+        corrected = difference(wrong.where(off), right.where(off))
+        steps = [(come(wrong.where(~january)), some, True), (come(wrong.where(january)), some, False), (corrected, produtos, False)]
+        for changes, catalogue, stored in steps:
+            incremental.refresh_sales(changes, catalogue, raw.VENDAS_ORDER, home, 16, MONTH, stored)
     return home, produtos
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quitanda.operators.ledger import difference
 from quitanda.plans import gold, incremental, silver
-from quitanda.session import new_location, path_exists
+from quitanda.session import new_location, path_exists, shuffles_removed
 from quitanda.sources.sinks import write_files
 
 RAW = (
@@ -102,3 +102,27 @@ def test_rows_of_a_batch_are_netted_where_they_are_written(spark):
     assert sorted(map(str, stored.select(*RAW_NAMES, "n").collect())) == sorted(map(str, batch.select(*RAW_NAMES, "n").collect()))
     where = F.coalesce(F.pmod(F.xxhash64("id_venda"), F.lit(2)).cast("int"), F.lit(-1))
     assert stored.where(F.col("balde") != where).isEmpty()
+
+
+def test_totals_and_products_come_from_one_shuffle_of_sales(spark):
+    """The states per product hold what the totals add up; no product's days are all one task's."""
+    home, raw = new_location(spark, "daily"), sales(spark, 7, 200)
+    produtos = products(spark, (1, dt.datetime(2026, 2, 2, 9)), (2, None))
+    incremental.refresh_sales(difference(raw.limit(0), raw), produtos, ORDER, home, 4)
+    assert_equal(spark, home, raw, produtos)
+    states = spark.read.parquet(f"{home}/produtos")
+    assert states.groupBy("data", "id_produto").count().where("count > 1").isEmpty()
+    added = ["total_vendas", "receita", "com_receita", "nao_cadastradas", "antes_do_cadastro"]
+    by_product, totals = (df.agg(*[F.sum(c).alias(c) for c in added]).first() for df in (states, spark.read.parquet(f"{home}/totais")))
+    assert by_product == totals and totals.nao_cadastradas > 0 and totals.antes_do_cadastro > 0
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(setting, None), []
+    with shuffles_removed(spark):
+        seen.append(spark.conf.get(setting))
+    assert seen == ["true"] and spark.conf.get(setting, None) == before
+    home, raw = new_location(spark, "daily"), sales(spark, 8)
+    incremental.refresh_sales(difference(raw.limit(0), raw), products(spark, (1, None)), ORDER, home, 4)
+    assert spark.conf.get(setting, None) == before

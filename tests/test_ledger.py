@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from quitanda.operators.dedupe import keep_first
-from quitanda.operators.ledger import by_order, difference, write_touched
+from quitanda.operators.ledger import Ledger, by_order, difference, write_touched
 from quitanda.session import new_location
 from quitanda.streaming import hourly_sales as hourly
 from quitanda.streaming.hourly_sales import compact_hourly_sales, hourly_sales, read_hourly_sales, refresh_hourly_sales, sales_stream
@@ -165,3 +165,64 @@ def test_difference_counts_repeats(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "a int, b string")
     b = spark.createDataFrame([(1, "x"), (3, "y")], "a int, b string")
     assert sorted(map(tuple, difference(a, b).collect()), key=str) == [(1, "x", -1), (2, None, -1), (3, "y", 1)]
+
+
+def test_a_row_alone_with_its_id_is_not_shuffled(spark, monkeypatch):
+    """What is marked in a shuffle are rows that may share their id, in the batch or with earlier ones."""
+    shuffled = []
+    right = Ledger._marked
+
+    def marked(self, rows, *more):
+        shuffled.append(sorted(str(r[0]) for r in rows.select("id_venda").collect()))
+        return right(self, rows, *more)
+
+    monkeypatch.setattr(Ledger, "_marked", marked)
+    home = new_location(spark, "ledger")
+    ledger = _ledger(spark, home)
+    sale = lambda i, day: (i, dt.datetime(2026, 1, day, 9), 1, "web", 1, D("1.00"))
+    batches = [[sale(i, 1) for i in range(50)] + [sale(7, 2), sale(None, 3)], [sale(i, 2) for i in range(60, 90)] + [sale(8, 1), sale(9, 2)]]
+    for number, batch in enumerate(batches):
+        ledger.take(spark.createDataFrame(batch, SALES).withColumn("n", F.lit(1).cast("bigint")), number)
+    assert shuffled == [["7", "7", "None"], ["8", "8", "9", "9"]]
+    seen = ledger.current(ledger.days(spark).select("dia").distinct(), 1).drop("dia")
+    wanted = keep_first(spark.createDataFrame([r for b in batches for r in b], SALES), ["id_venda"], ["data_venda"])
+    assert sorted(map(str, seen.collect())) == sorted(map(str, wanted.select(seen.columns).collect()))
+
+
+def test_only_what_may_be_taken_away_is_netted(spark):
+    home = new_location(spark, "ledger")
+    ledger = _ledger(spark, home)
+    sale = lambda i, day: (i, dt.datetime(2026, 1, day, 9), i, "web", 1, D("1.00"))
+    versions = [[sale(i, 1) for i in range(40)], [sale(i, 1) for i in range(39)] + [sale(39, 2)], [sale(i, 1) for i in range(40)]]
+    now = spark.createDataFrame([], SALES)
+    for number, rows in enumerate(versions):
+        after = spark.createDataFrame(rows, SALES)
+        ledger.take(difference(now, after), number)
+        now, everywhere = after, ledger.days(spark).select("dia").distinct()
+        whole = sorted(map(str, ledger.current(everywhere, number).drop("dia").collect()))
+        assert whole == sorted(map(str, after.collect()))
+        for needed in (None, ["id_venda", "data_venda", "canal_venda"]):
+            sure, netted = ledger.current_parts(everywhere, number, needed=needed)
+            assert sure.columns == netted.columns == [*(needed or ledger.names), "dia"]
+            assert netted.count() == 0 and sure.count() == 40  # what came last, 39 among it, is not netted
+
+
+def test_an_id_with_very_many_rows_is_cut(spark):
+    """Its rows lie in many parts, and the first of all of them counts, before and after a correction."""
+    home = new_location(spark, "ledger")
+    ledger = _ledger(spark, home)
+    hot = [(1, dt.datetime(2026, 1, 1 + i % 28, i % 24, i % 60), i, "web", 1, D("1.00")) for i in range(300)]
+    rows = hot + [(i % 40, dt.datetime(2026, 2, 1 + i % 28), 1, "shop", 1, D("2.00")) for i in range(100)]
+    before = spark.createDataFrame([], SALES)
+    for number, some in enumerate([rows, rows[3:], rows[2:300]]):
+        after = spark.createDataFrame(some, SALES)
+        ledger.take(difference(before, after), number)
+        before = after
+        seen = ledger.current(ledger.days(spark).select("dia").distinct(), number).drop("dia")
+        wanted = keep_first(after, ["id_venda"], ["data_venda"])
+        assert sorted(map(str, seen.collect())) == sorted(map(str, wanted.select(seen.columns).collect())), number
+    marked = ledger._marked(spark.createDataFrame(rows, SALES).withColumn("n", F.lit(1)), F.col("id_venda").isNotNull(), F.lit(0))
+    # Where no earlier row is known, only the first counts.
+    assert [r.vale for r in marked.where("id_venda = 1 AND vale <> 0").collect()] == [1]
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert "_hot" in plan

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quitanda.operators.dedupe import keep_first
 from quitanda.operators.lookup import hot_keys, lookup
 from quitanda.operators.ordered import ordered_totals
+from quitanda.operators.sieve import sieve, sifted
 
 
 def rows(df) -> Counter:
@@ -239,3 +240,29 @@ def test_slices_hold_similar_numbers_of_tied_rows(spark, many_slices):
         .collect()
     )
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 5000
+
+
+def test_a_sieve_never_misses_a_key(spark):
+    keys = spark.range(0, 3000, 3).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
+    rows = spark.range(3000).select(F.when(F.col("id") != 1, F.col("id")).alias("k"), F.lit("x").alias("v"))
+    told = sifted(rows, "k", sieve(keys, "k"))
+    assert told.columns == ["k", "v", "_may"] and told.count() == 3000
+    passed = {r.k for r in told.where("_may").collect()}
+    assert passed >= set(range(3, 3000, 3)) and len(passed) < 1100 and None not in passed
+    assert told.where("_may IS NULL").isEmpty()
+    assert sifted(rows, "k", sieve(keys.limit(0), "k")).where("_may").isEmpty()
+    held = sieve(keys, "k").select(F.size("_words").alias("words")).distinct().collect()
+    assert [r.words for r in held] == [64]
+
+
+def test_lookup_cuts_every_key(spark):
+    facts = spark.createDataFrame([(k, d) for k in (1, 2, 9, None) for d in range(40)], "k bigint, d int")
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, t string")
+    joined = lookup(facts, table, "k", ["d"], cut=("part", 4))
+    assert joined.columns == ["k", "d", "t", "part"] and joined.count() == 160
+    plain = lookup(facts, table, "k", ["d"])
+    assert sorted(map(str, joined.drop("part").collect())) == sorted(map(str, plain.collect()))
+    assert joined.where("k = 1").select("part").distinct().count() == 4
+    assert joined.select("k", "d", "part").distinct().count() == 160
+    with pytest.raises(ValueError):
+        lookup(facts, table, "k", ["d"], hot_keys(facts, "k"), cut=("part", 4))

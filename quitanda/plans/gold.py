@@ -7,6 +7,8 @@ one row to one row, and neither a best seller nor the many unknown products form
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,18 +23,22 @@ def _average(value: str) -> Column:
     return F.round(F.avg(value), 2)
 
 
-def vendas_temporais(vendas: DataFrame, period: Period | None = DEFAULT_PERIOD) -> DataFrame:
-    """Sales per day, hour and channel. The weekday follows from the day, so it is no grouping key."""
+def vendas_temporais(vendas: DataFrame, period: Period | None = DEFAULT_PERIOD, stored: bool = False) -> DataFrame:
+    """Sales per day, hour and channel. The weekday follows from the day, so it is no grouping key.
+
+    ``stored``: sales are cheap to read twice, so customers are counted apart, on rows without any sums.
+    """
+    hours = ["data", "hora", "canal_venda"]
+    sold = vendas.where(calendar.within(F.col("data"), period))
+    sums = [F.count("*").alias("total_vendas"), F.sum("quantidade").alias("itens_vendidos"), F.sum("receita").alias("receita")]
+    if stored:
+        people = sold.select(*hours, "id_cliente").distinct().groupBy(*[F.col(c).alias(f"_{c}") for c in hours])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in hours])
+        counted = sold.groupBy(*hours).agg(*sums).join(people.agg(F.count("id_cliente").alias("clientes_unicos")), same)
+    else:
+        counted = sold.groupBy(*hours).agg(*sums, F.count_distinct("id_cliente").alias("clientes_unicos"))
     return (
-        vendas.where(calendar.within(F.col("data"), period))
-        .groupBy("data", "hora", "canal_venda")
-        .agg(
-            F.count("*").alias("total_vendas"),
-            F.sum("quantidade").alias("itens_vendidos"),
-            F.sum("receita").alias("receita"),
-            F.count_distinct("id_cliente").alias("clientes_unicos"),
-        )
-        .withColumn("dia_semana_num", calendar.weekday_number(F.col("data")))
+        counted.withColumn("dia_semana_num", calendar.weekday_number(F.col("data")))
         .withColumn("dia_semana", calendar.weekday_name(F.col("dia_semana_num")))
         .select(
             "data", "dia_semana_num", "dia_semana", "hora", "canal_venda",

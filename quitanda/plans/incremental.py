@@ -127,7 +127,7 @@ def _write_states(ledger: Ledger, sales: DataFrame, catalogue: DataFrame, versio
         return sales.sparkSession.read.schema(f"dia string, {STATES[name]}").parquet(f"{ledger.home}/{name}/versao={version}")
 
     in_day = lambda df: df.withColumn("dia", day_of(F.col("data"), ledger.grain))
-    write("horas", in_day(gold.vendas_temporais(sales, None)))
+    write("horas", in_day(gold.vendas_temporais(sales, None, stored=True)))
 
     # One shuffle of narrow rows, by product, serves the catalogue, the states per product and, from these, the totals.
     narrow = sales.select("id_produto", "data_venda", "quantidade", "receita")

@@ -126,3 +126,8 @@ def test_shuffle_files_go_with_the_query_that_made_them(spark):
     home, raw = new_location(spark, "daily"), sales(spark, 8)
     incremental.refresh_sales(difference(raw.limit(0), raw), products(spark, (1, None)), ORDER, home, 4)
     assert spark.conf.get(setting, None) == before
+
+
+def test_hours_of_stored_sales_count_customers_alike(spark):
+    clean = silver.silver_vendas(sales(spark, 9, 150), products(spark, (1, None)), ORDER)
+    assert lines(gold.vendas_temporais(clean, None, stored=True)) == lines(gold.vendas_temporais(clean, None))
